@@ -92,19 +92,22 @@ def merge_apps(existing: DataFrame | None, seen: DataFrame) -> DataFrame:
     )
 
 
-def merge_pages(existing: DataFrame | None, incoming: DataFrame, order: list[str]) -> DataFrame:
-    """The last row of a (run, app, page number) wins; the page key of a stored page stays."""
+def incoming_pages(existing: DataFrame | None, incoming: DataFrame, order: list[str]) -> DataFrame:
+    """The last row of each incoming (run, app, page number); a page that is stored already keeps its page key."""
     keys = KEYS["pages"]
     latest = last_per_key(incoming, keys, order, PAGES.names)
     if existing is None:
         return latest
     stored_keys = existing.select(*keys, F.col("page_key").alias("_stored_key"))
-    latest = (
+    return (
         latest.join(stored_keys, keys, "left")
         .withColumn("page_key", F.coalesce("_stored_key", "page_key"))
-        .drop("_stored_key")
+        .select(*PAGES.names)
     )
-    return overwrite_by_key(existing, latest, keys)
+
+
+def merge_pages(existing: DataFrame | None, incoming: DataFrame, order: list[str]) -> DataFrame:
+    return overwrite_by_key(existing, incoming_pages(existing, incoming, order), KEYS["pages"])
 
 
 @dataclass
