@@ -52,11 +52,7 @@ def timestamp_iso(seconds: Column) -> Column:
     value = seconds.cast("bigint")
     day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(value / _DAY).cast("int"))
     second = F.pmod(value, F.lit(_DAY)).cast("int")
-    clock = F.format_string(
-        "%02d:%02d:%02d",
-        F.floor(second / 3600).cast("int"),
-        F.floor(second % 3600 / 60).cast("int"),
-        (second % 60).cast("int"),
-    )
+    parts = [F.floor(second / 3600), F.floor(second % 3600 / 60), second % 60]
+    clock = F.concat_ws(":", *(F.lpad(part.cast("string"), 2, "0") for part in parts))
     iso = F.concat(day.cast("string"), F.lit("T"), clock, F.lit("+00:00"))
     return F.when(value.between(_FIRST_SECOND, _LAST_SECOND), iso)

@@ -10,10 +10,12 @@ from pagetide.schemas import RETRYABLE_STATUS_CODES
 
 
 def page_key(run_id: Column, app_id: Column, page_number: Column) -> Column:
+    """`run:app:page`, the page padded to four digits and never cut."""
+    number = F.coalesce(page_number, F.lit(0))
+    digits = number.cast("string")
+    padded = F.when(number.between(0, 999), F.lpad(digits, 4, "0")).otherwise(digits)
     blank = F.lit("")
-    return F.format_string(
-        "%s:%s:%04d", F.coalesce(run_id, blank), F.coalesce(app_id, blank), F.coalesce(page_number, F.lit(0))
-    )
+    return F.concat(F.coalesce(run_id, blank), F.lit(":"), F.coalesce(app_id, blank), F.lit(":"), padded)
 
 
 def raw_status(success: Column, status_code: Column) -> Column:

@@ -26,12 +26,19 @@ def last_per_key(df: DataFrame, keys: list[str], order: list[str], columns: list
     )
 
 
+def ranked_union(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Both sides in one frame, `_rank` 0 for stored and 1 for incoming rows. Order columns of stored rows are null."""
+    return incoming.withColumn("_rank", F.lit(1)).unionByName(
+        existing.withColumn("_rank", F.lit(0)), allowMissingColumns=True
+    )
+
+
 def overwrite_by_key(existing: DataFrame | None, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Incoming rows replace stored rows of the same key; both sides are unique on the key."""
+    """Incoming rows replace stored rows of the same key. Each side is read once and shuffled once."""
     if existing is None:
         return incoming
-    untouched = existing.join(incoming.select(*keys), keys, "left_anti")
-    return untouched.select(*incoming.columns).unionByName(incoming)
+    columns = incoming.columns
+    return last_per_key(ranked_union(existing.select(*columns), incoming), keys, ["_rank"], columns)
 
 
 def merge_runs(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
@@ -55,7 +62,7 @@ def seen_apps(reports: DataFrame, order: list[str], targets: DataFrame | None =
             targets.select("app_id", F.col("app_name").alias("target_name"), "active", "notes", "row_number"),
             ["app_id"], ["row_number"], ["app_id", "target_name", "active", "notes"],
         )
-        per_run = lookup_join(per_run, wanted, "app_id", "left")
+        per_run = per_run.join(wanted, "app_id", "left")
     else:
         per_run = per_run.withColumns({
             "target_name": F.lit(None).cast("string"),
@@ -92,22 +99,28 @@ def merge_apps(existing: DataFrame | None, seen: DataFrame) -> DataFrame:
     )
 
 
-def incoming_pages(existing: DataFrame | None, incoming: DataFrame, order: list[str]) -> DataFrame:
-    """The last row of each incoming (run, app, page number); a page that is stored already keeps its page key."""
+def merge_pages(existing: DataFrame | None, incoming: DataFrame, order: list[str]) -> DataFrame:
+    """The last row of a (run, app, page number) wins; the page key of a stored page stays."""
     keys = KEYS["pages"]
-    latest = last_per_key(incoming, keys, order, PAGES.names)
     if existing is None:
-        return latest
-    stored_keys = existing.select(*keys, F.col("page_key").alias("_stored_key"))
-    return (
-        latest.join(stored_keys, keys, "left")
-        .withColumn("page_key", F.coalesce("_stored_key", "page_key"))
-        .select(*PAGES.names)
+        return last_per_key(incoming, keys, order, PAGES.names)
+    rest = [c for c in PAGES.names if c not in keys]
+    rows = ranked_union(existing.select(*PAGES.names), incoming.select(*dict.fromkeys([*PAGES.names, *order])))
+    merged = rows.groupBy(*keys).agg(
+        F.max_by(F.struct(*rest), ordered_by(["_rank", *order])).alias("_row"),
+        F.max(F.when(F.col("_rank") == 0, F.col("page_key"))).alias("_stored_key"),
     )
+    return merged.select(*keys, "_stored_key", "_row.*").withColumn(
+        "page_key", F.coalesce("_stored_key", "page_key")
+    ).select(*PAGES.names)
 
 
-def merge_pages(existing: DataFrame | None, incoming: DataFrame, order: list[str]) -> DataFrame:
-    return overwrite_by_key(existing, incoming_pages(existing, incoming, order), KEYS["pages"])
+def incoming_pages(existing: DataFrame | None, incoming: DataFrame, order: list[str]) -> DataFrame:
+    """Only the merged rows of incoming pages, for appending to a table of which most pages stay untouched."""
+    if existing is None:
+        return merge_pages(None, incoming, order)
+    stored = lookup_join(existing, incoming.select(*KEYS["pages"]).distinct(), KEYS["pages"], "left_semi", derived=True)
+    return merge_pages(stored, incoming, order)
 
 
 @dataclass
@@ -135,7 +148,10 @@ class ReviewMerge:
 
     @property
     def table(self) -> DataFrame:
-        return overwrite_by_key(self.existing, self.changed, KEYS["reviews"])
+        if self.existing is None:
+            return self.changed
+        rows = ranked_union(self.existing, self.accepted)
+        return last_per_key(rows, KEYS["reviews"], ["_rank", *self.order], REVIEWS.names)
 
     @property
     def changes(self) -> DataFrame:
@@ -165,7 +181,8 @@ def merge_reviews(
     if existing is not None:
         keys = incoming.select("recommendationid").distinct()
         stored = lookup_join(
-            existing.select("recommendationid", "timestamp_updated", "review"), keys, "recommendationid", "left_semi"
+            existing.select("recommendationid", "timestamp_updated", "review"), keys, "recommendationid", "left_semi",
+            derived=True,
         )
     folded = fold_versions(incoming, "recommendationid", order, "timestamp_updated", "review", stored, hot_rows)
     return ReviewMerge(existing, folded, order, changed_at)

@@ -24,12 +24,17 @@ from pagetide.schemas import DEFAULTS, PAGES, PAYLOAD, REVIEWS, SAFE_AUTHOR_FIEL
 def conform(df: DataFrame, schema: T.StructType, defaults: dict[str, Any] | None = None) -> DataFrame:
     """Bring any older or narrower frame to the table's columns and types, filling defaults; extra columns go."""
     defaults = defaults or {}
+    present = {field.name: field.dataType for field in df.schema}
 
     def column(field: T.StructField) -> Column:
-        value = F.col(field.name) if field.name in df.columns else F.lit(None)
-        value = value.cast(field.dataType)
+        default = F.lit(defaults.get(field.name)).cast(field.dataType)
+        if field.name not in present:
+            return default.alias(field.name)
+        value = F.col(field.name)
+        if present[field.name] != field.dataType:
+            value = value.cast(field.dataType)
         if field.name in defaults:
-            value = F.coalesce(value, F.lit(defaults[field.name]).cast(field.dataType))
+            value = F.coalesce(value, default)
         return value.alias(field.name)
 
     return df.select(*(column(field) for field in schema))

@@ -75,7 +75,7 @@ def stop_at_first_end(pages: DataFrame) -> DataFrame:
     ends = pages.groupBy(*CHAIN).agg(
         F.min(F.when(F.col("terminal_reason").isNotNull(), F.col("page_number"))).alias("_end")
     )
-    kept = lookup_join(pages, ends, CHAIN, "left")
+    kept = lookup_join(pages, ends, CHAIN, "left", derived=True)
     return kept.filter(F.col("_end").isNull() | (F.col("page_number") <= F.col("_end"))).drop("_end")
 
 

@@ -13,27 +13,25 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("rows")).filter(F.col("rows") > 1)
 
 
-def _parent_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> tuple[DataFrame, DataFrame]:
-    renamed = parent.select(F.col(parent_column).alias(column)).filter(F.col(column).isNotNull()).distinct()
-    return child, renamed
+def _parent_keys(column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Semi and anti joins need no distinct keys."""
+    return parent.select(F.col(parent_column).alias(column)).filter(F.col(column).isNotNull())
 
 
 def fk_violations(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Rows whose reference has no parent. A null reference is allowed."""
-    rows, keys = _parent_keys(child, column, parent, parent_column)
-    return lookup_join(rows.filter(F.col(column).isNotNull()), keys, column, "left_anti")
+    keys = _parent_keys(column, parent, parent_column)
+    return lookup_join(child.filter(F.col(column).isNotNull()), keys, column, "left_anti")
 
 
 def fk_valid(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    rows, keys = _parent_keys(child, column, parent, parent_column)
-    return lookup_join(rows, keys, column, "left_semi")
+    return lookup_join(child, _parent_keys(column, parent, parent_column), column, "left_semi")
 
 
 def fk_violation_counts(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Violations per missing parent. Child rows are combined by key first, so a hot key is one row in the join."""
     per_key = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows"))
-    _, keys = _parent_keys(child, column, parent, parent_column)
-    return per_key.join(keys, column, "left_anti")
+    return per_key.join(_parent_keys(column, parent, parent_column), column, "left_anti")
 
 
 def check_violations(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:
@@ -82,7 +80,6 @@ def enforce(tables: dict[str, DataFrame]) -> None:
 
 def quarantine(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> tuple[DataFrame, DataFrame]:
     """Rows to keep (reference found or null) and rows to set aside."""
-    rows, keys = _parent_keys(df, column, parent, parent_column)
-    marked = lookup_join(rows, keys.withColumn("_found", F.lit(True)), column, "left")
-    bad = F.col(column).isNotNull() & F.col("_found").isNull()
-    return marked.filter(~bad).drop("_found"), marked.filter(bad).drop("_found")
+    aside = fk_violations(df, column, parent, parent_column)
+    kept = fk_valid(df, column, parent, parent_column).unionByName(df.filter(F.col(column).isNull()))
+    return kept, aside

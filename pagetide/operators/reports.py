@@ -159,20 +159,24 @@ def reviews_per_run_with_pages(reviews: DataFrame, pages: DataFrame) -> DataFram
     )
 
 
-def _metric(df: DataFrame, section: str, name: Column | str, value: str, label: Column | None = None) -> DataFrame:
-    return df.select(
-        F.lit(section).alias("section"),
-        (F.lit(name) if isinstance(name, str) else name).cast("string").alias("name"),
-        (F.lit(None) if label is None else label).cast("string").alias("label"),
-        F.col(value).cast("bigint").alias("value"),
+def _entry(section: str, name: Column | str, value: Column) -> Column:
+    label = F.lit(name) if isinstance(name, str) else name
+    return F.struct(
+        F.lit(section).alias("section"), label.cast("string").alias("name"), value.cast("bigint").alias("value")
     )
 
 
-def _columns_as_rows(one_row: DataFrame, section: str) -> DataFrame:
-    names = one_row.columns
-    return one_row.unpivot([], names, "name", "value").select(
-        F.lit(section).alias("section"), "name", F.lit(None).cast("string").alias("label"), F.col("value").cast("bigint")
-    )
+def _entries(df: DataFrame, *entries: Column) -> DataFrame:
+    return df.select(F.explode(F.array(*entries)).alias("entry")).select("entry.*")
+
+
+# Figures that are reported as 0, not left out, when there is nothing to count.
+ALWAYS_REPORTED = [
+    ("counts", "apps"), ("counts", "review_pages"), ("counts", "reviews"), ("counts", "review_changes"),
+    ("counts", "sync_states"), ("quality", "missing_review_text"), ("quality", "missing_language"),
+    ("quality", "duplicate_recommendationids"), ("sync_state", "state_count"), ("sync_state", "backlogged_count"),
+    ("sync_state", "complete_count"),
+]
 
 
 def validation_report(
@@ -185,45 +189,57 @@ def validation_report(
 ) -> DataFrame:
     """All counts, quality figures and distributions as (section, name, label, value). Apps and states ignore the run.
 
-    The plain review figures share one scan: reviews are counted per app and flag with their quality figures in one
-    aggregation, and the per-app, per-flag and total figures are sums over that small result.
+    Every table is aggregated once, to few rows that each feed several figures; the figures are then summed up. Only the
+    duplicate check reads the reviews a second time, and only their keys.
     """
     scoped = run_scope(reviews, run_id)
     flag = F.when(F.col("voted_up"), F.lit("recommended")).otherwise(F.lit("not_recommended"))
-    base = scoped.groupBy("app_id", flag.alias("flag")).agg(
+    n = F.col("n")
+    per_app_and_flag = scoped.groupBy("app_id", flag.alias("flag")).agg(
         F.count("*").alias("n"), _missing_text().alias("no_text"), _missing_language().alias("no_language")
     )
-
-    def total(df: DataFrame) -> DataFrame:
-        return df.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-
-    def rows(df: DataFrame) -> DataFrame:
-        return df.agg(F.count("*").alias("n"))
-
-    quality = base.agg(
-        F.coalesce(F.sum("no_text"), F.lit(0)).alias("missing_review_text"),
-        F.coalesce(F.sum("no_language"), F.lit(0)).alias("missing_language"),
-    )
-    duplicates = rows(duplicate_keys(scoped, ["recommendationid"]))
-    per_app = base.groupBy("app_id").agg(F.sum("n").alias("n")).join(apps.select("app_id", "app_name"), "app_id", "left")
     parts = [
-        _metric(rows(apps), "counts", "apps", "n"),
-        _metric(rows(run_scope(pages, run_id)), "counts", "review_pages", "n"),
-        _metric(total(base), "counts", "reviews", "n"),
-        _metric(rows(run_scope(changes, run_id)), "counts", "review_changes", "n"),
-        _metric(rows(state), "counts", "sync_states", "n"),
-        _columns_as_rows(quality, "quality"),
-        _metric(duplicates, "quality", "duplicate_recommendationids", "n"),
-        _metric(base.groupBy("flag").agg(F.sum("n").alias("n")), "recommendation_distribution", F.col("flag"), "n"),
-        _metric(per_app, "app_review_counts", F.col("app_id"), "n", F.col("app_name")),
-        _metric(page_status_counts(pages, run_id), "page_status_counts", F.col("status"), "page_count"),
-        _metric(change_counts(changes, run_id), "change_counts", F.col("change_type"), "change_count"),
-        _columns_as_rows(sync_state_counts(state), "sync_state"),
+        _entries(
+            per_app_and_flag,
+            _entry("counts", "reviews", n),
+            _entry("quality", "missing_review_text", F.col("no_text")),
+            _entry("quality", "missing_language", F.col("no_language")),
+            _entry("recommendation_distribution", F.col("flag"), n),
+            _entry("app_review_counts", F.col("app_id"), n),
+        ),
+        _entries(
+            duplicate_keys(scoped, ["recommendationid"]).agg(F.count("*").alias("n")),
+            _entry("quality", "duplicate_recommendationids", n),
+        ),
+        _entries(apps.agg(F.count("*").alias("n")), _entry("counts", "apps", n)),
+        _entries(
+            run_scope(pages, run_id).groupBy("status").agg(F.count("*").alias("n")),
+            _entry("counts", "review_pages", n),
+            _entry("page_status_counts", F.col("status"), n),
+        ),
+        _entries(
+            run_scope(changes, run_id).groupBy("change_type").agg(F.count("*").alias("n")),
+            _entry("counts", "review_changes", n),
+            _entry("change_counts", F.col("change_type"), n),
+        ),
+        _entries(
+            sync_state_counts(state),
+            _entry("counts", "sync_states", F.col("state_count")),
+            *(_entry("sync_state", name, F.col(name)) for name in ("state_count", "backlogged_count", "complete_count")),
+        ),
+        _entries(
+            reviews.sparkSession.range(1),
+            *(_entry(section, name, F.lit(0)) for section, name in ALWAYS_REPORTED),
+        ),
     ]
-    report = parts[0]
+    figures = parts[0]
     for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+        figures = figures.unionByName(part)
+    figures = figures.groupBy("section", "name").agg(F.sum("value").alias("value"))
+    names = apps.select(
+        F.lit("app_review_counts").alias("section"), F.col("app_id").alias("name"), F.col("app_name").alias("label")
+    )
+    return figures.join(names, ["section", "name"], "left").select("section", "name", "label", "value")
 
 
 def load_summary(reports: DataFrame, outcomes: DataFrame, reviews_seen: DataFrame) -> DataFrame:

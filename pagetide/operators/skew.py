@@ -61,11 +61,8 @@ def split_hot_groups(df: DataFrame, keys: list[str], order: list[str], hot_rows:
 
 
 def text_bytes(df: DataFrame) -> Column:
-    sizes = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
-    total = F.lit(0)
-    for size in sizes:
-        total = total + size
-    return F.coalesce(F.sum(total.cast("bigint")), F.lit(0))
+    texts = [name for name, kind in df.dtypes if kind == "string"]
+    return F.coalesce(F.sum(F.octet_length(F.concat_ws("", *texts)).cast("bigint")), F.lit(0))
 
 
 def is_small(df: DataFrame) -> bool:
@@ -74,10 +71,13 @@ def is_small(df: DataFrame) -> bool:
     return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
-def lookup_join(left: DataFrame, right: DataFrame, keys: list[str] | str, how: str) -> DataFrame:
-    """Join to a side that is unique on `keys`.
+def lookup_join(left: DataFrame, right: DataFrame, keys: list[str] | str, how: str, derived: bool = False) -> DataFrame:
+    """Join a large side to one that may be small.
 
     A side of checked size is broadcast, so the large side does not move. A larger one is shuffled, and
-    adaptive execution splits the partitions of hot keys.
+    adaptive execution splits the partitions of hot keys. The check reads `right` once more; a `derived` side, which is
+    costly to compute, is written out first.
     """
+    if derived:
+        right = materialise(right, "lookup")
     return left.join(F.broadcast(right) if is_small(right) else right, keys, how)

@@ -14,7 +14,6 @@ from pagetide.functions import clean_text
 from pagetide.operators.merges import overwrite_by_key
 from pagetide.operators.normalize import conform
 from pagetide.operators.scans import ordered_by, running_max
-from pagetide.operators.skew import lookup_join
 from pagetide.schemas import CHRONOLOGICAL_FILTERS, COMPLETE_REASONS, DEFAULTS, SYNC_STATE
 
 
@@ -30,7 +29,7 @@ def sync_states(state: DataFrame, requested: DataFrame | None = None) -> DataFra
     if requested is None:
         return known
     wanted = requested.select("app_id").distinct()
-    return conform(lookup_join(wanted, known, "app_id", "left"), SYNC_STATE, DEFAULTS["sync_state"])
+    return conform(wanted.join(known, "app_id", "left"), SYNC_STATE, DEFAULTS["sync_state"])
 
 
 def high_water_marks(state: DataFrame, requested: DataFrame) -> DataFrame:
@@ -90,7 +89,7 @@ def _with_stored(progress: DataFrame, state: DataFrame) -> DataFrame:
         F.col("complete_through_timestamp_updated").alias("stored_mark"),
         F.col("last_successful_run_id").alias("stored_run"),
     )
-    return lookup_join(progress, stored, "app_id", "left")
+    return progress.join(stored, "app_id", "left")
 
 
 def sync_history(state: DataFrame, progress: DataFrame, hot_rows: int | None = None) -> DataFrame:

@@ -29,7 +29,7 @@ from pagetide.functions import (
 )
 from pagetide.operators import merges, normalize, pages, quality, reports, sync
 from pagetide.operators.merges import merge_reviews
-from pagetide.plans.standins import Standins
+from pagetide.plans.standins import SOURCES, Standins
 from pagetide.plans.store import Store
 from pagetide.schemas import APPS, DEFAULTS, IMPORT_COLUMNS, KEYS, PAGES, RUNS, SYNC_STATE
 from pagetide.session import scratch_root
@@ -343,8 +343,7 @@ def change_counts(s: Standins) -> DataFrame:
 def stream_upsert(s: Standins) -> DataFrame:
     """The versions as a stream of files, merged micro-batch by micro-batch into a stored table."""
     root = f"{scratch_root(s.spark)}/stream-{uuid.uuid4().hex}"
-    schema = s.table("events").schema
-    events = s.spark.readStream.schema(schema).parquet(f"{s.folder}/events*.parquet")
+    events = s.spark.readStream.schema(SOURCES["events"]).parquet(f"{s.folder}/events*.parquet")
     store = Store(s.spark, f"{root}/store")
     query = stream_reviews(StreamedEvents(s.spark, s.folder, events).versions(), store, f"{root}/checkpoint", ORDER)
     query.awaitTermination()
