@@ -22,6 +22,7 @@ from pyspark.sql.window import Window
 
 from pagetide.operators.scans import ordered_by
 from pagetide.operators.skew import CHUNK, split_hot_groups
+from pagetide.session import materialise
 
 OUTCOME = "outcome"
 PREVIOUS = "previous_timestamp_updated"
@@ -84,7 +85,7 @@ def _fold_hot(chunked: DataFrame, key: str, order: list[str], timestamp: str, te
     maximum of its last island. Scanned in chunk order, with the same (island, timestamp) maximum, these give the state
     in which each chunk begins. Only rows before the first break of a chunk can still be affected by that state.
     """
-    local = _fold(chunked, [key, CHUNK], order, timestamp, text)
+    local = materialise(_fold(chunked, [key, CHUNK], order, timestamp, text), "chunks")
     position = ordered_by(order)
     texts = F.struct(F.col(text).alias("text"))
     summary = local.groupBy(key, CHUNK).agg(

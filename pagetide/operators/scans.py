@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pagetide.operators.skew import CHUNK, split_hot_groups
+from pagetide.session import materialise
 
 
 def ordered_by(order: list[str]) -> Column:
@@ -32,16 +33,16 @@ def previous_value(
     if split.hot is None:
         return cold.drop("_row")
     chunks = Window.partitionBy(*keys).orderBy(CHUNK)
+    local = materialise(looked_back(split.hot, [*keys, CHUNK]), "chunks")
     carried = (
-        split.hot.groupBy(*keys, CHUNK)
+        local.groupBy(*keys, CHUNK)
         .agg(F.max_by(F.struct(F.col(column).alias("v")), ordered_by(order)).alias("_last"))
         .withColumn("_carry", F.lag("_last").over(chunks))
         .drop("_last")
     )
     before = F.when(F.col("_carry").isNull(), default).otherwise(F.col("_carry.v"))
     hot = (
-        looked_back(split.hot, [*keys, CHUNK])
-        .join(F.broadcast(carried), [*keys, CHUNK], "left")
+        local.join(F.broadcast(carried), [*keys, CHUNK], "left")
         .withColumn(output, F.when(F.col("_row") == 1, before).otherwise(F.col(output)))
     )
     return cold.unionByName(hot.select(*cold.columns)).drop("_row")
@@ -61,14 +62,14 @@ def running_max(
     if split.hot is None:
         return cold
     earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    local = materialise(running(split.hot, [*keys, CHUNK]), "chunks")
     carried = (
-        split.hot.groupBy(*keys, CHUNK)
-        .agg(*(F.max(value).alias(f"_max_{name}") for name, value in outputs.items()))
+        local.groupBy(*keys, CHUNK)
+        .agg(*(F.max(name).alias(f"_max_{name}") for name in outputs))
         .select(*keys, CHUNK, *(F.max(f"_max_{name}").over(earlier).alias(f"_carry_{name}") for name in outputs))
     )
     hot = (
-        running(split.hot, [*keys, CHUNK])
-        .join(F.broadcast(carried), [*keys, CHUNK], "left")
+        local.join(F.broadcast(carried), [*keys, CHUNK], "left")
         .withColumns({name: F.greatest(name, f"_carry_{name}") for name in outputs})
     )
     return cold.unionByName(hot.select(*cold.columns))

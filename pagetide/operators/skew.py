@@ -26,7 +26,11 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 
 @dataclass
 class Split:
-    """`cold` groups fit a task. `hot` rows carry a chunk number: chunks of a group are consecutive in `order`."""
+    """`cold` groups fit a task. `hot` rows carry a chunk number: chunks of a group are consecutive in `order`.
+
+    The chunk number depends on where a row was placed, so whatever is computed from `hot` must be materialised before it
+    is used in more than one place.
+    """
 
     cold: DataFrame
     hot: DataFrame | None
@@ -51,13 +55,8 @@ def split_hot_groups(df: DataFrame, keys: list[str], order: list[str], hot_rows:
         return Split(df, None)
     is_hot = group.isin([row["group_hash"] for row in largest])
     chunks = min(MAX_CHUNKS, max(2, -(-sum(row["count"] for row in largest) // limit)))
-    # The chunk is the number of the range partition. It is stored, so later passes all see the same cut.
-    chunked = (
-        df.filter(is_hot)
-        .repartitionByRange(chunks, *keys, *order)
-        .withColumn(CHUNK, F.spark_partition_id())
-    )
-    return Split(df.filter(~is_hot), materialise(chunked, "chunks"))
+    ranged = df.filter(is_hot).repartitionByRange(chunks, *keys, *order)
+    return Split(df.filter(~is_hot), ranged.withColumn(CHUNK, F.spark_partition_id()))
 
 
 def text_bytes(df: DataFrame) -> Column:

@@ -3,28 +3,25 @@ import tempfile
 from pathlib import Path
 
 import pytest
-from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 @pytest.fixture(scope="session")
 def spark():
-    session = (
-        SparkSession.builder.master("local[8]")
-        .appName("pagetide-tests")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-"))
-        .getOrCreate()
+    from pagetide.session import build_session
+
+    session = build_session(
+        "pagetide-tests",
+        "local[8]",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="spark-"),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
 
-
-@pytest.fixture
-def small_tables():
-    return "/root/testdata/sf0.001"
