@@ -36,10 +36,10 @@ def utc_now() -> str:
     return datetime.now(timezone.utc).isoformat()
 
 
-def incoming_reviews(reports: DataFrame, files: DataFrame) -> DataFrame:
+def incoming_reviews(reports: DataFrame, files: DataFrame, order: list[str]) -> DataFrame:
     """All reviews of the loaded runs as table rows, with their load order."""
     pages = parse_payload(attach_documents(reports, files)).drop("document")
-    return normalize_reviews(explode_reviews(pages), [*REPORT_ORDER, "pos"])
+    return normalize_reviews(explode_reviews(pages), [*order, "pos"])
 
 
 def load_runs(
@@ -52,31 +52,48 @@ def load_runs(
     check: bool = False,
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """Load one or more run directories and return one summary row per run.
+    """Load one or more run directories (a page report file and one file per page) and return one summary row per run."""
+    where = (run_dirs if isinstance(run_dirs, str) else ",".join(run_dirs)).rstrip("/")
+    reports, files = read_page_reports(spark, run_dirs), read_raw_pages(spark, run_dirs)
+    return load_pages(store, reports, files, REPORT_ORDER, where, targets, targets_path, strict, check, hot_rows)
+
 
-    Several runs are folded in one job, in run-id order, with the same result as loading them one by one. In strict mode
-    a report without its document raises; `check` tests every constraint before anything becomes visible.
+def load_pages(
+    store: Store,
+    reports: DataFrame,
+    files: DataFrame,
+    order: list[str],
+    raw_dir: str,
+    targets: DataFrame | None = None,
+    targets_path: str | None = None,
+    strict: bool = True,
+    check: bool = False,
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """Load page reports and their documents (run_id, file_name, document), wherever they were landed.
+
+    `order` sorts the reports in load order and starts with the run. Several runs are folded in one job, in run-id order,
+    with the same result as loading them one by one. In strict mode a report without its document raises; `check` tests
+    every constraint before anything becomes visible.
     """
     loaded_at = utc_now()
-    reports = materialise(read_page_reports(spark, run_dirs), "reports")
-    files = read_raw_pages(spark, run_dirs)
+    reports = materialise(reports, "reports")
     if strict:
         lost = reports_without_document(reports, files).select("raw_json_path").first()
         if lost is not None:
             raise FileNotFoundError(f"raw page does not exist: {lost['raw_json_path']}")
 
-    reviews = materialise(incoming_reviews(reports, files), "reviews")
-    merge = merge_reviews(store.read("reviews"), reviews, [*REPORT_ORDER, "pos"], loaded_at, hot_rows)
+    reviews = materialise(incoming_reviews(reports, files, order), "reviews")
+    merge = merge_reviews(store.read("reviews"), reviews, [*order, "pos"], loaded_at, hot_rows)
     # The fold feeds the table, the change log and the counters, so its result is kept once.
     merge = ReviewMerge(merge.existing, materialise(merge.folded, "folded"), merge.order, loaded_at)
 
     seen = reviews.groupBy("run_id").agg(F.count("*").alias("reviews_seen"))
     summary = materialise(load_summary(reports, merge.outcomes, seen), "summary")
     counters = fetch_summary(reports, ["run_id"]).select("run_id", "fetch_errors", "rate_limited_pages")
-    where = (run_dirs if isinstance(run_dirs, str) else ",".join(run_dirs)).rstrip("/")
     runs = summary.join(counters, "run_id").select(
         "run_id",
-        F.lit(where).alias("raw_dir"),
+        F.lit(raw_dir).alias("raw_dir"),
         F.lit(targets_path).cast("string").alias("targets_path"),
         F.lit(loaded_at).alias("loaded_at"),
         F.col("apps_upserted").alias("app_count"),
@@ -84,10 +101,10 @@ def load_runs(
         F.col("reviews_seen").alias("review_count"),
         "reviews_inserted", "reviews_updated", "duplicates_skipped", "fetch_errors", "rate_limited_pages",
     )
-    pages = incoming_pages(store.read("pages"), page_rows(reports, REPORT_ORDER), REPORT_ORDER)
+    pages = incoming_pages(store.read("pages"), page_rows(reports, order), order)
     writes = {
         "runs": (FULL, merge_runs(store.read("runs"), runs)),
-        "apps": (FULL, merge_apps(store.read("apps"), seen_apps(reports, REPORT_ORDER, targets))),
+        "apps": (FULL, merge_apps(store.read("apps"), seen_apps(reports, order, targets))),
         "pages": (CHANGES, pages),
         "reviews": (CHANGES, merge.changed),
         "review_changes": (CHANGES, merge.changes),

@@ -30,8 +30,9 @@ class Store:
     root: str
 
     def _log(self) -> list:
+        """One line per load and table. It is small, and grows with the number of loads, not with the data."""
         try:
-            return self.spark.read.schema(_LOG).json(f"{self.root}/_log").distinct().orderBy("load").collect()
+            return sorted(self.spark.read.schema(_LOG).json(f"{self.root}/_log").collect(), key=lambda row: row["load"])
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return []

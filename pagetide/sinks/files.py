@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from pagetide.operators.normalize import sanitize_author
+from pagetide.operators.normalize import conform, sanitize_author
 from pagetide.operators.reports import export_reviews, run_scope
 from pagetide.schemas import PAYLOAD
+from pagetide.sources.landing import LANDED
 
 FORMATS = ("csv", "jsonl")
 
@@ -51,4 +52,4 @@ def sanitize_documents(pages: DataFrame, document: str = "document") -> DataFram
 
 def land_pages(pages: DataFrame, path: str) -> None:
     """Land sanitized pages by run. Thousands of pages share a file, unlike the one-document-per-page layout."""
-    sanitize_documents(pages).write.mode("append").partitionBy("run_id").parquet(path)
+    sanitize_documents(conform(pages, LANDED)).write.mode("append").partitionBy("run_id").parquet(path)

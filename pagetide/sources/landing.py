@@ -58,6 +58,25 @@ def read_raw_pages(spark: SparkSession, run_dirs: str | list[str], pattern: str
     )
 
 
+LANDED = T.StructType([
+    T.StructField("run_id", T.StringType()),
+    T.StructField("file_name", T.StringType()),
+    T.StructField("app_id", T.StringType()),
+    T.StructField("app_name", T.StringType()),
+    T.StructField("page_number", T.IntegerType()),
+    T.StructField("status_code", T.IntegerType()),
+    T.StructField("attempt_count", T.IntegerType()),
+    T.StructField("fetched_at", T.StringType()),
+    T.StructField("raw_json_path", T.StringType()),
+    T.StructField("document", T.StringType()),
+])
+
+
+def read_landed_pages(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+    """Pages landed by `land_pages`: many documents per file, one folder per run, so a run filter prunes folders."""
+    return (spark.readStream if streaming else spark.read).schema(LANDED).parquet(path)
+
+
 def loadable(reports: DataFrame) -> DataFrame:
     """Pages that were read and have a raw document."""
     return reports.filter(F.col("status").isin("fetched", "empty") & (F.coalesce("raw_json_path", F.lit("")) != ""))

@@ -4,12 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pagetide.functions import page_status, raw_status
 from pagetide.operators.merges import ReviewMerge, merge_reviews
+from pagetide.operators.normalize import explode_reviews, normalize_reviews, parse_payload
 from pagetide.plans.store import CHANGES, Store
 from pagetide.session import materialise
+from pagetide.sources.landing import read_landed_pages
+
+
+PAGE_ORDER = ["run_id", "page_number", "pos"]
+
+
+def landed_reviews(spark: SparkSession, path: str, streaming: bool = True) -> DataFrame:
+    """Reviews of landed pages as they arrive, in table form with their load order; failed pages give none."""
+    pages = parse_payload(read_landed_pages(spark, path, streaming)).drop("document")
+    success, code = F.col("payload.success"), F.col("status_code")
+    read = page_status(raw_status(success, code), F.size("payload.reviews")).isin("fetched", "empty")
+    return normalize_reviews(explode_reviews(pages.filter(read)), PAGE_ORDER)
 
 
 def merge_batch(store: Store, name: str, order: list[str], hot_rows: int | None = None) -> Callable[[DataFrame, int], None]:

@@ -5,8 +5,11 @@ from pyspark.sql import functions as F
 from fixtures import payload, review
 from pagetide.operators import sync
 from pagetide.operators.pages import report_landed_pages
+from pagetide.plans.load import load_pages
+from pagetide.plans.store import Store
 from pagetide.schemas import SYNC_STATE
 from pagetide.sinks.files import land_pages, sanitize_documents
+from pagetide.sources.landing import read_landed_pages
 
 PAGE = "run_id string, app_id string, app_name string, page_number int, status_code int, attempt_count int, fetched_at string, raw_json_path string, document string"
 
@@ -84,6 +87,17 @@ def test_landing_drops_personal_fields_and_keeps_the_input(spark, tmp_path):
     assert read.select("run_id").first()[0] == "r1" and "steamid" not in read.first()["document"]
 
 
+def test_landed_pages_are_reported_and_loaded(spark, tmp_path):
+    pages = landed(spark, [page(9, 8, cursor="a"), page(5, cursor="b"), page(3, cursor="c")])
+    land_pages(pages.withColumn("file_name", F.concat(F.lit("p"), "page_number")), str(tmp_path / "landed"))
+    files = read_landed_pages(spark, str(tmp_path / "landed"))
+    made = report_landed_pages(files, state(spark, a730=5), "https://x.example")
+    store = Store(spark, str(tmp_path / "store"))
+    summary = load_pages(store, made, files, ["run_id", "page_number"], str(tmp_path / "landed")).first()
+    assert (summary["pages_upserted"], summary["reviews_inserted"]) == (2, 3)
+    assert {r["terminal_reason"] for r in store.read("pages").collect()} == {None, "caught_up_to_existing_reviews"}
+
+
 def test_watermark_over_several_runs(spark):
     rows = [
         ("r1", "7", 1, "empty_page", 10, 5, 1), ("r2", "7", 1, None, 50, 40, 2), ("r2", "7", 2, "page_cap_reached", 30, 20, 3),

@@ -1,13 +1,16 @@
+import json
 import random
 
 from pyspark.sql import functions as F
 
+from fixtures import payload, review
 from pagetide.operators.merges import merge_reviews
 from pagetide.operators.normalize import conform
 from pagetide.plans.standins import REVIEWS_IN_ORDER
 from pagetide.plans.store import Store
 from pagetide.schemas import DEFAULTS
-from pagetide.streaming.upsert import merge_batch, stream_reviews
+from pagetide.sinks.files import land_pages
+from pagetide.streaming.upsert import PAGE_ORDER, landed_reviews, merge_batch, stream_reviews
 
 KEEP = ["recommendationid", "run_id", "review", "timestamp_updated"]
 
@@ -67,3 +70,22 @@ def test_splitting_a_load_gives_the_same_table(spark):
         assert table(merge_reviews(stored, second, ["event_id"], hot_rows=hot_rows).table) == table(whole)
         replay = merge_reviews(whole, whole.withColumn("event_id", F.lit(999)), ["event_id"], hot_rows=hot_rows)
         assert {r["outcome"] for r in replay.outcomes.collect()} == {"unchanged"}
+
+
+def test_landed_pages_stream_into_the_table(spark, tmp_path):
+    def pages(run, text, code=200):
+        document = json.dumps(payload([review("1", text=text, updated=3), review("2", text="same", updated=1)]))
+        return spark.createDataFrame(
+            [(run, "730", 1, code, document), (run, "730", 2, 500, document)],
+            "run_id string, app_id string, page_number int, status_code int, document string",
+        )
+
+    landed, store = str(tmp_path / "landed"), Store(spark, str(tmp_path / "store"))
+    for run, text in (("r1", "first"), ("r2", "second")):
+        land_pages(pages(run, text), landed)
+        stream = landed_reviews(spark, landed)
+        stream_reviews(stream, store, str(tmp_path / "checkpoint"), PAGE_ORDER).awaitTermination()
+    rows = {r["recommendationid"]: (r["review"], r["run_id"]) for r in store.read("reviews").collect()}
+    assert rows == {"1": ("second", "r2"), "2": ("same", "r1")}
+    batch = merge_reviews(None, landed_reviews(spark, landed, streaming=False), PAGE_ORDER).table
+    assert table(batch) == table(store.read("reviews"))
