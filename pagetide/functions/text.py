@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pagetide.schemas import MAX_PAGE_SIZE, REVIEW_FILTERS
+
 # White space as Unicode defines it, plus the four ASCII separators that Java leaves out.
 _SPACE = r"[\s\x1c-\x1f]"
 
@@ -53,6 +55,10 @@ def request_url(
     page_size: int = 100,
 ) -> Column:
     """URL of one review page, for page reports and re-requests."""
+    if review_filter not in REVIEW_FILTERS:
+        raise ValueError(f"review_filter must be one of: {', '.join(REVIEW_FILTERS)}")
+    if not 1 <= page_size <= MAX_PAGE_SIZE:
+        raise ValueError(f"page_size must be between 1 and {MAX_PAGE_SIZE}")
     parameters = {
         "json": F.lit("1"),
         "filter": F.lit(review_filter),

@@ -13,6 +13,7 @@ from pagetide.operators.normalize import conform
 from pagetide.operators.scans import ordered_by
 from pagetide.operators.skew import lookup_join
 from pagetide.schemas import APPS, DEFAULTS, KEYS, PAGES, REVIEW_CHANGES, REVIEWS, RUNS
+from pagetide.session import materialise
 
 
 def last_per_key(df: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
@@ -132,6 +133,18 @@ class ReviewMerge:
     order: list[str]
     changed_at: str | None
 
+    def stored_once(self) -> ReviewMerge:
+        """The same merge over a written copy of the fold, for jobs that use several of its results.
+
+        Unchanged rows are only counted, so they are written without their contents.
+        """
+        counted = {"run_id", "recommendationid", OUTCOME}
+        is_change = F.col(OUTCOME) != "unchanged"
+        slim = self.folded.select(*(
+            F.col(c) if c in counted else F.when(is_change, F.col(c)).alias(c) for c in self.folded.columns
+        ))
+        return ReviewMerge(self.existing, materialise(slim, "folded"), self.order, self.changed_at)
+
     @property
     def outcomes(self) -> DataFrame:
         """Rows per run and outcome, counting incoming rows, not keys."""

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetide.operators.merges import (
-    ReviewMerge,
     incoming_pages,
     merge_apps,
     merge_reviews,
@@ -20,10 +19,11 @@ from pagetide.operators.quality import enforce
 from pagetide.operators.reports import fetch_summary, load_summary
 from pagetide.plans.store import CHANGES, FULL, Store
 from pagetide.schemas import KEYS, TABLES
-from pagetide.session import materialise
+from pagetide.session import materialise, scratch
 from pagetide.sources.landing import (
     REPORT_ORDER,
     attach_documents,
+    list_raw_pages,
     read_page_reports,
     read_raw_pages,
     reports_without_document,
@@ -55,7 +55,8 @@ def load_runs(
     """Load one or more run directories (a page report file and one file per page) and return one summary row per run."""
     where = (run_dirs if isinstance(run_dirs, str) else ",".join(run_dirs)).rstrip("/")
     reports, files = read_page_reports(spark, run_dirs), read_raw_pages(spark, run_dirs)
-    return load_pages(store, reports, files, REPORT_ORDER, where, targets, targets_path, strict, check, hot_rows)
+    names = list_raw_pages(spark, run_dirs)
+    return load_pages(store, reports, files, REPORT_ORDER, where, targets, targets_path, strict, check, hot_rows, names)
 
 
 def load_pages(
@@ -69,27 +70,46 @@ def load_pages(
     strict: bool = True,
     check: bool = False,
     hot_rows: int | None = None,
+    file_names: DataFrame | None = None,
 ) -> DataFrame:
     """Load page reports and their documents (run_id, file_name, document), wherever they were landed.
 
+    `file_names` (run_id, file_name) lists the documents where that is cheaper than reading the names off `files`.
+
     `order` sorts the reports in load order and starts with the run. Several runs are folded in one job, in run-id order,
     with the same result as loading them one by one. In strict mode a report without its document raises; `check` tests
     every constraint before anything becomes visible.
     """
+    with scratch(store.spark):
+        return _load(store, reports, files, file_names, order, raw_dir, targets, targets_path, strict, check, hot_rows)
+
+
+def _load(
+    store: Store,
+    reports: DataFrame,
+    files: DataFrame,
+    file_names: DataFrame | None,
+    order: list[str],
+    raw_dir: str,
+    targets: DataFrame | None,
+    targets_path: str | None,
+    strict: bool,
+    check: bool,
+    hot_rows: int | None,
+) -> DataFrame:
     loaded_at = utc_now()
     reports = materialise(reports, "reports")
     if strict:
-        lost = reports_without_document(reports, files).select("raw_json_path").first()
+        lost = reports_without_document(reports, files if file_names is None else file_names).select("raw_json_path").first()
         if lost is not None:
             raise FileNotFoundError(f"raw page does not exist: {lost['raw_json_path']}")
 
     reviews = materialise(incoming_reviews(reports, files, order), "reviews")
-    merge = merge_reviews(store.read("reviews"), reviews, [*order, "pos"], loaded_at, hot_rows)
-    # The fold feeds the table, the change log and the counters, so its result is kept once.
-    merge = ReviewMerge(merge.existing, materialise(merge.folded, "folded"), merge.order, loaded_at)
+    # The fold feeds the table, the change log and the counters, so its result is written once.
+    merge = merge_reviews(store.read("reviews"), reviews, [*order, "pos"], loaded_at, hot_rows).stored_once()
 
     seen = reviews.groupBy("run_id").agg(F.count("*").alias("reviews_seen"))
-    summary = materialise(load_summary(reports, merge.outcomes, seen), "summary")
+    summary = materialise(load_summary(reports, merge.outcomes, seen), "summary", keep=True)
     counters = fetch_summary(reports, ["run_id"]).select("run_id", "fetch_errors", "rate_limited_pages")
     runs = summary.join(counters, "run_id").select(
         "run_id",

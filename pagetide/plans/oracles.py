@@ -314,12 +314,12 @@ SELECT run_id, app_id, terminal_reason, complete FROM judged_progress"""
 ORACLES["page_filter"] = _with(PAGES) + """
 SELECT event_id, run_id, app_id, status, raw_json_path FROM report WHERE event_type <> 'error'"""
 
-ORACLES["page_status_rules"] = _with(PAGES) + """,
+ORACLES["page_status"] = _with(PAGES) + """,
 raw AS (SELECT *, CASE WHEN k % 7 > 1 AND status_code = 200 THEN 'fetched' ELSE 'fetch_error' END AS raw_status FROM report)
 SELECT event_id, raw_status, CASE WHEN raw_status = 'fetched' AND review_count = 0 THEN 'empty' ELSE raw_status END AS status,
     status_code <> 200 AS retryable FROM raw"""
 
-ORACLES["terminal_reason_rules"] = _with(PAGES, CHAIN) + f"""
+ORACLES["terminal_reason"] = _with(PAGES, CHAIN) + f"""
 SELECT event_id, {_REASON.format(mark='1704900000')} AS terminal_reason FROM chained"""
 
 ORACLES["page_caught_up"] = _with(PAGES, STATE) + """,
@@ -354,7 +354,7 @@ SELECT event_id, run_id, app_id, page_number, reason AS terminal_reason,
 FROM ended e WHERE NOT EXISTS (SELECT 1 FROM ended x WHERE x.run_id = e.run_id AND x.app_id = e.app_id
     AND x.reason IS NOT NULL AND x.page_number < e.page_number)"""
 
-ORACLES["page_keys"] = _with(PAGES) + """
+ORACLES["page_key"] = _with(PAGES) + """
 SELECT event_id, page_key, run_id || ':' || app_id || ':'
     || CASE WHEN event_id * 7 < 10000 THEN lpad(CAST(event_id * 7 AS VARCHAR), 4, '0') ELSE CAST(event_id * 7 AS VARCHAR) END
     AS long_page_key FROM report"""
@@ -472,7 +472,7 @@ SELECT app_id, app_name, active, notes, row_number, reject_reason FROM checked""
 ORACLES["targets_active"] = _with(TARGETS) + """
 SELECT app_id, app_name, notes FROM checked WHERE reject_reason IS NULL AND active"""
 
-ORACLES["parse_bool_words"] = _with(TARGETS) + """
+ORACLES["parse_bool"] = _with(TARGETS) + """
 SELECT row_number, active AS parsed, CASE WHEN word IS NULL THEN false ELSE active END AS or_false FROM checked"""
 
 ORACLES["payload_parse"] = _with(PAYLOAD) + """
@@ -507,17 +507,31 @@ SELECT DISTINCT run_id, app_id, page_number,
     'app_' || app_id || '_page_' || lpad(CAST(page_number AS VARCHAR), 4, '0') || '.json' AS file_name, true AS found
 FROM placed WHERE page_number % 3 <> 0"""
 
-ORACLES["response_sizes"] = "SELECT page_id, CAST(strlen(html) AS BIGINT) AS response_bytes FROM pages"
-
-ORACLES["clean_text_values"] = r"""
+ORACLES["landed_page_reports"] = _with(PAYLOAD) + """,
+landed AS (SELECT run_id, app_id, page_number, CAST(count(*) AS INTEGER) AS review_count, page_number % 4 = 3 AS unsuccessful,
+    page_number % 10 = 9 AS limited FROM placed GROUP BY run_id, app_id, page_number),
+chained AS (SELECT *, coalesce('c' || CAST(lag(page_number) OVER (PARTITION BY run_id, app_id ORDER BY page_number) AS VARCHAR), '*')
+    AS cursor FROM landed)
+SELECT run_id, app_id, page_number, review_count, cursor, 'c' || CAST(page_number AS VARCHAR) AS next_cursor,
+    CASE WHEN unsuccessful OR limited THEN 'fetch_error' ELSE 'fetched' END AS status,
+    CASE WHEN unsuccessful OR limited THEN 'fetch_error' END AS terminal_reason, limited AS retryable,
+    CASE WHEN limited THEN 'HTTP 429' WHEN unsuccessful THEN 'page did not report success' END AS error_message,
+    'https://reviews.example.org/list/' || app_id || '?json=1&filter=updated&language=english&purchase_type=all'
+        || '&review_type=all&num_per_page=100&cursor=' || replace(cursor, '*', '%2A') AS request_url
+FROM chained c WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.run_id = c.run_id AND l.app_id = c.app_id
+    AND (l.unsuccessful OR l.limited) AND l.page_number < c.page_number)"""
+
+ORACLES["response_bytes"] = "SELECT page_id, CAST(strlen(html) AS BIGINT) AS response_bytes FROM pages"
+
+ORACLES["clean_text"] = r"""
 SELECT doc_id, CASE WHEN doc_id % 20 = 0 THEN NULL ELSE nullif(trim(regexp_replace(text, '\s+', ' ', 'g')), '') END AS cleaned
 FROM documents"""
 
-ORACLES["clean_review_values"] = r"""
+ORACLES["clean_review_text"] = r"""
 SELECT doc_id, CASE WHEN doc_id % 20 = 0 THEN '' ELSE regexp_replace(regexp_replace(text, '\r\n?', chr(10), 'g'), '^\s+', '')
     || chr(10) || 'last' || chr(10) || chr(10) || ' line' END AS cleaned FROM documents"""
 
-ORACLES["timestamp_iso_values"] = """
+ORACLES["timestamp_iso"] = """
 SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 7 THEN NULL ELSE
     strftime(make_timestamp(((l_orderkey - 2000) * 123457 + l_linenumber) * 1000000), '%Y-%m-%dT%H:%M:%S') || '+00:00' END AS iso
 FROM lineitem"""
@@ -528,11 +542,11 @@ SELECT event_id, CASE k % 6 WHEN 0 THEN k WHEN 4 THEN -k END AS int_or_none,
     CASE k % 6 WHEN 0 THEN k WHEN 4 THEN -k ELSE 0 END AS int_or_zero,
     CASE k % 6 WHEN 0 THEN CAST(k AS DOUBLE) WHEN 1 THEN value WHEN 4 THEN -CAST(k AS DOUBLE) END AS float_or_none FROM written"""
 
-ORACLES["mask_urls"] = """
+ORACLES["mask_url"] = """
 SELECT page_id, CASE page_id % 4 WHEN 0 THEN url WHEN 1 THEN replace(url, '://', '://user:***@')
     WHEN 2 THEN replace(url, '://', '://***@') ELSE replace(url, '://', '@') END AS masked FROM pages"""
 
-ORACLES["request_urls"] = """
+ORACLES["request_url"] = """
 SELECT page_id, 'https://reviews.example.org/list/' || CAST(page_id AS VARCHAR)
     || '?json=1&filter=updated&language=english&purchase_type=all&review_type=all&num_per_page=100&cursor='
     || replace(url_encode(url), '%20', '+') AS request_url FROM pages"""

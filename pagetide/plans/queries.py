@@ -34,7 +34,7 @@ from pagetide.plans.store import Store
 from pagetide.schemas import APPS, DEFAULTS, IMPORT_COLUMNS, KEYS, PAGES, RUNS, SYNC_STATE
 from pagetide.session import scratch_root
 from pagetide.sinks.files import sanitize_documents
-from pagetide.sources.landing import attach_documents, loadable
+from pagetide.sources.landing import LANDED, attach_documents, loadable
 from pagetide.sources.targets import active_targets, check_targets, valid_targets
 from pagetide.streaming.upsert import stream_reviews
 
@@ -54,7 +54,8 @@ CHANGE_COLUMNS = [
 
 
 def _query(function: Callable[[Standins], DataFrame]) -> Callable[[Standins], DataFrame]:
-    QUERIES[function.__name__] = lambda spark, folder: function(Standins(spark, folder))
+    # A trailing underscore keeps a query apart from the column function of its name.
+    QUERIES[function.__name__.rstrip("_")] = lambda spark, folder: function(Standins(spark, folder))
     return function
 
 
@@ -221,7 +222,7 @@ def page_filter(s: Standins) -> DataFrame:
 
 
 @_query
-def page_status_rules(s: Standins) -> DataFrame:
+def page_status_(s: Standins) -> DataFrame:
     """Raw status from success flag and HTTP code, the final status, and whether the page is worth another try."""
     success = F.when(F.col("k") % 7 == 0, F.lit("0")).when(F.col("k") % 7 == 1, F.lit(None)).otherwise(F.lit("1"))
     status = raw_status(success, F.col("status_code"))
@@ -238,7 +239,7 @@ def _chained(s: Standins) -> DataFrame:
 
 
 @_query
-def terminal_reason_rules(s: Standins) -> DataFrame:
+def terminal_reason_(s: Standins) -> DataFrame:
     reached = caught_up(F.lit(1_704_900_000), F.col("review_count"), F.col("max_timestamp_updated"))
     reason = terminal_reason(
         F.col("raw_status"), F.col("review_count"), F.col("next_cursor"), F.col("cursor"), F.col("page_number"), PAGE_CAP,
@@ -288,7 +289,7 @@ def delta_stop(s: Standins) -> DataFrame:
 
 
 @_query
-def page_keys(s: Standins) -> DataFrame:
+def page_key_(s: Standins) -> DataFrame:
     return s.page_reports().select(
         "event_id",
         page_key(F.col("run_id"), F.col("app_id"), F.col("page_number")).alias("page_key"),
@@ -495,7 +496,7 @@ def targets_active(s: Standins) -> DataFrame:
 
 
 @_query
-def parse_bool_words(s: Standins) -> DataFrame:
+def parse_bool_(s: Standins) -> DataFrame:
     return s.targets().select(
         "row_number", parse_bool(F.col("active")).alias("parsed"), parse_bool(F.col("active"), default=False).alias("or_false")
     )
@@ -550,29 +551,40 @@ def raw_path_join(s: Standins) -> DataFrame:
 
 
 @_query
-def response_sizes(s: Standins) -> DataFrame:
+def response_bytes_(s: Standins) -> DataFrame:
     return s.table("pages").select("page_id", response_bytes(F.col("html")).alias("response_bytes"))
 
 
+@_query
+def landed_page_reports(s: Standins) -> DataFrame:
+    """Page reports made from landed documents, cut at the first page that ends its app."""
+    landed = normalize.conform(s.payload_pages(), LANDED)
+    made = pages.report_landed_pages(landed, s.state(), BASE_URL)
+    return made.select(
+        "run_id", "app_id", "page_number", "cursor", "next_cursor", "status", "terminal_reason", "review_count",
+        "request_url", "error_message", "retryable",
+    )
+
+
 # Scalar functions
 
 
 @_query
-def clean_text_values(s: Standins) -> DataFrame:
+def clean_text_(s: Standins) -> DataFrame:
     salted = F.concat(F.lit("\t \r\n"), F.col("text"), F.lit(" \n\t"))
     blank = F.when(F.col("doc_id") % 20 == 0, F.lit(" \t\n ")).otherwise(salted)
     return s.table("documents").select("doc_id", clean_text(blank).alias("cleaned"))
 
 
 @_query
-def clean_review_values(s: Standins) -> DataFrame:
+def clean_review_text_(s: Standins) -> DataFrame:
     salted = F.concat(F.lit("\t \r\n"), F.col("text"), F.lit("\rlast\r\n\n line \t\r\n "))
     blank = F.when(F.col("doc_id") % 20 == 0, F.lit(" \r\n ")).otherwise(salted)
     return s.table("documents").select("doc_id", clean_review_text(blank).alias("cleaned"))
 
 
 @_query
-def timestamp_iso_values(s: Standins) -> DataFrame:
+def timestamp_iso_(s: Standins) -> DataFrame:
     """Around the epoch, before it, and far beyond year 9999."""
     seconds = (F.col("l_orderkey") - 2000) * 123_457 + F.col("l_linenumber")
     beyond = F.when(F.col("l_linenumber") == 7, F.lit(253_402_300_800) + F.col("l_orderkey")).otherwise(seconds)
@@ -594,7 +606,7 @@ def lenient_casts(s: Standins) -> DataFrame:
 
 
 @_query
-def mask_urls(s: Standins) -> DataFrame:
+def mask_url_(s: Standins) -> DataFrame:
     kind, url = F.col("page_id") % 4, F.col("url")
     with_user = (
         F.when(kind == 0, url)
@@ -606,5 +618,5 @@ def mask_urls(s: Standins) -> DataFrame:
 
 
 @_query
-def request_urls(s: Standins) -> DataFrame:
+def request_url_(s: Standins) -> DataFrame:
     return s.table("pages").select("page_id", request_url(BASE_URL, F.col("page_id").cast("string"), F.col("url")).alias("request_url"))

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +48,33 @@ def scratch_root(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write once, read back: cuts the lineage, fixes row-dependent columns, and lets later reads prune columns."""
+_scopes = threading.local()
+
+
+def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """Write once, read back: cuts the lineage, fixes row-dependent columns, and lets later reads prune columns.
+
+    The copy lives in the shared scratch folder, so a lost executor loses nothing. Inside `scratch` it is deleted at the
+    end, unless `keep` is set.
+    """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/pagetide-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    open_scopes = getattr(_scopes, "open", [])
+    if open_scopes and not keep:
+        open_scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the copies made inside, once the job that needs them is done or has failed."""
+    _scopes.open = [*getattr(_scopes, "open", []), []]
+    try:
+        yield
+    finally:
+        *outer, paths = _scopes.open
+        _scopes.open = outer
+        for folder in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

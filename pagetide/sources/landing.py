@@ -58,6 +58,14 @@ def read_raw_pages(spark: SparkSession, run_dirs: str | list[str], pattern: str
     )
 
 
+def list_raw_pages(spark: SparkSession, run_dirs: str | list[str], pattern: str = PAGE_FILES) -> DataFrame:
+    """Runs and names of the landed documents. The binary source lists files without opening them."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(_as_list(run_dirs))
+    return files.select(
+        F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("run_id"), base_name(F.col("path")).alias("file_name")
+    )
+
+
 LANDED = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("file_name", T.StringType()),

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pagetide.functions import page_status, raw_status
-from pagetide.operators.merges import ReviewMerge, merge_reviews
+from pagetide.operators.merges import merge_reviews
 from pagetide.operators.normalize import explode_reviews, normalize_reviews, parse_payload
 from pagetide.plans.store import CHANGES, Store
-from pagetide.session import materialise
+from pagetide.session import materialise, scratch
 from pagetide.sources.landing import read_landed_pages
 
 
@@ -34,12 +34,10 @@ def merge_batch(store: Store, name: str, order: list[str], hot_rows: int | None
         token = f"{name}-{batch_id}"
         if store.has(token):
             return
-        staged = materialise(batch, "batch")
-        merged = merge_reviews(store.read("reviews"), staged, order, hot_rows=hot_rows)
-        merged = ReviewMerge(merged.existing, materialise(merged.folded, "folded"), order, None)
-        store.publish(
-            {"reviews": (CHANGES, merged.changed), "review_changes": (CHANGES, merged.changes)}, token
-        )
+        with scratch(store.spark):
+            staged = materialise(batch, "batch")
+            merged = merge_reviews(store.read("reviews"), staged, order, hot_rows=hot_rows).stored_once()
+            store.publish({"reviews": (CHANGES, merged.changed), "review_changes": (CHANGES, merged.changes)}, token)
 
     return merge
 
