@@ -40,9 +40,19 @@ def conform(df: DataFrame, schema: T.StructType, defaults: dict[str, Any] | None
     return df.select(*(column(field) for field in schema))
 
 
-def parse_payload(df: DataFrame, document: str = "document") -> DataFrame:
-    """Adds `payload`. Only the contract's fields are parsed, so personal author fields never enter a row."""
-    return df.withColumn("payload", F.from_json(document, PAYLOAD))
+def parse_payload(df: DataFrame, document: str = "document", strict: bool = False) -> DataFrame:
+    """Adds `payload`. Only the contract's fields are parsed, so personal author fields never enter a row.
+
+    An unreadable document gives an empty payload, or fails the job in strict mode, in the same pass over the documents.
+    """
+    parsed = df.withColumn("payload", F.from_json(document, PAYLOAD))
+    if not strict:
+        return parsed
+    readable = F.col(document).rlike(r"^\s*\{\s*\}\s*$")
+    for name in PAYLOAD.names:
+        readable = readable | F.col(f"payload.{name}").isNotNull()
+    message = F.concat(F.lit("raw page is not readable: "), F.substring(F.col(document), 1, 80))
+    return parsed.withColumn("payload", F.when(readable, F.col("payload")).otherwise(F.raise_error(message)))
 
 
 def sanitize_author(reviews: Column) -> Column:

@@ -31,7 +31,7 @@ from pagetide.sources.targets import active_targets, load_targets
 
 def validate(store: Store, run_id: str | None = None) -> dict[str, DataFrame]:
     """The validation report: long-form metrics and the list of app states."""
-    tables = {name: store.read(name) for name in ("reviews", "apps", "pages", "review_changes", "sync_state")}
+    tables = store.read_all(["reviews", "apps", "pages", "review_changes", "sync_state"])
     metrics = validation_report(
         tables["reviews"], tables["apps"], tables["pages"], tables["review_changes"], tables["sync_state"], run_id
     )

@@ -19,7 +19,7 @@ from pagetide.operators.quality import enforce
 from pagetide.operators.reports import fetch_summary, load_summary
 from pagetide.plans.store import CHANGES, FULL, Store
 from pagetide.schemas import KEYS, TABLES
-from pagetide.session import materialise, scratch
+from pagetide.session import materialise, scratch, sized_shuffle
 from pagetide.sources.landing import (
     REPORT_ORDER,
     attach_documents,
@@ -36,9 +36,9 @@ def utc_now() -> str:
     return datetime.now(timezone.utc).isoformat()
 
 
-def incoming_reviews(reports: DataFrame, files: DataFrame, order: list[str]) -> DataFrame:
+def incoming_reviews(reports: DataFrame, files: DataFrame, order: list[str], strict: bool = True) -> DataFrame:
     """All reviews of the loaded runs as table rows, with their load order."""
-    pages = parse_payload(attach_documents(reports, files)).drop("document")
+    pages = parse_payload(attach_documents(reports, files), strict=strict).drop("document")
     return normalize_reviews(explode_reviews(pages), [*order, "pos"])
 
 
@@ -56,7 +56,9 @@ def load_runs(
     where = (run_dirs if isinstance(run_dirs, str) else ",".join(run_dirs)).rstrip("/")
     reports, files = read_page_reports(spark, run_dirs), read_raw_pages(spark, run_dirs)
     names = list_raw_pages(spark, run_dirs)
-    return load_pages(store, reports, files, REPORT_ORDER, where, targets, targets_path, strict, check, hot_rows, names)
+    size = names.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    with sized_shuffle(spark, size):
+        return load_pages(store, reports, files, REPORT_ORDER, where, targets, targets_path, strict, check, hot_rows, names)
 
 
 def load_pages(
@@ -77,8 +79,8 @@ def load_pages(
     `file_names` (run_id, file_name) lists the documents where that is cheaper than reading the names off `files`.
 
     `order` sorts the reports in load order and starts with the run. Several runs are folded in one job, in run-id order,
-    with the same result as loading them one by one. In strict mode a report without its document raises; `check` tests
-    every constraint before anything becomes visible.
+    with the same result as loading them one by one. In strict mode a report without its document, or with one that is no
+    JSON, raises; `check` tests every constraint before anything becomes visible.
     """
     with scratch(store.spark):
         return _load(store, reports, files, file_names, order, raw_dir, targets, targets_path, strict, check, hot_rows)
@@ -99,14 +101,15 @@ def _load(
 ) -> DataFrame:
     loaded_at = utc_now()
     reports = materialise(reports, "reports")
+    stored = store.read_all(["runs", "apps", "pages", "reviews"])
     if strict:
         lost = reports_without_document(reports, files if file_names is None else file_names).select("raw_json_path").first()
         if lost is not None:
             raise FileNotFoundError(f"raw page does not exist: {lost['raw_json_path']}")
 
-    reviews = materialise(incoming_reviews(reports, files, order), "reviews")
+    reviews = materialise(incoming_reviews(reports, files, order, strict), "reviews")
     # The fold feeds the table, the change log and the counters, so its result is written once.
-    merge = merge_reviews(store.read("reviews"), reviews, [*order, "pos"], loaded_at, hot_rows).stored_once()
+    merge = merge_reviews(stored["reviews"], reviews, [*order, "pos"], loaded_at, hot_rows).stored_once()
 
     seen = reviews.groupBy("run_id").agg(F.count("*").alias("reviews_seen"))
     summary = materialise(load_summary(reports, merge.outcomes, seen), "summary", keep=True)
@@ -121,10 +124,10 @@ def _load(
         F.col("reviews_seen").alias("review_count"),
         "reviews_inserted", "reviews_updated", "duplicates_skipped", "fetch_errors", "rate_limited_pages",
     )
-    pages = incoming_pages(store.read("pages"), page_rows(reports, order), order)
+    pages = incoming_pages(stored["pages"], page_rows(reports, order), order)
     writes = {
-        "runs": (FULL, merge_runs(store.read("runs"), runs)),
-        "apps": (FULL, merge_apps(store.read("apps"), seen_apps(reports, order, targets))),
+        "runs": (FULL, merge_runs(stored["runs"], runs)),
+        "apps": (FULL, merge_apps(stored["apps"], seen_apps(reports, order, targets))),
         "pages": (CHANGES, pages),
         "reviews": (CHANGES, merge.changed),
         "review_changes": (CHANGES, merge.changes),
@@ -133,8 +136,8 @@ def _load(
         writes = {name: (kind, materialise(df.select(*TABLES[name].names), name)) for name, (kind, df) in writes.items()}
         enforce(_after(store, writes))
     store.publish(writes)
-    for table in ("pages", "reviews", "review_changes"):
-        if store.pending_changes(table) > COMPACT_AFTER:
+    for table, loads in store.pending_changes().items():
+        if loads > COMPACT_AFTER:
             store.compact(table)
     return summary
 
@@ -146,6 +149,6 @@ def _after(store: Store, writes: dict[str, tuple[str, DataFrame]]) -> dict[str,
         if kind == FULL:
             tables[name] = rows
         else:
-            stored = store.read(name).join(rows.select(*KEYS[name]), KEYS[name], "left_anti")
-            tables[name] = stored.select(*rows.columns).unionByName(rows)
+            untouched = store.read(name).join(rows.select(*KEYS[name]), KEYS[name], "left_anti")
+            tables[name] = untouched.select(*rows.columns).unionByName(rows)
     return tables

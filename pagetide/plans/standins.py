@@ -179,7 +179,7 @@ class Standins:
             doc.alias("order"),
             F.concat(F.lit(" "), as_text).alias("recommendationid"),
             F.struct(
-                F.concat(F.lit("7656"), as_text).alias("steamid"),
+                F.concat(F.lit("person-"), as_text).alias("account"),
                 F.lit("someone").alias("personaname"),
                 (doc * 3).alias("playtime_forever"),
                 F.when(doc % 4 != 0, doc % 60).alias("playtime_last_two_weeks"),

@@ -45,8 +45,16 @@ class Store:
         return any(row["token"] == token for row in self._log())
 
     def read(self, table: str) -> DataFrame:
+        return self.read_all([table])[table]
+
+    def read_all(self, tables: list[str]) -> dict[str, DataFrame]:
+        """Several tables as of the same load."""
+        log = self._log()
+        return {table: self._table(table, log) for table in tables}
+
+    def _table(self, table: str, log: list) -> DataFrame:
         schema = TABLES[table]
-        entries = [row for row in self._log() if row["table_name"] == table]
+        entries = [row for row in log if row["table_name"] == table]
         full = [row for row in entries if row["kind"] == FULL]
         start = full[-1]["load"] if full else 0
         changes = [row for row in entries if row["kind"] == CHANGES and row["load"] > start]
@@ -93,7 +101,9 @@ class Store:
     def compact(self, table: str) -> int:
         return self.publish({table: (FULL, self.read(table))})
 
-    def pending_changes(self, table: str) -> int:
-        entries = [row for row in self._log() if row["table_name"] == table]
-        start = max((row["load"] for row in entries if row["kind"] == FULL), default=0)
-        return sum(1 for row in entries if row["kind"] == CHANGES and row["load"] > start)
+    def pending_changes(self) -> dict[str, int]:
+        """Loads since the last full write, per table."""
+        pending: dict[str, int] = {}
+        for row in self._log():
+            pending[row["table_name"]] = 0 if row["kind"] == FULL else pending.get(row["table_name"], 0) + 1
+        return pending

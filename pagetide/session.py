@@ -12,7 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Rows of one group (key, app, run ...) beyond which the group is split over several tasks.
 HOT_ROWS_SETTING = "spark.pagetide.hotGroupRows"
-HOT_ROWS_DEFAULT = 2_000_000
+HOT_ROWS_DEFAULT = 500_000
+
+# What one shuffle partition should hold at most, and the number of partitions a driver still plans well.
+PARTITION_BYTES = 128 * 1024 * 1024
+MAX_PARTITIONS = 100_000
 
 
 def build_session(app_name: str = "pagetide", master: str | None = None, **conf: str) -> SparkSession:
@@ -39,6 +43,19 @@ def hot_rows_limit(spark: SparkSession, override: int | None = None) -> int:
     return int(spark.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS_DEFAULT)))
 
 
+@contextmanager
+def sized_shuffle(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Enough shuffle partitions for the input, never fewer than set. Adaptive execution merges those that stay small."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    needed = min(MAX_PARTITIONS, -(-input_bytes // PARTITION_BYTES))
+    spark.conf.set(name, str(max(int(before), needed)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach; a machine-local one only where the cluster names none (tests)."""
     shared = spark.conf.get("spark.checkpoint.dir", None)

@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from pagetide.operators.normalize import conform, sanitize_author
 from pagetide.operators.reports import export_reviews, run_scope
-from pagetide.schemas import PAYLOAD
-from pagetide.sources.landing import LANDED
+from pagetide.schemas import PAGE_REPORT, PAYLOAD
+from pagetide.sources.landing import LANDED, REPORT_FILE
 
 FORMATS = ("csv", "jsonl")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="", nullValue="")
+    df.write.mode("overwrite").csv(
+        path, header=True, escape='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -22,6 +24,11 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.select(*sorted(df.columns)).write.mode("overwrite").json(path, ignoreNullFields=False)
 
 
+def write_page_reports(reports: DataFrame, run_dir: str, order: list[str]) -> None:
+    """Page reports of one run in load order, where `read_page_reports` looks for them."""
+    write_jsonl(conform(reports.orderBy(*order), PAGE_REPORT), f"{run_dir.rstrip('/')}/{REPORT_FILE}")
+
+
 def export_table(
     reviews: DataFrame, apps: DataFrame, path: str, output_format: str = "csv", run_id: str | None = None
 ) -> dict:

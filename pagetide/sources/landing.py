@@ -28,7 +28,10 @@ def _as_list(paths: str | list[str]) -> list[str]:
 
 
 def read_page_reports(spark: SparkSession, run_dirs: str | list[str]) -> DataFrame:
-    """Page reports of one or more run directories (globs allowed) in file order. The run is named by its directory."""
+    """Page reports of one or more run directories (globs allowed) in file order. The run is named by its directory.
+
+    The report may be one file, or a folder of part files as `write_page_reports` makes it.
+    """
     paths = [f"{d.rstrip('/')}/{REPORT_FILE}" for d in _as_list(run_dirs)]
     as_text = T.StructType([T.StructField(field.name, T.StringType()) for field in PAGE_REPORT])
     try:
@@ -37,7 +40,7 @@ def read_page_reports(spark: SparkSession, run_dirs: str | list[str]) -> DataFra
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"page report file does not exist: {', '.join(paths)}") from error
         raise
-    run_id = F.regexp_extract(_file_path(), r"([^/]+)/[^/]+$", 1)
+    run_id = F.regexp_extract(_file_path(), rf"([^/]+)/{REPORT_FILE}(?:/[^/]*)?$", 1)
     typed = [
         (run_id if field.name == "run_id" else F.col(field.name).try_cast(field.dataType)).alias(field.name)
         for field in PAGE_REPORT
@@ -59,10 +62,12 @@ def read_raw_pages(spark: SparkSession, run_dirs: str | list[str], pattern: str
 
 
 def list_raw_pages(spark: SparkSession, run_dirs: str | list[str], pattern: str = PAGE_FILES) -> DataFrame:
-    """Runs and names of the landed documents. The binary source lists files without opening them."""
+    """Runs, names and sizes of the landed documents. The binary source lists files without opening them."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(_as_list(run_dirs))
     return files.select(
-        F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("run_id"), base_name(F.col("path")).alias("file_name")
+        F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("run_id"),
+        base_name(F.col("path")).alias("file_name"),
+        F.col("length").alias("bytes"),
     )
 
 

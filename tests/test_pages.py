@@ -8,8 +8,8 @@ from pagetide.operators.pages import report_landed_pages
 from pagetide.plans.load import load_pages
 from pagetide.plans.store import Store
 from pagetide.schemas import SYNC_STATE
-from pagetide.sinks.files import land_pages, sanitize_documents
-from pagetide.sources.landing import read_landed_pages
+from pagetide.sinks.files import land_pages, sanitize_documents, write_page_reports
+from pagetide.sources.landing import REPORT_ORDER, read_landed_pages, read_page_reports
 
 PAGE = "run_id string, app_id string, app_name string, page_number int, status_code int, attempt_count int, fetched_at string, raw_json_path string, document string"
 
@@ -84,7 +84,7 @@ def test_landing_drops_personal_fields_and_keeps_the_input(spark, tmp_path):
     assert "example-user" not in document and pages.first()["document"] == before
     land_pages(pages, str(tmp_path / "landed"))
     read = spark.read.parquet(str(tmp_path / "landed"))
-    assert read.select("run_id").first()[0] == "r1" and "steamid" not in read.first()["document"]
+    assert read.select("run_id").first()[0] == "r1" and "person-17" not in read.first()["document"]
 
 
 def test_landed_pages_are_reported_and_loaded(spark, tmp_path):
@@ -96,6 +96,9 @@ def test_landed_pages_are_reported_and_loaded(spark, tmp_path):
     summary = load_pages(store, made, files, ["run_id", "page_number"], str(tmp_path / "landed")).first()
     assert (summary["pages_upserted"], summary["reviews_inserted"]) == (2, 3)
     assert {r["terminal_reason"] for r in store.read("pages").collect()} == {None, "caught_up_to_existing_reviews"}
+    write_page_reports(made, str(tmp_path / "run-w"), ["page_number"])
+    back = read_page_reports(spark, str(tmp_path / "run-w")).orderBy(*REPORT_ORDER).collect()
+    assert [(r["run_id"], r["page_number"], r["max_timestamp_updated"]) for r in back] == [("run-w", 1, 9), ("run-w", 2, 5)]
 
 
 def test_watermark_over_several_runs(spark):
