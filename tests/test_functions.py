@@ -22,6 +22,16 @@ def test_clean_review_text(spark):
     assert values(spark, inputs, fn.clean_review_text) == expected
 
 
+def test_white_space_is_that_of_python(spark):
+    spaces = [chr(i) for i in range(1, 0x3100) if chr(i).isspace()]
+    others = ["\u200b", "\ufeff", "\x00", "\x1b"]
+    inputs = [f"{c}x{c}{c}y{c}" for c in spaces + others]
+    assert values(spark, inputs, fn.clean_review_text) == [
+        t.replace("\r\n", "\n").replace("\r", "\n").strip() for t in inputs
+    ]
+    assert values(spark, inputs, fn.clean_text) == [" ".join(t.split()) for t in inputs]
+
+
 def test_timestamp_iso_in_any_time_zone(spark):
     inputs = [None, 0, -1, 1_600_000_000, 253_402_300_799, 253_402_300_800, -62_135_596_800, -62_135_596_801, 2**62]
     expected = [
