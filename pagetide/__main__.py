@@ -59,7 +59,8 @@ def _execute(spark: SparkSession, args: argparse.Namespace) -> None:
         print(import_tables(store, args.snapshot))
     else:
         for run_dir in args.run_dir:
-            run_daily(spark, store, run_dir, args.targets, args.reports, args.review_filter, args.disable_delta_stop)
+            report_path = f"{args.reports.rstrip('/')}/{run_dir.rstrip('/').rsplit('/', 1)[-1]}"
+            run_daily(spark, store, run_dir, args.targets, report_path, args.review_filter, args.disable_delta_stop)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -219,6 +219,8 @@ def test_command_line(spark, tmp_path, capsys):
     main(["advance", *folder, "--run-dir", run])
     main(["validate", *folder, "--output", str(tmp_path / "report")])
     main(["export", *folder, "--output", str(tmp_path / "out"), "--format", "jsonl"])
+    main(["daily", *folder, "--run-dir", run, "--targets", write_targets(tmp_path), "--reports", str(tmp_path / "daily")])
+    assert (tmp_path / "daily" / "run-c" / "daily_report" / "job").is_dir()
     shown = capsys.readouterr().out
     assert "run-c" in shown and "backlogged_count" in shown and "'review_count': 1" in shown
     assert spark.read.json(str(tmp_path / "report" / "metrics")).filter("name = 'reviews'").first()["value"] == 1
