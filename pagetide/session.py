@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,9 +57,12 @@ def sized_shuffle(spark: SparkSession, input_bytes: int) -> Iterator[None]:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder every executor can reach; a machine-local one only where the cluster names none (tests)."""
+    """The folder every executor can reach. Only a single-machine session may go without naming one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         shared = tempfile.mkdtemp(prefix="pagetide-scratch-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return shared.rstrip("/")
@@ -68,7 +71,7 @@ def scratch_root(spark: SparkSession) -> str:
 _scopes = threading.local()
 
 
-def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+def materialise(df: DataFrame, name: str, keep: bool = False, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write once, read back: cuts the lineage, fixes row-dependent columns, and lets later reads prune columns.
 
     The copy lives in the shared scratch folder, so a lost executor loses nothing. Inside `scratch` it is deleted at the
@@ -76,7 +79,7 @@ def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/pagetide-{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     open_scopes = getattr(_scopes, "open", [])
     if open_scopes and not keep:
         open_scopes[-1].append(path)
