@@ -60,4 +60,57 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM figures
 """
 
-ORACLES: dict[str, str] = {"op8_quality_rules": _QUALITY}
+_LINES = r"""
+WITH numbered AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+each_line AS (
+  SELECT rid, doc_id, unnest(range(0, len(lines))) AS pos, unnest(lines) AS line FROM numbered
+),
+keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM each_line
+),
+repeated AS (
+  SELECT key, max(doc_id) AS largest FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT rid) >= 3
+),
+marked AS (
+  SELECT k.*, r.key IS NOT NULL AND k.doc_id IS DISTINCT FROM r.largest AS gone FROM keyed k LEFT JOIN repeated r USING (key)
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY rid, doc_id
+"""
+
+_NEAR = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ 	-]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+                      ELSE list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) END AS s
+  FROM words
+),
+members AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM members a JOIN members b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON e.a = r.other
+),
+smallest AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM sets s JOIN smallest c USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": _LINES,
+    "op8_quality_rules": _QUALITY,
+    "op10_minhash_near_dedup": _NEAR,
+}
