@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pagetide.llm.common import table
 from pagetide.llm.linedup import dedup_lines
 from pagetide.llm.minhash import near_duplicates
+from pagetide.llm.mixing import mix_sources
+from pagetide.llm.packing import pack, token_pieces
 from pagetide.llm.quality import quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +39,15 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
+@_query
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_pieces(table(spark, sf_dir, "documents"))
+    return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+@_query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
