@@ -6,16 +6,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetide.llm.common import DOCUMENT_COLUMNS, table
+from pagetide.llm.linedup import dedup_lines
+from pagetide.llm.minhash import near_duplicates
+from pagetide.llm.mixing import mix_sources
+from pagetide.llm.packing import pack, token_pieces
 from pagetide.llm.quality import quality_rules
 from pagetide.session import materialise
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failing lines and rejected documents go."""
-    return docs
+    """Documents that the rules reject go; the others keep the lines that passed."""
+    judged = quality_rules(docs, carry=("lang", "source")).filter("kept")
+    return judged.select(
+        "doc_id", F.col("cleaned_text").alias("text"), "lang", "source", F.length("cleaned_text").cast("bigint").alias("n_chars")
+    )
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that three documents share stay in the document with the largest doc_id only; no document goes."""
+    kept = dedup_lines(docs, carry=("lang", "source"))
+    return kept.withColumn("n_chars", F.length("text").cast("bigint")).select(*DOCUMENT_COLUMNS)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays: the one with the smallest doc_id."""
+    gone = near_duplicates(docs).filter("not kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target asks for."""
+    mixed = mix_sources(docs, carry=("text", "lang", "source", "n_chars"))
+    copies = mixed.withColumn("copy", F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int"))))
+    return copies.select(*DOCUMENT_COLUMNS)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document goes in the training sequences."""
+    pieces = token_pieces(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pack(pieces)
 
 
-STAGES = [("quality_rules", quality)]
+STAGES = [
+    ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("minhash_near_dedup", near),
+    ("mixing", mix),
+    ("best_fit_packing", packing),
+]
 
 # Newton iterations and best-fit packing cannot be stated in SQL; tests compare the stages with plain versions.
 ORACLE_SQL = None
@@ -26,5 +64,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = materialise(docs, f"pipeline-{name}")
+            docs = materialise(docs, f"pipeline-{name}", keep=True)
     return docs

@@ -3,7 +3,8 @@
 Only DataFrame functions. Everything is computed within the row, so there is no shuffle and no group can be hot.
 
 Defined results: a null text has no lines and no words; documents without words fail the base rules; repeated rows are judged
-one by one; an empty table gives an empty table; only the columns `doc_id` and `text` are looked at.
+one by one; an empty table gives an empty table; only `doc_id`, `text` and the
+`carry` are read.
 """
 
 from __future__ import annotations
@@ -89,18 +90,20 @@ def line_passes(line: Column, rules: LineRules) -> Column:
     return punctuation & navigation & boilerplate
 
 
-def quality_rules(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
-    """One row per document: doc_id, the base figures, `cleaned_text` (the lines that passed, with blank lines between them
+def quality_rules(docs: DataFrame, rules: LineRules = LineRules(), carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, `carry`, the base figures, `cleaned_text` (the lines that passed, with blank lines between them
     untouched), the characters before and after, and the verdict `kept`."""
     text = F.col("text")
-    parts = docs.select("doc_id", "text").select(
+    parts = docs.select("doc_id", "text", *carry).select(
         "doc_id",
+        *carry,
         "text",
         F.coalesce(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.array().cast("array<string>")).alias("words"),
         F.coalesce(F.split("text", "\n"), F.array().cast("array<string>")).alias("lines"),
     )
     judged = parts.select(
         "doc_id",
+        *carry,
         F.size("words").alias("n_words"),
         F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         F.coalesce(F.regexp_count("text", F.lit(SYMBOLS)), F.lit(0)).cast("bigint").alias("n_symbols"),
@@ -117,6 +120,7 @@ def quality_rules(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     characters = lambda lines: F.length(F.array_join(F.transform(lines, lambda x: x["line"]), "")).cast("bigint")
     counted = judged.select(
         "doc_id",
+        *carry,
         F.col("n_words").cast("bigint").alias("n_words"),
         "word_chars",
         "n_symbols",
@@ -136,4 +140,7 @@ def quality_rules(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     )
     lost = F.col("chars_before") - F.col("chars_after")
     verdict = ~F.col("base_failed") & (100 * lost <= rules.max_lost_percent * F.col("chars_before"))
+    # Always true. It keeps filters on the verdict above this projection; below it they would compute every figure again,
+    # and split the text anew for each word.
+    verdict = verdict & (F.monotonically_increasing_id() >= 0)
     return counted.withColumn("kept", verdict)
