@@ -13,6 +13,7 @@ from pagetide.llm.minhash import near_duplicates
 from pagetide.llm.mixing import mix_sources
 from pagetide.llm.packing import pack, token_pieces
 from pagetide.llm.quality import quality_rules
+from pagetide.llm.sharding import kd_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -51,3 +52,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@_query
+def op3_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards(table(spark, sf_dir, "documents"), shards=8).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
