@@ -6,9 +6,9 @@ the sketch are buckets, and each bucket links its members to its smallest one, s
 Every candidate is confirmed on the full sets.
 
 A star alone can miss a link between two members that are both unlike the centre. Buckets whose members are not yet in one
-component therefore go on: in each further round the next members become centres (three, then twelve, then 48 ...) for the
-members of other components, until the bucket is one component or every member was a centre. Components shrink the work
-first, so real groups end after one star; the rest costs what telling those members apart costs.
+component therefore go on: members with too many shingles of their own to have any link leave them, by an exact bound, and in
+each further round more of the rest become centres (4, 16, 64 ...) for the members of other components, until the bucket is one
+component or every member was a centre. Real groups end after one star, and strays at the bound, so the rounds are few.
 
 Defined results: texts without words and null texts have an empty set and are linked with nothing; rows with a null doc_id are
 linked with nothing, have a null component and are kept; a repeated row belongs to the same class; an empty table gives an empty
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetide.llm.common import rank_in_cells
@@ -201,14 +201,66 @@ def components(edges: DataFrame) -> DataFrame:
         return materialise(stars.unionByName(roots), "components", keep=True)
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets are similar enough."""
+def measure(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with `shared`, how many shingles the full sets share, and whether that makes them `linked`."""
     of_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
     centres = sets.join(pairs.select(F.col("a").alias("node")).distinct(), "node", "left_semi")
     both = of_b.join(centres.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    measured = both.select("a", "b", shared.alias("shared"), (F.size("set_a") + F.size("set_b")).alias("total"))
-    return measured.filter(100 * F.col("shared") >= percent * (F.col("total") - F.col("shared"))).select("a", "b").distinct()
+    counted = both.select(
+        "a", "b", F.size(F.array_intersect("set_a", "set_b")).alias("shared"), (F.size("set_a") + F.size("set_b")).alias("total")
+    )
+    linked = 100 * F.col("shared") >= percent * (F.col("total") - F.col("shared"))
+    return counted.select("a", "b", "shared", linked.alias("linked"))
+
+
+def open_members(members: DataFrame) -> DataFrame:
+    """The members of those buckets that hold more than one component."""
+    mixed = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    return members.join(mixed.select("bucket"), "bucket", "left_semi")
+
+
+def linkable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those members that can have a link to another one, with `common`: how many of their shingles any other member holds.
+
+    A link shares at least percent / (100 + percent) of the two sizes together, and cannot share more than `common`. The bound
+    is exact. The centres of the buckets count as holders.
+    """
+    nodes = members.select(F.explode(F.array("node", "centre")).alias("node")).distinct()
+    held = sets.join(nodes, "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
+    holders = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("node").alias("node"))
+    own = holders.filter("holders = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    sized = members.join(own, "node", "left").withColumn("common", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
+    least = members.groupBy("bucket").agg(F.min("n").alias("least"))
+    partner = F.greatest(F.col("least"), F.ceil(percent * F.col("n") / 100))
+    fits = (100 + percent) * F.col("common") >= percent * (F.col("n") + partner)
+    return sized.join(least, "bucket").filter(fits).drop("least")
+
+
+def further_pairs(members: DataFrame, centres: int, percent: int) -> DataFrame:
+    """Pairs of the first `centres` members of a bucket with later members of other components that may be linked.
+
+    Two members share at most what the one with less of it shares with the bucket's centre, plus what the one with less of it
+    shares with other members outside the centre. Sizes and this bound leave out pairs exactly.
+    """
+    lead = members.filter(F.col("place") < centres).select(
+        "bucket", *[F.col(name).alias(f"{name}_a") for name in ["node", "n", "common", "of_centre", "place", "label"]]
+    )
+    n, n_a = F.col("n"), F.col("n_a")
+    outside = F.least(F.col("common") - F.col("of_centre"), F.col("common_a") - F.col("of_centre_a"))
+    measured = F.col("of_centre").isNotNull() & F.col("of_centre_a").isNotNull()
+    most = F.when(measured, F.least("of_centre", "of_centre_a") + outside).otherwise(F.least("common", "common_a"))
+    pairs = lead.join(members, "bucket").filter(
+        (F.col("place") > F.col("place_a"))
+        & (F.col("label") != F.col("label_a"))
+        & close(n, n_a, percent)
+        & ((100 + percent) * most >= percent * (n + n_a))
+    )
+    return pairs.select(F.col("node_a").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def close(n: Column, other: Column, percent: int) -> Column:
+    """Whether sets of these sizes can be similar enough."""
+    return (100 * n >= percent * other) & (100 * other >= percent * n)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 32, rows: int = 5) -> DataFrame:
@@ -218,7 +270,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    close = lambda x, y: (100 * F.col(x) >= percent * F.col(y)) & (100 * F.col(y) >= percent * F.col(x))
     signed = materialise(signatures(docs, words, bands, rows), "signatures", keep=True)
     with scratch(spark):
         full = signed.filter("n_shingles > 0 and doc_id is not null")
@@ -232,38 +283,31 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
         sets = materialise(shingle_sets(docs.join(nodes, "doc_id", "left_semi"), words), "shingle-sets")
         sizes = shared.select(F.col("node").alias("a"), F.col("n").alias("n_a")).distinct()
         tried = shared.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b"), "n").distinct()
-        tried = materialise(tried.join(sizes, "a").filter(close("n", "n_a")).select("a", "b"), "tried")
-        links = materialise(confirm(tried, sets, percent), "links")
+        tried = tried.join(sizes, "a").filter(close(F.col("n"), F.col("n_a"), percent)).select("a", "b")
+        first = materialise(measure(tried, sets, percent).distinct(), "measured")
+        tried, links = first.select("a", "b"), first.filter("linked").select("a", "b")
+        of_centre = first.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.col("shared").alias("of_centre"))
+        of_centre = of_centre.groupBy("centre", "node").agg(F.max("of_centre").alias("of_centre"))
+        shared = shared.join(of_centre, ["centre", "node"], "left").withColumn(
+            "of_centre", F.when(F.col("node") == F.col("centre"), F.col("n")).otherwise(F.col("of_centre"))
+        )
+        shared = materialise(shared, "measured-buckets")
         labels, centres = components(links), 1
         while True:
-            labelled = shared.join(labels, "node", "left").select(
-                "bucket", "node", "n", F.coalesce("label", "node").alias("label")
-            )
-            open_buckets = (
-                labelled.groupBy("bucket")
-                .agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
-                .filter((F.col("low") != F.col("high")) & (F.col("size") > centres + 1))
-                .select("bucket")
-            )
-            left = materialise(labelled.join(open_buckets, "bucket", "left_semi"), "open-buckets")
-            count = left.count()
-            if not count:
+            labelled = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            left = materialise(open_members(labelled), "open-members")
+            left = materialise(open_members(linkable(left, sets, percent)), "open-members")
+            largest = left.groupBy("bucket").count().agg(F.max("count").alias("most"), F.sum("count").alias("rows")).first()
+            if (largest["most"] or 0) <= centres:
                 break
-            ranked = rank_in_cells(left, ["bucket"], ["node"], "place", count)
+            centres *= 4
+            ranked = rank_in_cells(left, ["bucket"], ["node"], "place", largest["rows"])
             ranked = materialise(ranked, "open-ranked")
-            lead = ranked.filter((F.col("place") >= centres) & (F.col("place") < 4 * centres)).select(
-                "bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("place_a"),
-                F.col("label").alias("label_a"),
-            )
-            pairs = lead.join(ranked, "bucket").filter(
-                (F.col("place") > F.col("place_a")) & (F.col("label") != F.col("label_a")) & close("n", "n_a")
-            )
-            pairs = pairs.select("a", F.col("node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-            pairs = materialise(pairs, "further-pairs")
-            tried = materialise(tried.unionByName(pairs), "tried")
-            found = confirm(pairs, sets, percent)
-            links = materialise(links.unionByName(found), "links")
-            labels, centres = components(links), 4 * centres
+            pairs = further_pairs(ranked, centres, percent).join(tried, ["a", "b"], "left_anti")
+            found = materialise(measure(pairs, sets, percent), "further-pairs")
+            tried = tried.unionByName(found.select("a", "b"))
+            links = links.unionByName(found.filter("linked").select("a", "b"))
+            labels = components(links)
     placed = signed.select("doc_id", "n_shingles", "set_key").join(
         classes, (signed["set_key"] == classes["set_key"]) & (signed["n_shingles"] > 0) & signed["doc_id"].isNotNull(), "left"
     ).select("doc_id", "n_shingles", "node")
