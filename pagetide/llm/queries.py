@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetide.llm.common import table
+from pagetide.llm.langid import identify_languages, train_language_model
 from pagetide.llm.linedup import dedup_lines
 from pagetide.llm.minhash import near_duplicates
 from pagetide.llm.mixing import mix_sources
+from pagetide.llm.ngrams import remainder
 from pagetide.llm.packing import pack, token_pieces
 from pagetide.llm.quality import quality_rules
 from pagetide.llm.sharding import kd_shards
+from pagetide.llm.toxicity import score_toxicity, train_toxicity_model
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -60,3 +63,21 @@ def op3_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@_query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify_languages(docs, train_language_model(docs))
+    held_out = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@_query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_toxicity(docs, train_toxicity_model(docs, table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
