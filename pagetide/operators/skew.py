@@ -59,14 +59,14 @@ def split_hot_groups(df: DataFrame, keys: list[str], order: list[str], hot_rows:
     return Split(df.filter(~is_hot), ranged.withColumn(CHUNK, F.spark_partition_id()))
 
 
-def text_bytes(df: DataFrame) -> Column:
-    texts = [name for name, kind in df.dtypes if kind == "string"]
-    return F.coalesce(F.sum(F.octet_length(F.concat_ws("", *texts)).cast("bigint")), F.lit(0))
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: the length of its JSON form, which counts nested values too."""
+    return F.octet_length(F.to_json(F.struct(*df.columns))).cast("bigint")
 
 
 def is_small(df: DataFrame) -> bool:
-    """True when the whole of `df` stays within the broadcast bounds; reads at most one row more than they allow."""
-    rows, size = df.limit(BROADCAST_ROWS + 1).agg(F.count("*"), text_bytes(df)).first()
+    """True when the whole of `df` stays within the broadcast bounds. One row of sums per task is all that moves."""
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()
     return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
