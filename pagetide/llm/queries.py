@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetide.llm.common import table
+from pagetide.llm.htmltext import extract_text
 from pagetide.llm.langid import identify_languages, train_language_model
 from pagetide.llm.linedup import dedup_lines
 from pagetide.llm.minhash import near_duplicates
@@ -81,3 +82,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
     )
+
+
+@_query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))

@@ -31,8 +31,8 @@ class ToxicitySettings:
     sample_chars: int = 20_000  # longer documents are not taken for training
     smoothing: float = 1.0
     least_documents: int = 3
-    least_error: float = 3.0  # standard errors by which a log-ratio must differ from zero
-    penalty: float = 1e-3
+    least_error: float = 4.0  # standard errors by which a log-ratio must differ from zero
+    penalty: float = 1e-4
     steps: int = 400
 
 
