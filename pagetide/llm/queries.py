@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagetide.llm.ann import nearest_neighbours
 from pagetide.llm.common import table
 from pagetide.llm.htmltext import extract_text
 from pagetide.llm.langid import identify_languages, train_language_model
@@ -87,3 +88,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
+
+
+@_query
+def op6_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
