@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as driver
+from pagetide.plans.oracles import ORACLES
+from pagetide.plans.queries import QUERIES
 from compare import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,12 +16,13 @@ def connection():
 
 
 def test_every_query_has_a_statement():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
-    assert compare(spark, connection, FOLDER, driver.queries()[name], driver.oracle_sql()[name]) is None
+    assert compare(spark, connection, FOLDER, QUERIES[name], ORACLES[name]) is None
 
 
 def test_entry(spark):
