@@ -141,7 +141,7 @@ def _levels(blocks: DataFrame, trees: int) -> DataFrame:
             low = at >> (BITS - bits) << (BITS - bits)
             high = low + ((1 << (BITS - bits)) - 1)
             held[:, bits] = np.searchsorted(keys, high, side="right") - np.searchsorted(keys, low, side="left") - 1
-        return pd.DataFrame({"query": asked["entry"].to_numpy(), "held": list(held)})
+        return pd.DataFrame({"query": asked["entry"].to_numpy(), "held": pd.Series(list(held), dtype=object)})
 
     counted = blocks.select("tree", "block", "key", "entry", "is_query").groupBy("tree", "block").applyInPandas(
         count, "query bigint, held array<bigint>"

@@ -84,11 +84,11 @@ FROM marked GROUP BY rid, doc_id
 _NEAR = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                    '[^ 	-]+') AS w
+                                    '[^\x20\x09-\x0D]+') AS w
   FROM documents
 ),
 sets AS (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w
                       ELSE list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) END AS s
   FROM words
 ),

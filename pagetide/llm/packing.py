@@ -26,53 +26,54 @@ from pagetide.llm.common import rank_in_cells
 from pagetide.session import materialise
 
 PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
-BATCH_CHARS = 4_000_000
+BATCH_ROWS = 256
 
 
 def load_encoding(path: str):
-    """The byte-level vocabulary of `path`, as ranks. Strings of special tokens are ordinary text."""
+    """The byte-level vocabulary of `path`, as ranks. Strings of special tokens are ordinary text.
+
+    Kept in the library's own registry, so that the tasks of a worker share one.
+    """
     import public_tokenizers
     import tiktoken
+    from tiktoken.registry import ENCODINGS
 
-    with open(path if "/" in path else public_tokenizers.path(path), "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    if path not in ENCODINGS:
+        with open(path if "/" in path else public_tokenizers.path(path), "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        ENCODINGS[path] = tiktoken.Encoding(
+            path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
+    return ENCODINGS[path]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str = "byte_bpe_50k.tiktoken", capacity: int = 1024, end_id: int = 2) -> DataFrame:
     """The pieces of every document: doc_id, piece (from 0), start, length and ids, little-endian unsigned 32-bit numbers.
 
     `tokenizer` is a rank file of the public tokenizers, or a path to one; the default gives the ids of `byte_bpe_50k.json` at
-    four times its speed. A document longer than the capacity is cut from its end, so
-    that its first piece is the shorter one.
+    four times its speed. A document longer than the capacity is cut from its end, so that its first piece is the shorter one.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, end = load_encoding(tokenizer), np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            at = 0
-            while at < len(texts):
-                stop, size = at, 0
-                while stop < len(texts) and size < BATCH_CHARS:
-                    size += len(texts[stop] or "")
-                    stop += 1
+        for whole in batches:
+            # A few documents at a time: what stands in the memory of the worker is their text and ids.
+            for batch in (whole.slice(at, BATCH_ROWS) for at in range(0, len(whole), BATCH_ROWS)):
                 rows = []
-                for doc, text in zip(ids[at:stop], texts[at:stop], strict=True):
+                for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                     encoded = encoding.encode_to_numpy(text or "").astype("<u4", copy=False).tobytes() + end
                     total = len(encoded) // 4
                     head = total % capacity or capacity
                     starts = [0, *range(head, total, capacity)] if total > capacity else [0]
                     for k, start in enumerate(starts):
-                        stop_at = starts[k + 1] if k + 1 < len(starts) else total
-                        rows.append((doc, k, start, stop_at - start, encoded[4 * start : 4 * stop_at]))
-                columns = list(zip(*rows, strict=True))
+                        stop = starts[k + 1] if k + 1 < len(starts) else total
+                        rows.append((doc, k, start, stop - start, encoded[4 * start : 4 * stop]))
+                columns = zip(*rows, strict=True)
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)],
                     ["doc_id", "piece", "start", "length", "ids"],
                 )
-                at = stop
 
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return narrow.mapInArrow(cut, PIECE_SCHEMA)
