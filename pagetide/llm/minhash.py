@@ -29,6 +29,9 @@ from pagetide.llm.common import rank_in_cells
 from pagetide.session import materialise, scratch
 
 CHUNK_BYTES = 1 << 20
+
+# A table of at most so many short rows, as counted, is worked on in one task and broadcast; results are the same either way.
+FEW_ROWS = 200_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -171,6 +174,12 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(sets, "node bigint, shingles array<bigint>")
 
 
+def few(df: DataFrame) -> tuple[DataFrame, int]:
+    """A written table, in one partition if it has few rows, and its number of rows."""
+    rows = df.count()
+    return (df.coalesce(1) if rows <= FEW_ROWS else df), rows
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of the edges (a, b): the smallest node reachable.
 
@@ -179,9 +188,9 @@ def components(edges: DataFrame) -> DataFrame:
     """
     with scratch(edges.sparkSession):
         stars = edges.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("label"))
-        stars = materialise(stars.filter("node <> label").distinct(), "stars")
-        before = None
+        stars, before = materialise(stars.filter("node <> label").distinct(), "stars"), None
         while True:
+            stars, _ = few(stars)
             state = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "label").cast("decimal(38,0)"))).first()
             if state == before:
                 break
@@ -201,10 +210,14 @@ def components(edges: DataFrame) -> DataFrame:
         return materialise(stars.unionByName(roots), "components", keep=True)
 
 
-def measure(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with `shared`, how many shingles the full sets share, and whether that makes them `linked`."""
-    of_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
-    centres = sets.join(pairs.select(F.col("a").alias("node")).distinct(), "node", "left_semi")
+def measure(pairs: DataFrame, rows: int, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with `shared`, how many shingles the full sets share, and whether that makes them `linked`.
+
+    `rows` is the number of pairs; few pairs go to the sets, and many meet them in a shuffle.
+    """
+    near = F.broadcast if rows <= FEW_ROWS else (lambda df: df)
+    of_b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")).join(near(pairs), "b")
+    centres = sets.join(near(pairs.select(F.col("a").alias("node")).distinct()), "node", "left_semi")
     both = of_b.join(centres.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
     counted = both.select(
         "a", "b", F.size(F.array_intersect("set_a", "set_b")).alias("shared"), (F.size("set_a") + F.size("set_b")).alias("total")
@@ -219,14 +232,15 @@ def open_members(members: DataFrame) -> DataFrame:
     return members.join(mixed.select("bucket"), "bucket", "left_semi")
 
 
-def linkable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def linkable(members: DataFrame, rows: int, sets: DataFrame, percent: int) -> DataFrame:
     """Those members that can have a link to another one, with `common`: how many of their shingles any other member holds.
 
     A link shares at least percent / (100 + percent) of the two sizes together, and cannot share more than `common`. The bound
     is exact. The centres of the buckets count as holders.
     """
     nodes = members.select(F.explode(F.array("node", "centre")).alias("node")).distinct()
-    held = sets.join(nodes, "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
+    near = F.broadcast if rows <= FEW_ROWS else (lambda df: df)
+    held = sets.join(near(nodes), "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
     holders = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("node").alias("node"))
     own = holders.filter("holders = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
     sized = members.join(own, "node", "left").withColumn("common", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
@@ -284,30 +298,32 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
         sizes = shared.select(F.col("node").alias("a"), F.col("n").alias("n_a")).distinct()
         tried = shared.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b"), "n").distinct()
         tried = tried.join(sizes, "a").filter(close(F.col("n"), F.col("n_a"), percent)).select("a", "b")
-        first = materialise(measure(tried, sets, percent).distinct(), "measured")
-        tried, links = first.select("a", "b"), first.filter("linked").select("a", "b")
+        tried, rows = few(materialise(tried, "star-pairs"))
+        first = materialise(measure(tried, rows, sets, percent).groupBy("a", "b").agg(
+            F.max("shared").alias("shared"), F.max("linked").alias("linked")
+        ), "measured")
+        links = first.filter("linked").select("a", "b")
         of_centre = first.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.col("shared").alias("of_centre"))
-        of_centre = of_centre.groupBy("centre", "node").agg(F.max("of_centre").alias("of_centre"))
-        shared = shared.join(of_centre, ["centre", "node"], "left").withColumn(
+        members = shared.join(of_centre, ["centre", "node"], "left").withColumn(
             "of_centre", F.when(F.col("node") == F.col("centre"), F.col("n")).otherwise(F.col("of_centre"))
         )
-        shared = materialise(shared, "measured-buckets")
         labels, centres = components(links), 1
         while True:
-            labelled = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            left = materialise(open_members(labelled), "open-members")
-            left = materialise(open_members(linkable(left, sets, percent)), "open-members")
-            largest = left.groupBy("bucket").count().agg(F.max("count").alias("most"), F.sum("count").alias("rows")).first()
-            if (largest["most"] or 0) <= centres:
+            labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            left, rows = few(materialise(open_members(materialise(labelled, "labelled")), "open-members"))
+            left, rows = few(materialise(open_members(linkable(left, rows, sets, percent)), "open-members"))
+            most = left.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
+            if most <= centres:
                 break
             centres *= 4
-            ranked = rank_in_cells(left, ["bucket"], ["node"], "place", largest["rows"])
-            ranked = materialise(ranked, "open-ranked")
+            ranked, _ = few(materialise(rank_in_cells(left, ["bucket"], ["node"], "place", rows), "open-ranked"))
             pairs = further_pairs(ranked, centres, percent).join(tried, ["a", "b"], "left_anti")
-            found = materialise(measure(pairs, sets, percent), "further-pairs")
-            tried = tried.unionByName(found.select("a", "b"))
+            pairs, rows = few(materialise(pairs, "further-pairs"))
+            found = materialise(measure(pairs, rows, sets, percent), "measured")
+            tried = tried.unionByName(pairs)
             links = links.unionByName(found.filter("linked").select("a", "b"))
-            labels = components(links)
+            # Members that left can have no further link, and a bucket of one component stays one.
+            labels, members = components(links), left.drop("label", "common")
     placed = signed.select("doc_id", "n_shingles", "set_key").join(
         classes, (signed["set_key"] == classes["set_key"]) & (signed["n_shingles"] > 0) & signed["doc_id"].isNotNull(), "left"
     ).select("doc_id", "n_shingles", "node")
