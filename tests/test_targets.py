@@ -1,20 +1,20 @@
 import pytest
 
-from fixtures import write_targets
+from fixtures import CLOSED, SHOP, write_targets
 from pagetide.sources.targets import active_targets, check_targets, load_targets, read_targets, rejected_targets
 
 
 def test_targets_load(spark, tmp_path):
     targets = load_targets(spark, write_targets(tmp_path))
     assert [(r["app_id"], r["active"], r["notes"]) for r in targets.orderBy("row_number").collect()] == [
-        ("730", True, "seed"), ("999", False, None)
+        (SHOP, True, "first"), (CLOSED, False, None)
     ]
-    assert [r["app_id"] for r in active_targets(targets).collect()] == ["730"]
+    assert [r["app_id"] for r in active_targets(targets).collect()] == [SHOP]
 
 
 def test_first_bad_row_raises_with_its_number(spark, tmp_path):
     path = tmp_path / "t.csv"
-    path.write_text("notes,app_id,app_name,active\n,1,A,true\n,not-an-id,Bad,true\n,,Blank,\n,4,D,maybe\n,5,E,\n", encoding="utf-8")
+    path.write_text("notes,app_id,app_name,active\n,1,A,true\n,12a,Mixed,true\n,,Blank,\n,4,D,maybe\n,5,E,\n", encoding="utf-8")
     with pytest.raises(ValueError, match="Row 3: app_id must be numeric"):
         load_targets(spark, str(path))
     rejected = rejected_targets(check_targets(read_targets(spark, str(path)))).orderBy("row_number").collect()
