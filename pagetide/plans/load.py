@@ -17,7 +17,7 @@ from pagetide.operators.merges import (
 from pagetide.operators.normalize import explode_reviews, normalize_reviews, page_rows, parse_payload
 from pagetide.operators.quality import enforce
 from pagetide.operators.reports import fetch_summary, load_summary
-from pagetide.plans.store import CHANGES, FULL, Store
+from pagetide.plans.store import CHANGES, FULL, StaleRead, Store
 from pagetide.schemas import KEYS, TABLES
 from pagetide.session import materialise, scratch, sized_shuffle
 from pagetide.sources.landing import (
@@ -29,8 +29,6 @@ from pagetide.sources.landing import (
     reports_without_document,
 )
 
-COMPACT_AFTER = 24
-
 
 def utc_now() -> str:
     return datetime.now(timezone.utc).isoformat()
@@ -73,6 +71,7 @@ def load_pages(
     check: bool = False,
     hot_rows: int | None = None,
     file_names: DataFrame | None = None,
+    token: str | None = None,
 ) -> DataFrame:
     """Load page reports and their documents (run_id, file_name, document), wherever they were landed.
 
@@ -80,10 +79,17 @@ def load_pages(
 
     `order` sorts the reports in load order and starts with the run. Several runs are folded in one job, in run-id order,
     with the same result as loading them one by one. In strict mode a report without its document, or with one that is no
-    JSON, raises; `check` tests every constraint before anything becomes visible.
+    JSON, raises; `check` tests every constraint before anything becomes visible. If another load is published meanwhile, this one
+    is merged again, on top of it. A `token` names the load, see `Store.publish`.
     """
-    with scratch(store.spark):
-        return _load(store, reports, files, file_names, order, raw_dir, targets, targets_path, strict, check, hot_rows)
+    while True:
+        with scratch(store.spark):
+            try:
+                return _load(
+                    store, reports, files, file_names, order, raw_dir, targets, targets_path, strict, check, hot_rows, token
+                )
+            except StaleRead:
+                continue
 
 
 def _load(
@@ -98,9 +104,11 @@ def _load(
     strict: bool,
     check: bool,
     hot_rows: int | None,
+    token: str | None,
 ) -> DataFrame:
     loaded_at = utc_now()
     reports = materialise(reports, "reports")
+    last = store.last_load()
     stored = store.read_all(["runs", "apps", "pages", "reviews"])
     if strict:
         lost = reports_without_document(reports, files if file_names is None else file_names).select("raw_json_path").first()
@@ -135,10 +143,8 @@ def _load(
     if check:
         writes = {name: (kind, materialise(df.select(*TABLES[name].names), name)) for name, (kind, df) in writes.items()}
         enforce(_after(store, writes))
-    store.publish(writes)
-    for table, loads in store.pending_changes().items():
-        if loads > COMPACT_AFTER:
-            store.compact(table)
+    store.publish(writes, token, computed_from=last)
+    store.compact_pending()
     return summary
 
 

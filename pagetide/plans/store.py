@@ -1,16 +1,21 @@
 """Tables as Parquet folders, published load by load.
 
-A load writes its rows under `<table>/load=<n>` and becomes visible when its line is appended to the log, so a load that
-fails half-way leaves nothing behind that a reader would see. A table is its last full write plus the changes written
-since; a changed row hides stored rows of the same key. Small loads therefore never rewrite a large table, and
-`compact` makes a new full write when many changes have piled up.
+A load writes its rows into folders of their own, `<table>/part=<unique>`, and becomes visible when its numbered file appears in
+the log. The file is put there by a rename that fails if the number is taken, so two writers never share a load: the later one
+takes the next number, or starts again if what it wrote was computed from tables that have changed since. A load that fails
+half-way leaves nothing behind that a reader would see. A table is its last full write plus the changes written since; a
+changed row hides stored rows of the same key. Small loads therefore never rewrite a large table, and `compact` makes a new
+full write when many changes have piled up.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +26,14 @@ from pagetide.operators.skew import lookup_join
 from pagetide.schemas import DEFAULTS, KEYS, TABLES
 
 FULL, CHANGES = "full", "changes"
-_LOG = "load bigint, table_name string, kind string, token string, folder string"
+_LOG = "load bigint, table_name string, kind string, token string, part string"
+
+# Loads since the last full write after which a table is written anew.
+COMPACT_AFTER = 24
+
+
+class StaleRead(RuntimeError):
+    """Another load was published since the tables were read that this one was computed from."""
 
 
 @dataclass
@@ -38,8 +50,8 @@ class Store:
                 return []
             raise
 
-    def next_load(self) -> int:
-        return max((row["load"] for row in self._log()), default=0) + 1
+    def last_load(self) -> int:
+        return max((row["load"] for row in self._log()), default=0)
 
     def has(self, token: str) -> bool:
         return any(row["token"] == token for row in self._log())
@@ -75,31 +87,87 @@ class Store:
     def _folders(self, table: str, entries: list) -> DataFrame | None:
         if not entries:
             return None
-        paths = [row["folder"] for row in entries]
+        paths = [f"{self.root}/{table}/part={row['part']}" for row in entries]
         fields = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in TABLES[table])
-        return self.spark.read.schema(f"{fields}, load bigint").option("basePath", f"{self.root}/{table}").parquet(*paths)
+        rows = self.spark.read.schema(f"{fields}, part string").option("basePath", f"{self.root}/{table}").parquet(*paths)
+        numbers = [F.lit(value) for row in entries for value in (row["part"], row["load"])]
+        return rows.withColumn("load", F.create_map(*numbers)[F.col("part")]).drop("part")
 
-    def publish(self, tables: dict[str, tuple[str, DataFrame]], token: str | None = None) -> int:
+    def publish(
+        self, tables: dict[str, tuple[str, DataFrame]], token: str | None = None, computed_from: int | None = None
+    ) -> int:
         """Write the frames of one load (kind, rows) and then make them visible together.
 
-        A token names the load: publishing it a second time, as a restarted stream does, changes nothing.
+        A token names the load: publishing it a second time, as a restarted stream does, changes nothing. `computed_from` is the
+        last load that the frames know of; if there is a newer one, StaleRead is raised and nothing becomes visible.
         """
         token = token or uuid.uuid4().hex
-        log = self._log()
-        done = [row["load"] for row in log if row["token"] == token]
-        if done:
-            return done[0]
-        load = max((row["load"] for row in log), default=0) + 1
+        if self.has(token):
+            return next(row["load"] for row in self._log() if row["token"] == token)
         lines = []
         for table, (kind, rows) in tables.items():
-            folder = f"{self.root}/{table}/load={load}"
-            rows.select(*TABLES[table].names).write.mode("overwrite").parquet(folder)
-            lines.append((load, table, kind, token, folder))
-        self.spark.createDataFrame(lines, _LOG).coalesce(1).write.mode("append").json(f"{self.root}/_log")
-        return load
+            part = uuid.uuid4().hex
+            rows.select(*TABLES[table].names).write.parquet(f"{self.root}/{table}/part={part}")
+            lines.append({"table_name": table, "kind": kind, "token": token, "part": part})
+        while True:
+            log = self._log()
+            done = [row["load"] for row in log if row["token"] == token]
+            if done:
+                return done[0]
+            last = max((row["load"] for row in log), default=0)
+            if computed_from is not None and last != computed_from:
+                raise StaleRead(f"load {last} was published after load {computed_from} was read")
+            if self._commit(last + 1, lines):
+                return last + 1
+
+    def _commit(self, load: int, lines: list[dict]) -> bool:
+        """Put the load's file into the log; False if its number is taken."""
+        fs_package, conf = self.spark._jvm.org.apache.hadoop.fs, self.spark._jsc.hadoopConfiguration()
+        folder = fs_package.Path(f"{self.root}/_log")
+        fs = folder.getFileSystem(conf)
+        fs.mkdirs(folder)
+        hidden, final = fs_package.Path(folder, f"_{uuid.uuid4().hex}"), fs_package.Path(folder, f"{load:012d}.json")
+        out = fs.create(hidden, True)
+        out.write(bytearray("".join(json.dumps({"load": load, **line}) + "\n" for line in lines).encode()))
+        out.close()
+        rename = getattr(fs_package, "Options$Rename")
+        options = self.spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = rename.NONE
+        context = fs_package.FileContext.getFileContext(fs.getUri(), conf)
+        try:
+            context.rename(fs.makeQualified(hidden), fs.makeQualified(final), options)
+        except Py4JJavaError as error:
+            fs.delete(hidden, False)
+            if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+                return False
+            raise
+        return True
 
     def compact(self, table: str) -> int:
-        return self.publish({table: (FULL, self.read(table))})
+        while True:
+            last = self.last_load()
+            try:
+                return self.publish({table: (FULL, self.read(table))}, computed_from=last)
+            except StaleRead:
+                continue
+
+    def compact_pending(self) -> None:
+        """Write the tables anew that have many loads of changes on top of their last full write."""
+        for table, loads in self.pending_changes().items():
+            if loads > COMPACT_AFTER:
+                self.compact(table)
+
+    def vacuum(self) -> int:
+        """Delete the folders that no table needs any more, and return how many. Not while older reads still run."""
+        log, gone = self._log(), 0
+        for table in {row["table_name"] for row in log}:
+            entries = [row for row in log if row["table_name"] == table]
+            start = max((row["load"] for row in entries if row["kind"] == FULL), default=0)
+            for row in entries:
+                if row["load"] < start:
+                    path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/part={row['part']}")
+                    gone += path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        return gone
 
     def pending_changes(self) -> dict[str, int]:
         """Loads since the last full write, per table."""

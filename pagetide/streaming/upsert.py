@@ -1,7 +1,8 @@
-"""The review merge as a stream: each micro-batch is one load."""
+"""Loads as a stream: each micro-batch is one load."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pagetide.functions import page_status, raw_status
 from pagetide.operators.merges import merge_reviews
-from pagetide.operators.normalize import explode_reviews, normalize_reviews, parse_payload
-from pagetide.plans.store import CHANGES, Store
+from pagetide.operators.normalize import conform, explode_reviews, normalize_reviews, parse_payload
+from pagetide.operators.pages import report_landed_pages
+from pagetide.plans.load import load_pages, utc_now
+from pagetide.plans.store import CHANGES, StaleRead, Store
+from pagetide.schemas import PAGE_REPORT
 from pagetide.session import materialise, scratch
 from pagetide.sources.landing import read_landed_pages
 
@@ -27,28 +31,71 @@ def landed_reviews(spark: SparkSession, path: str, streaming: bool = True) -> Da
     return normalize_reviews(explode_reviews(pages.filter(read)), PAGE_ORDER)
 
 
-def merge_batch(store: Store, name: str, order: list[str], hot_rows: int | None = None) -> Callable[[DataFrame, int], None]:
-    """A `foreachBatch` function that publishes exactly once: the batch number names the load."""
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identity of a stream: Spark makes one for every new checkpoint and keeps it there over restarts."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"])["id"]
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        token = f"{name}-{batch_id}"
-        if store.has(token):
-            return
-        with scratch(store.spark):
-            staged = materialise(batch, "batch")
-            merged = merge_reviews(store.read("reviews"), staged, order, hot_rows=hot_rows).stored_once()
-            store.publish({"reviews": (CHANGES, merged.changed), "review_changes": (CHANGES, merged.changes)}, token)
 
-    return merge
+def once(store: Store, checkpoint: str, load: Callable[[DataFrame, str], None]) -> Callable[[DataFrame, int], None]:
+    """A `foreachBatch` function that loads a micro-batch exactly once: stream and batch number name the load."""
+
+    def batch_load(batch: DataFrame, batch_id: int) -> None:
+        token = f"{stream_id(store.spark, checkpoint)}-{batch_id}"
+        if not store.has(token):
+            with scratch(store.spark):
+                load(materialise(batch, "batch"), token)
+            store.compact_pending()
+
+    return batch_load
+
+
+def _start(rows: DataFrame, store: Store, checkpoint: str, load: Callable[[DataFrame, str], None]) -> StreamingQuery:
+    writer = rows.writeStream.foreachBatch(once(store, checkpoint, load)).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def merge_load(store: Store, order: list[str], hot_rows: int | None = None) -> Callable[[DataFrame, str], None]:
+    """Merges a batch of normalized reviews, again if another load comes between."""
+
+    def load(staged: DataFrame, token: str) -> None:
+        while True:
+            last = store.last_load()
+            merged = merge_reviews(store.read("reviews"), staged, order, utc_now(), hot_rows).stored_once()
+            writes = {"reviews": (CHANGES, merged.changed), "review_changes": (CHANGES, merged.changes)}
+            try:
+                store.publish(writes, token, computed_from=last)
+                return
+            except StaleRead:
+                continue
+
+    return load
 
 
 def stream_reviews(
-    reviews: DataFrame, store: Store, checkpoint: str, order: list[str], name: str = "reviews", hot_rows: int | None = None
+    reviews: DataFrame, store: Store, checkpoint: str, order: list[str], hot_rows: int | None = None
 ) -> StreamingQuery:
     """Merge a stream of normalized reviews (with their load order) until the input present now is used up."""
-    return (
-        reviews.writeStream.foreachBatch(merge_batch(store, name, order, hot_rows))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _start(reviews, store, checkpoint, merge_load(store, order, hot_rows))
+
+
+def stream_pages(
+    pages: DataFrame, store: Store, checkpoint: str, base_url: str, raw_dir: str, disable_delta_stop: bool = False,
+    hot_rows: int | None = None,
+) -> StreamingQuery:
+    """Load a stream of landed pages into all tables until the input present now is used up.
+
+    Each micro-batch is one load: its page reports are made from the documents and cut at the stored high-water marks, and runs,
+    apps, pages, reviews and changes become visible together.
+    """
+
+    def load(staged: DataFrame, token: str) -> None:
+        name = F.coalesce("file_name", F.format_string("app_%s_page_%04d.json", "app_id", "page_number"))
+        named = staged.withColumn("file_name", name).withColumn("raw_json_path", F.coalesce("raw_json_path", name))
+        made = report_landed_pages(
+            named, store.read("sync_state"), base_url, disable_delta_stop=disable_delta_stop, hot_rows=hot_rows
+        )
+        reports = conform(made, PAGE_REPORT)
+        files = named.select("run_id", "file_name", "document")
+        load_pages(store, reports, files, ["run_id", "page_number"], raw_dir, hot_rows=hot_rows, token=token)
+
+    return _start(pages, store, checkpoint, load)

@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from fixtures import land, report, review, write_targets
+from fixtures import CLOSED, SHOP, land, leaf, page_name, report, review, write_targets
 from pagetide.__main__ import main
 from pagetide.plans.daily import advance, export, run_daily, validate
 from pagetide.plans.load import load_runs
@@ -37,11 +37,12 @@ def test_first_load_replay_and_edit(spark, store, tmp_path):
     assert len(stored) == 1
     row = stored[0]
     assert (row["review"], row["run_id"], row["timestamp_updated"]) == ("Edited text", "run-2", 2)
-    assert (row["weighted_vote_score"], row["playtime_at_review"], row["primarily_steam_deck"]) == (0.5, 180, True)
-    assert row["source_page_key"] == "run-2:730:0001"
+    for name in ("weighted_vote_score", "playtime_at_review", "primarily_steam_deck"):
+        assert row[name] == type(row[name])(leaf(name, 0))
+    assert row["source_page_key"] == f"run-2:{SHOP}:0001"
     apps = store.read("apps").collect()
     assert [(a["app_id"], a["app_name"], a["first_seen_run_id"], a["last_seen_run_id"]) for a in apps] == [
-        ("730", "Counter One", "run-1", "run-2")
+        (SHOP, "Corner Shop", "run-1", "run-2")
     ]
     changes = store.read("review_changes").orderBy("run_id").collect()
     assert [(c["run_id"], c["change_type"], c["previous_timestamp_updated"], c["new_timestamp_updated"]) for c in changes] == [
@@ -52,12 +53,12 @@ def test_first_load_replay_and_edit(spark, store, tmp_path):
 
     update = advance(store, read_page_reports(spark, second), "updated", "start", "end")
     state = store.read("sync_state").collect()
-    assert [(s["app_id"], s["complete_through_timestamp_updated"], s["backlogged"]) for s in state] == [("730", 2, False)]
+    assert [(s["app_id"], s["complete_through_timestamp_updated"], s["backlogged"]) for s in state] == [(SHOP, 2, False)]
     assert update.states.count() == 1
-    asked = spark.createDataFrame([("730",), ("999",)], "app_id string")
+    asked = spark.createDataFrame([(SHOP,), (CLOSED,)], "app_id string")
     marks = {r["app_id"]: r["high_water"] for r in high_water_marks(store.read("sync_state"), asked).collect()}
-    assert marks == {"730": 2, "999": 0}
-    unknown = sync_states(store.read("sync_state"), asked).filter("app_id = '999'").first()
+    assert marks == {SHOP: 2, CLOSED: 0}
+    unknown = sync_states(store.read("sync_state"), asked).filter(F.col("app_id") == CLOSED).first()
     assert unknown["backlogged"] is True and unknown["last_page_count"] == 0
 
     metrics = {(m["section"], m["name"]): m["value"] for m in validate(store)["metrics"].collect()}
@@ -138,7 +139,7 @@ def test_missing_files_raise(spark, store, tmp_path):
 
 def test_unreadable_documents_and_report_lines_raise(spark, store, tmp_path):
     run = land(tmp_path, "run-torn", [(report("run-torn"), [review()])])
-    page = tmp_path / "raw" / "run-torn" / "app_730_page_0001.json"
+    page = tmp_path / "raw" / "run-torn" / page_name(SHOP, 1)
     page.write_text('{"success": 1, "reviews": [', encoding="utf-8")
     with pytest.raises(Exception, match="not readable"):
         load_runs(spark, store, run)
@@ -207,9 +208,9 @@ def test_daily_job_writes_its_reports(spark, store, tmp_path):
     names = {p.name for p in (tmp_path / "reports" / "daily_report").iterdir()}
     assert {"job", "sync_state_summary", "load_summary", "fetch_summary", "high_water_by_app"} <= names
     read = spark.read.json(str(tmp_path / "reports" / "daily_report" / "sync_state_before"))
-    assert [(r["app_id"], r["complete_through_timestamp_updated"]) for r in read.collect()] == [("730", 0)]
+    assert [(r["app_id"], r["complete_through_timestamp_updated"]) for r in read.collect()] == [(SHOP, 0)]
     summary = {(r["section"], r["name"]): r["value"] for r in sections["sync_state_summary"].collect()}
-    assert summary["watermarks", "730"] == 1 and ("complete_apps", "730") in summary
+    assert summary["watermarks", SHOP] == 1 and ("complete_apps", SHOP) in summary
 
 
 def test_command_line(spark, tmp_path, capsys):
@@ -234,7 +235,7 @@ def test_snapshot_import_keeps_unlisted_columns(spark, store, tmp_path):
     pages.unionByName(pages.withColumn("page_key", F.lit("other")).withColumn("page_number", F.lit(9))).write.parquet(str(old / "pages"))
     assert import_tables(store, str(old)) == {"runs": 0, "apps": 0, "pages": 2, "reviews": 0}
     rows = {r["page_key"]: r for r in store.read("pages").collect()}
-    assert rows["run-1:730:0001"]["status"] == "empty" and rows["run-1:730:0001"]["max_timestamp_updated"] == 77
+    assert rows[f"run-1:{SHOP}:0001"]["status"] == "empty" and rows[f"run-1:{SHOP}:0001"]["max_timestamp_updated"] == 77
     assert rows["other"]["max_timestamp_updated"] is None
     load_runs(spark, store, run)
     assert store.read("pages").filter("page_number = 1").first()["status"] == "fetched"
