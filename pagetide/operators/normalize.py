@@ -55,15 +55,29 @@ def parse_payload(df: DataFrame, document: str = "document", strict: bool = Fals
     return parsed.withColumn("payload", F.when(readable, F.col("payload")).otherwise(F.raise_error(message)))
 
 
-def sanitize_author(reviews: Column) -> Column:
-    """Reduce the author of every review to the fields that may be stored; the input column is left alone."""
-    return F.transform(
-        reviews,
-        lambda review: review.withField(
-            "author",
-            F.when(review["author"].isNotNull(), F.struct(*(review["author"][f].alias(f) for f in SAFE_AUTHOR_FIELDS))),
-        ),
-    )
+def sanitize_document(document: Column) -> Column:
+    """A raw page document whose authors keep only the fields that may be stored. All else stays, with its JSON type.
+
+    An author that is no object goes; reviews that are no objects stay as they are. What is no JSON object gives null.
+    """
+    page = F.try_parse_json(document)
+    reviews = F.try_variant_get(page, "$.reviews", "array<variant>")
+
+    def without_author(review: Column) -> Column:
+        others = F.map_filter(F.try_variant_get(review, "$", "map<string,variant>"), lambda name, _: name != "author")
+        author = F.try_variant_get(review, "$.author", "map<string,variant>")
+        safe = F.to_variant_object(F.map_filter(author, lambda name, _: name.isin(SAFE_AUTHOR_FIELDS)))
+        return (
+            F.when(others.isNull(), review)
+            .when(author.isNull(), F.to_variant_object(others))
+            .otherwise(F.to_variant_object(F.map_concat(others, F.create_map(F.lit("author"), safe))))
+        )
+
+    fields = F.try_variant_get(page, "$", "map<string,variant>")
+    rest = F.map_filter(fields, lambda name, _: name != "reviews")
+    clean = F.to_variant_object(F.transform(reviews, without_author))
+    whole = F.to_variant_object(F.map_concat(rest, F.create_map(F.lit("reviews"), clean)))
+    return F.when(fields.isNotNull(), F.to_json(F.when(reviews.isNull(), page).otherwise(whole)))
 
 
 def explode_reviews(pages: DataFrame) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from pagetide.operators.normalize import conform, sanitize_author
+from pagetide.operators.normalize import conform, sanitize_document
 from pagetide.operators.reports import export_reviews, run_scope
-from pagetide.schemas import PAGE_REPORT, PAYLOAD
+from pagetide.schemas import PAGE_REPORT
 from pagetide.sources.landing import LANDED, REPORT_FILE
 
 FORMATS = ("csv", "jsonl")
@@ -49,12 +49,8 @@ def write_sections(sections: dict[str, DataFrame], path: str) -> None:
 
 
 def sanitize_documents(pages: DataFrame, document: str = "document") -> DataFrame:
-    """Documents rewritten without personal author fields.
-
-    Only the fields of the contract are parsed and written back, as text values; what it does not name is dropped.
-    """
-    payload = F.from_json(document, PAYLOAD)
-    return pages.withColumn(document, F.to_json(payload.withField("reviews", sanitize_author(payload["reviews"]))))
+    """Documents rewritten without personal author fields, and otherwise as they were."""
+    return pages.withColumn(document, sanitize_document(F.col(document)))
 
 
 def land_pages(pages: DataFrame, path: str) -> None:
