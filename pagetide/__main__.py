@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from pagetide.plans.daily import advance, export, run_daily, validate
 from pagetide.plans.load import load_runs, utc_now
@@ -40,11 +40,17 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
+def show(rows: DataFrame) -> None:
+    """Print all rows, taking them from Spark a partition at a time."""
+    for row in rows.toLocalIterator():
+        print("  ".join(f"{name}={value}" for name, value in row.asDict().items()))
+
+
 def _execute(spark: SparkSession, args: argparse.Namespace) -> None:
     store = Store(spark, args.store)
     if args.command == "load":
         targets = load_targets(spark, args.targets) if args.targets else None
-        load_runs(spark, store, args.run_dir, targets, args.targets).show(truncate=False)
+        show(load_runs(spark, store, args.run_dir, targets, args.targets))
     elif args.command == "advance":
         now = utc_now()
         advance(store, read_page_reports(spark, args.run_dir), args.review_filter, args.started_at or now, args.completed_at or now)
@@ -52,7 +58,7 @@ def _execute(spark: SparkSession, args: argparse.Namespace) -> None:
         sections = validate(store, args.run_id)
         if args.output:
             write_sections(sections, args.output)
-        sections["metrics"].show(1000, truncate=False)
+        show(sections["metrics"])
     elif args.command == "export":
         print(export(store, args.output, args.format, args.run_id))
     elif args.command == "import":

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pagetide.operators.scans import ordered_by
-from pagetide.operators.skew import CHUNK, split_hot_groups
+from pagetide.operators.skew import CHUNK, lookup_join, split_hot_groups
 from pagetide.session import materialise
 
 OUTCOME = "outcome"
@@ -87,7 +87,8 @@ def _fold_hot(chunked: DataFrame, key: str, order: list[str], timestamp: str, te
     """
     local = materialise(_fold(chunked, [key, CHUNK], order, timestamp, text), "chunks")
     position = ordered_by(order)
-    texts = F.struct(F.col(text).alias("text"))
+    # A digest says whether two texts are equal, and keeps long texts out of the summaries.
+    texts = F.struct(F.sha2(F.col(text).cast("string"), 256).alias("text"))
     summary = local.groupBy(key, CHUNK).agg(
         F.min_by(texts, position).alias("head"),
         F.max_by(texts, position).alias("tail"),
@@ -105,7 +106,7 @@ def _fold_hot(chunked: DataFrame, key: str, order: list[str], timestamp: str, te
     )
     in_head = (F.col("_top.island") == 0) & F.col("_continues")
     return (
-        local.join(F.broadcast(carried), [key, CHUNK], "left")
+        lookup_join(local, carried, [key, CHUNK], "left", derived=True)
         .withColumn(
             "_before",
             F.when(F.col("_first"), F.col("_carry"))

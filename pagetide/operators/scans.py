@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pagetide.operators.skew import CHUNK, split_hot_groups
+from pagetide.operators.skew import CHUNK, lookup_join, split_hot_groups
 from pagetide.session import materialise
 
 
@@ -42,7 +42,7 @@ def previous_value(
     )
     before = F.when(F.col("_carry").isNull(), default).otherwise(F.col("_carry.v"))
     hot = (
-        local.join(F.broadcast(carried), [*keys, CHUNK], "left")
+        lookup_join(local, carried, [*keys, CHUNK], "left", derived=True)
         .withColumn(output, F.when(F.col("_row") == 1, before).otherwise(F.col(output)))
     )
     return cold.unionByName(hot.select(*cold.columns)).drop("_row")
@@ -69,7 +69,7 @@ def running_max(
         .select(*keys, CHUNK, *(F.max(f"_max_{name}").over(earlier).alias(f"_carry_{name}") for name in outputs))
     )
     hot = (
-        local.join(F.broadcast(carried), [*keys, CHUNK], "left")
+        lookup_join(local, carried, [*keys, CHUNK], "left", derived=True)
         .withColumns({name: F.greatest(name, f"_carry_{name}") for name in outputs})
     )
     return cold.unionByName(hot.select(*cold.columns))

@@ -16,10 +16,6 @@ from pagetide.session import hot_rows_limit, materialise
 
 CHUNK = "_chunk"
 
-# A group outside the largest MAX_HOT holds less than 1/MAX_HOT of the rows, so an ordinary task can take it.
-MAX_HOT = 20_000
-MAX_CHUNKS = 20_000
-
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -42,21 +38,18 @@ def split_hot_groups(df: DataFrame, keys: list[str], order: list[str], hot_rows:
     Finding them costs one pass over the key columns. Without hot groups the input comes back as it is.
     """
     limit = hot_rows_limit(df.sparkSession, hot_rows)
-    group = F.xxhash64(*keys)
-    largest = (
-        df.groupBy(group.alias("group_hash"))
-        .count()
-        .filter(F.col("count") > limit)
-        .orderBy(F.desc("count"))
-        .limit(MAX_HOT)
-        .collect()
-    )
-    if not largest:
+    counts = df.groupBy(F.xxhash64(*keys).alias("_group")).count().filter(F.col("count") > limit)
+    hot = materialise(counts, "hot-groups", keep=True)
+    total = hot.agg(F.sum("count")).first()[0]
+    if total is None:
         return Split(df, None)
-    is_hot = group.isin([row["group_hash"] for row in largest])
-    chunks = min(MAX_CHUNKS, max(2, -(-sum(row["count"] for row in largest) // limit)))
-    ranged = df.filter(is_hot).repartitionByRange(chunks, *keys, *order)
-    return Split(df.filter(~is_hot), ranged.withColumn(CHUNK, F.spark_partition_id()))
+    # There is a hot group for every `limit` rows at most, so this side of the joins stays far smaller than the input.
+    marked, names = df.withColumn("_group", F.xxhash64(*keys)), hot.select("_group")
+    near = F.broadcast(names) if is_small(names) else names
+    ranged = marked.join(near, "_group", "left_semi").drop("_group")
+    ranged = ranged.repartitionByRange(max(2, -(-total // limit)), *keys, *order)
+    cold = marked.join(near, "_group", "left_anti").drop("_group")
+    return Split(cold, ranged.withColumn(CHUNK, F.spark_partition_id()))
 
 
 def row_bytes(df: DataFrame) -> Column:

@@ -54,7 +54,7 @@ state AS (
         CASE WHEN c_acctbal >= 0 THEN 'empty_page' ELSE 'fetch_error' END AS last_terminal_reason,
         c_custkey AS last_seen_max_timestamp_updated, CAST(NULL AS BIGINT) AS last_seen_min_timestamp_updated,
         CAST(c_nationkey AS BIGINT) AS last_page_count, CAST(NULL AS BIGINT) AS last_review_count
-    FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'
+    FROM customer
 )"""
 
 TARGETS = """
@@ -395,7 +395,6 @@ seen AS (
 ),
 stored AS (
     SELECT CAST(c_custkey AS VARCHAR) AS app_id, 'Old ' || c_name AS app_name FROM customer
-    WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
 )
 SELECT coalesce(n.app_id, o.app_id) AS app_id, coalesce(n.app_name, o.app_name) AS app_name, coalesce(n.active, false) AS active,
     coalesce(n.notes, CASE WHEN o.app_id IS NOT NULL THEN 'old note' END) AS notes,
@@ -416,9 +415,10 @@ FROM report GROUP BY run_id"""
 
 ORACLES["snapshot_import"] = _with(PAGES) + f""",
 worded AS (SELECT *, CASE WHEN event_type = 'error' THEN '  failed ' || chr(9) || ' again ' END AS error_message FROM report),
-stored AS (SELECT {_PAGE_COLUMNS} FROM worded WHERE event_type IN ('purchase', 'view', 'click')
+stored AS (SELECT {_PAGE_COLUMNS}
+    FROM (SELECT * REPLACE (CASE WHEN k % 2 = 0 THEN 'old:' || page_key ELSE page_key END AS page_key) FROM worded)
     QUALIFY row_number() OVER (PARTITION BY page_key ORDER BY event_id DESC) = 1),
-snap AS (SELECT {_PAGE_COLUMNS} FROM (SELECT * REPLACE ('imported' AS status) FROM worded) WHERE event_type IN ('view', 'signup')
+snap AS (SELECT {_PAGE_COLUMNS} FROM (SELECT * REPLACE ('imported' AS status) FROM worded)
     QUALIFY row_number() OVER (PARTITION BY page_key ORDER BY event_id DESC) = 1)
 SELECT s.* REPLACE (o.max_timestamp_updated AS max_timestamp_updated, o.min_timestamp_updated AS min_timestamp_updated)
 FROM snap s LEFT JOIN stored o ON o.page_key = s.page_key
@@ -481,7 +481,7 @@ SELECT run_id, app_id, page_number, pos, ' ' || CAST(doc_id AS VARCHAR) AS recom
     CASE WHEN doc_id % 11 = 0 THEN 'soon' ELSE CAST(1600000000 + doc_id * 37 AS VARCHAR) END AS timestamp_updated FROM placed"""
 
 ORACLES["sanitize_payload"] = """
-SELECT ' ' || CAST(doc_id AS VARCHAR) AS recommendationid,
+SELECT 'BIGINT' AS type_of_total, 'reply to ' || CAST(doc_id AS VARCHAR) AS developer_response, ' ' || CAST(doc_id AS VARCHAR) AS recommendationid,
     CASE WHEN doc_id % 4 = 0 THEN 'last_played,playtime_at_review,playtime_forever'
         ELSE 'last_played,playtime_at_review,playtime_forever,playtime_last_two_weeks' END AS author_fields,
     chr(9) || ' ' || text || ' ' || chr(13) || chr(10) || 'end' || chr(13) || chr(10) || ' ' AS review FROM documents"""

@@ -376,8 +376,8 @@ def upsert_pages(s: Standins) -> DataFrame:
 
 @_query
 def upsert_apps(s: Standins) -> DataFrame:
-    """Two segments of customers are stored apps; the apps of all pages are merged in under the names of the targets."""
-    stored = s.table("customer").filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(
+    """All customers are stored apps; the apps of all pages are merged in under the names of the targets."""
+    stored = s.table("customer").select(
         F.col("c_custkey").cast("string").alias("app_id"),
         F.concat(F.lit("Old "), F.col("c_name")).alias("app_name"),
         F.lit(False).alias("active"),
@@ -405,14 +405,15 @@ def upsert_runs(s: Standins) -> DataFrame:
 
 @_query
 def snapshot_import(s: Standins) -> DataFrame:
-    """Pages of fetched kinds are stored; a snapshot of views and signups overwrites its own columns only."""
+    """All pages are stored, half of them under other keys; a snapshot of all pages overwrites its own columns only."""
     rows = s.pages()
 
-    def kinds(*names: str) -> DataFrame:
-        return merges.last_per_key(rows.filter(F.col("event_type").isin(*names)), ["page_key"], ORDER, PAGES.names)
+    def pages(df: DataFrame) -> DataFrame:
+        return merges.last_per_key(df, ["page_key"], ORDER, PAGES.names)
 
-    snapshot = kinds("view", "signup").withColumn("status", F.lit("imported"))
-    return merges.import_snapshot(kinds("purchase", "view", "click"), snapshot, IMPORT_COLUMNS["pages"])
+    other = F.when(F.col("k") % 2 == 0, F.concat(F.lit("old:"), F.col("page_key"))).otherwise(F.col("page_key"))
+    snapshot = pages(rows).withColumn("status", F.lit("imported"))
+    return merges.import_snapshot(pages(rows.withColumn("page_key", other)), snapshot, IMPORT_COLUMNS["pages"])
 
 
 @_query
@@ -516,14 +517,18 @@ def payload_parse(s: Standins) -> DataFrame:
 
 @_query
 def sanitize_payload(s: Standins) -> DataFrame:
-    """Author fields that remain after sanitizing, read back from the rewritten documents without a fixed schema."""
+    """What remains after sanitizing, read back without a fixed schema: author fields, an unlisted field, a number's type."""
     read_back = T.StructType([T.StructField("reviews", T.ArrayType(T.StructType([
         T.StructField("recommendationid", T.StringType()),
         T.StructField("author", T.MapType(T.StringType(), T.StringType())),
         T.StructField("review", T.StringType()),
+        T.StructField("developer_response", T.StringType()),
     ])))])
     review = F.explode(F.from_json("document", read_back)["reviews"])
-    return sanitize_documents(s.payload_pages()).select(review.alias("r")).select(
+    total = F.schema_of_variant(F.variant_get(F.parse_json("document"), "$.query_summary.total_reviews", "variant"))
+    return sanitize_documents(s.payload_pages()).select(review.alias("r"), total.alias("type_of_total")).select(
+        "type_of_total",
+        F.col("r.developer_response").alias("developer_response"),
         F.col("r.recommendationid").alias("recommendationid"),
         F.array_join(F.array_sort(F.map_keys("r.author")), ",").alias("author_fields"),
         F.col("r.review").alias("review"),

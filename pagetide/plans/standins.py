@@ -157,9 +157,9 @@ class Standins:
         return conform(rows, REVIEWS_IN_ORDER, DEFAULTS["reviews"])
 
     def state(self) -> DataFrame:
-        """Customers of all segments but one as apps with a stored state."""
+        """All customers as apps with a stored state."""
         custkey, sound = F.col("c_custkey"), F.col("c_acctbal") >= 0
-        return self.table("customer").filter("c_mktsegment <> 'HOUSEHOLD'").select(
+        return self.table("customer").select(
             custkey.cast("string").alias("app_id"),
             F.when(F.col("c_nationkey") % 5 != 0, 1_704_000_000 + custkey * 1000).alias("complete_through_timestamp_updated"),
             (~sound).alias("backlogged"),
@@ -172,7 +172,7 @@ class Standins:
         )
 
     def payload_pages(self) -> DataFrame:
-        """Documents packed into raw page documents with personal author fields. A page covers 200 document ids at most."""
+        """Documents packed into raw page documents with personal author fields and a field that the contract does not name. A page covers 200 document ids at most."""
         doc = F.col("doc_id")
         as_text = doc.cast("string")
         review = F.struct(
@@ -195,6 +195,7 @@ class Standins:
             F.lit("x").alias("votes_funny"),
             F.concat(F.lit("0."), as_text).alias("weighted_vote_score"),
             (doc % 3 == 0).alias("steam_purchase"),
+            F.concat(F.lit("reply to "), as_text).alias("developer_response"),
         )
         number = (F.floor(doc / 200) + 1).cast("int")
         grouped = self.table("documents").groupBy(

@@ -14,9 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 HOT_ROWS_SETTING = "spark.pagetide.hotGroupRows"
 HOT_ROWS_DEFAULT = 500_000
 
-# What one shuffle partition should hold at most, and the number of partitions a driver still plans well.
+# What one shuffle partition should hold at most.
 PARTITION_BYTES = 128 * 1024 * 1024
-MAX_PARTITIONS = 100_000
 
 
 def build_session(app_name: str = "pagetide", master: str | None = None, **conf: str) -> SparkSession:
@@ -48,7 +47,7 @@ def sized_shuffle(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     """Enough shuffle partitions for the input, never fewer than set. Adaptive execution merges those that stay small."""
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
-    needed = min(MAX_PARTITIONS, -(-input_bytes // PARTITION_BYTES))
+    needed = -(-input_bytes // PARTITION_BYTES)
     spark.conf.set(name, str(max(int(before), needed)))
     try:
         yield

@@ -26,9 +26,10 @@ def test_lookup_join_is_the_same_with_and_without_broadcast(spark, monkeypatch,
 def test_broadcast_bounds(spark, monkeypatch):
     numbers = spark.range(10)
     assert skew.is_small(numbers)
-    monkeypatch.setattr(skew, "BROADCAST_BYTES", 50)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 200)
     assert skew.is_small(numbers)
     assert not skew.is_small(numbers.withColumn("text", F.lit("twelve bytes")))
+    assert not skew.is_small(numbers.withColumn("nested", F.array(F.struct(F.lit("twelve bytes")))))
     monkeypatch.setattr(skew, "BROADCAST_ROWS", 9)
     assert not skew.is_small(numbers)
 
