@@ -550,3 +550,20 @@ ORACLES["request_url"] = """
 SELECT page_id, 'https://reviews.example.org/list/' || CAST(page_id AS VARCHAR)
     || '?json=1&filter=updated&language=english&purchase_type=all&review_type=all&num_per_page=100&cursor='
     || replace(url_encode(url), '%20', '+') AS request_url FROM pages"""
+
+ORACLES["stream_load_tables"] = _with(PAYLOAD) + """,
+landed AS (SELECT run_id, app_id, page_number, page_number % 4 = 3 OR page_number % 10 = 9 AS failed
+    FROM placed GROUP BY run_id, app_id, page_number),
+kept AS (SELECT * FROM landed c WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.run_id = c.run_id AND l.app_id = c.app_id
+    AND l.failed AND l.page_number < c.page_number)),
+good AS (SELECT p.doc_id FROM placed p JOIN kept k ON k.run_id = p.run_id AND k.app_id = p.app_id AND k.page_number = p.page_number
+    WHERE NOT k.failed)
+SELECT 'runs' AS what, count(DISTINCT run_id) AS rows_stored FROM kept
+UNION ALL SELECT 'apps', count(DISTINCT app_id) FROM kept
+UNION ALL SELECT 'pages', count(*) FROM kept
+UNION ALL SELECT 'reviews', count(*) FROM good
+UNION ALL SELECT 'review_changes', count(*) FROM good
+UNION ALL SELECT 'pages without run_id', 0
+UNION ALL SELECT 'pages without app_id', 0
+UNION ALL SELECT 'reviews without run_id', 0
+UNION ALL SELECT 'reviews without app_id', 0"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,10 +34,10 @@ from pagetide.plans.standins import SOURCES, Standins
 from pagetide.plans.store import Store
 from pagetide.schemas import APPS, DEFAULTS, IMPORT_COLUMNS, KEYS, PAGES, RUNS, SYNC_STATE
 from pagetide.session import scratch_root
-from pagetide.sinks.files import sanitize_documents
-from pagetide.sources.landing import LANDED, attach_documents, loadable
+from pagetide.sinks.files import land_pages, sanitize_documents
+from pagetide.sources.landing import LANDED, attach_documents, loadable, read_landed_pages
 from pagetide.sources.targets import active_targets, check_targets, valid_targets
-from pagetide.streaming.upsert import stream_reviews
+from pagetide.streaming.upsert import stream_pages, stream_reviews
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -351,6 +352,27 @@ def stream_upsert(s: Standins) -> DataFrame:
     return store.read("reviews").select(*VERSION_COLUMNS)
 
 
+@_query
+def stream_load_tables(s: Standins) -> DataFrame:
+    """All page documents, streamed run by run into all tables; the rows of each table, and keys that name no parent."""
+    root = f"{scratch_root(s.spark)}/stream-{uuid.uuid4().hex}"
+    land_pages(normalize.conform(s.payload_pages(), LANDED), f"{root}/landed")
+    store = Store(s.spark, f"{root}/store")
+    landed = read_landed_pages(s.spark, f"{root}/landed", streaming=True)
+    stream_pages(landed, store, f"{root}/checkpoint", BASE_URL, f"{root}/landed").awaitTermination()
+    tables = store.read_all(["runs", "apps", "pages", "reviews", "review_changes"])
+    parents = [("pages", "run_id", "runs"), ("pages", "app_id", "apps"), ("reviews", "run_id", "runs"), ("reviews", "app_id", "apps")]
+    counts = [
+        tables[name].agg(F.lit(name).alias("what"), F.count(F.lit(1)).alias("rows_stored")) for name in tables
+    ] + [
+        tables[child].join(tables[parent].select(key), key, "left_anti").agg(
+            F.lit(f"{child} without {key}").alias("what"), F.count(F.lit(1)).alias("rows_stored")
+        )
+        for child, key, parent in parents
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 class StreamedEvents(Standins):
     """The same views over a stream of events."""
 
