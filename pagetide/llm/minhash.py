@@ -7,7 +7,7 @@ Every candidate is confirmed on the full sets.
 
 A star alone can miss a link between two members that are both unlike the centre. Buckets whose members are not yet in one
 component therefore go on: members with too many shingles of their own to have any link leave them, by an exact bound, and in
-each further round more of the rest become centres (4, 16, 64 ...) for the members of other components, until the bucket is one
+each further round more of the rest become centres (16, 256 ...) for the members of other components, until the bucket is one
 component or every member was a centre. Real groups end after one star, and strays at the bound, so the rounds are few.
 
 Defined results: texts without words and null texts have an empty set and are linked with nothing; rows with a null doc_id are
@@ -32,6 +32,9 @@ CHUNK_BYTES = 1 << 20
 
 # A table of at most so many short rows, as counted, is worked on in one task and broadcast; results are the same either way.
 FEW_ROWS = 200_000
+
+# A further round has so many times the centres of the one before.
+ROUND_GROWTH = 16
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -315,7 +318,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
             most = left.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
             if most <= centres:
                 break
-            centres *= 4
+            centres *= ROUND_GROWTH
             ranked, _ = few(materialise(rank_in_cells(left, ["bucket"], ["node"], "place", rows), "open-ranked"))
             pairs = further_pairs(ranked, centres, percent).join(tried, ["a", "b"], "left_anti")
             pairs, rows = few(materialise(pairs, "further-pairs"))
