@@ -7,8 +7,9 @@ Every candidate is confirmed on the full sets.
 
 A star alone can miss a link between two members that are both unlike the centre. Buckets whose members are not yet in one
 component therefore go on: members with too many shingles of their own to have any link leave them, by an exact bound, and in
-each further round more of the rest become centres (16, 256 ...) for the members of other components, until the bucket is one
-component or every member was a centre. Real groups end after one star, and strays at the bound, so the rounds are few.
+each further round more of the rest become centres (16, 256 ...) for the members of other components. A centre has met its whole
+bucket and leaves it, so only members that were never a centre are left; the bucket goes on until these are of one component.
+Real groups end after one star, and strays at the bound, so the rounds are few.
 
 Defined results: texts without words and null texts have an empty set and are linked with nothing; rows with a null doc_id are
 linked with nothing, have a null component and are kept; a repeated row belongs to the same class; an empty table gives an empty
@@ -230,7 +231,7 @@ def measure(pairs: DataFrame, rows: int, sets: DataFrame, percent: int) -> DataF
 
 
 def open_members(members: DataFrame) -> DataFrame:
-    """The members of those buckets that hold more than one component."""
+    """The members of those buckets that hold more than one component. All are still to be centres: those that were have left."""
     mixed = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
     return members.join(mixed.select("bucket"), "bucket", "left_semi")
 
@@ -307,16 +308,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
         ), "measured")
         links = first.filter("linked").select("a", "b")
         of_centre = first.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.col("shared").alias("of_centre"))
-        members = shared.join(of_centre, ["centre", "node"], "left").withColumn(
-            "of_centre", F.when(F.col("node") == F.col("centre"), F.col("n")).otherwise(F.col("of_centre"))
-        )
+        members = shared.filter("node <> centre").join(of_centre, ["centre", "node"], "left")
         labels, centres = components(links), 1
         while True:
             labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
             left, rows = few(materialise(open_members(materialise(labelled, "labelled")), "open-members"))
             left, rows = few(materialise(open_members(linkable(left, rows, sets, percent)), "open-members"))
-            most = left.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
-            if most <= centres:
+            if not rows:
                 break
             centres *= ROUND_GROWTH
             ranked, _ = few(materialise(rank_in_cells(left, ["bucket"], ["node"], "place", rows), "open-ranked"))
@@ -325,8 +323,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
             found = materialise(measure(pairs, rows, sets, percent), "measured")
             tried = tried.unionByName(pairs)
             links = links.unionByName(found.filter("linked").select("a", "b"))
-            # Members that left can have no further link, and a bucket of one component stays one.
-            labels, members = components(links), left.drop("label", "common")
+            # Members that left can have no further link, a centre has met all others, and a bucket of one component stays one.
+            labels, members = components(links), ranked.filter(F.col("place") >= centres).drop("label", "common", "place")
     placed = signed.select("doc_id", "n_shingles", "set_key").join(
         classes, (signed["set_key"] == classes["set_key"]) & (signed["n_shingles"] > 0) & signed["doc_id"].isNotNull(), "left"
     ).select("doc_id", "n_shingles", "node")

@@ -116,6 +116,23 @@ def test_a_group_of_strays_is_left_alone(spark):
     assert {row["doc_id"]: row["component_id"] for row in rows_} == label
 
 
+def test_members_that_outlast_their_bucket_are_measured(spark):
+    """Twins behind more strays than a round has centres; the strays leave a round late, as helpers that leave first hold their words."""
+    base, found = [f"w{k}" for k in range(176)], []
+    own = lambda name, n: [f"{name}x{k}" for k in range(n)]
+    for k in range(60):
+        found.append((k, [f"h{k}a", f"h{k}b", *own(f"s{k}", 22)]))
+        found += [(100 + 2 * k + i, [f"h{k}{side}", *own(f"o{k}{side}", 23)]) for i, side in enumerate("ab")]
+    for k in range(6):
+        found += [(300 + 2 * k + i, [f"t{k}a", f"t{k}b", *own(f"t{k}{side}", 22)]) for i, side in enumerate("ab")]
+    texts = [(k, " ".join(base + more)) for k, more in found]
+    rows_ = near_duplicates(spark.createDataFrame(texts, "doc_id bigint, text string"), words=1).collect()
+    sets = {k: set(text.split()) for k, text in texts}
+    linked = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert linked == [(300 + 2 * k, 301 + 2 * k) for k in range(6)]
+    assert {row["doc_id"]: row["component_id"] for row in rows_} == {k: k for k in sets} | {b: a for a, b in linked}
+
+
 def test_shingles_and_sketches():
     shingler = Shingler(2)
     one, other, none, single, spaced = shingler.sets(["a b c a b", "A  B\tc\na b", None, "word", " x\x0by "])
