@@ -1,9 +1,10 @@
 """Toxicity: a linear classifier on character n-grams, whose features are scaled by naive Bayes log-count ratios.
 
 A feature is the presence of an n-gram in the whole text, times the log-ratio of the shares of toxic and other documents that
-hold it. Ratios within their sampling error are set to zero, so that long texts do not add up noise. A logistic
-regression on the scaled features is trained in numpy on a bounded sample of labelled documents; for scoring, ratio and weight
-fold into one number per bucket, and every whole text is scored in its task.
+hold it. Ratios shrink by their certainty, so that long texts do not add up noise and rare toxic words still have features; the
+certainty is measured on the n-gram's own documents, by how far their labels are from those of the sample. A logistic
+regression on the scaled features is trained in numpy on a bounded sample of labelled documents, in which both labels weigh
+the same; for scoring, ratio and weight fold into one number per bucket, and every whole text is scored in its task.
 
 Defined results: null and empty texts get the score of a text without features; with nothing to learn from, the score is 0;
 rows are judged one by one, so repeated rows get equal results; a document with both labels counts as toxic; an empty
@@ -31,7 +32,8 @@ class ToxicitySettings:
     sample_chars: int = 20_000  # longer documents are not taken for training
     smoothing: float = 1.0
     least_documents: int = 3
-    least_error: float = 4.0  # standard errors by which a log-ratio must differ from zero
+    least_error: float = 2.0  # standard errors by which an n-gram's toxic documents must differ from their share of the sample
+    half_error: float = 8.0  # standard errors at which a log-ratio counts half
     penalty: float = 1e-4
     steps: int = 400
 
@@ -57,8 +59,10 @@ def fit(texts: list[str], toxic: list[int], settings: ToxicitySettings) -> Toxic
     other, bad = with_label
     n_bad, n_other, a = labels.sum(), len(labels) - labels.sum(), settings.smoothing
     ratio = np.log((bad + a) / (n_bad + 2 * a)) - np.log((other + a) / (n_other + 2 * a))
-    error = np.sqrt(1 / (bad + a) + 1 / (other + a))
-    chosen = (bad + other >= settings.least_documents) & (np.abs(ratio) >= settings.least_error * error)
+    n, share = bad + other, (n_bad + a) / (len(labels) + 2 * a)
+    error = np.abs(bad - n * share) / np.sqrt(np.maximum(n, 1) * share * (1 - share))
+    chosen = (n >= settings.least_documents) & (error >= settings.least_error)
+    ratio *= error**2 / (error**2 + settings.half_error**2)
     place = np.full(size, -1, np.int32)
     buckets = np.flatnonzero(chosen)
     place[buckets] = np.arange(len(buckets))
@@ -71,12 +75,14 @@ def fit(texts: list[str], toxic: list[int], settings: ToxicitySettings) -> Toxic
     rows, columns = np.concatenate(rows), np.concatenate(columns)
     scale = ratio[buckets]
     values = scale[columns]
-    weights, bias = np.zeros(len(buckets)), float(np.log((n_bad + a) / (n_other + a)))
+    both = n_bad > 0 and n_other > 0
+    weights, bias = np.zeros(len(buckets)), 0.0 if both else float(np.log((n_bad + a) / (n_other + a)))
+    part = np.where(labels == 1, 1 / max(n_bad, 1), 1 / max(n_other, 1)) / (2 if both else 1)
     # Full-batch descent with a step per weight by the size of its past gradients.
     past, past_bias = np.full(len(buckets), 1e-8), 1e-8
     for _ in range(settings.steps if len(buckets) else 0):
         z = np.bincount(rows, values * weights[columns], len(labels)) + bias
-        miss = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - labels) / len(labels)
+        miss = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - labels) * part
         slope = np.bincount(columns, values * miss[rows], len(buckets)) + settings.penalty * weights
         past, past_bias = past + slope**2, past_bias + miss.sum() ** 2
         weights -= 0.1 * slope / np.sqrt(past)

@@ -1,6 +1,7 @@
 """HTML extraction, nearest neighbours, language and toxicity against brute force and held-out rows."""
 
 import html
+import random
 import re
 import zlib
 
@@ -14,7 +15,7 @@ from pagetide.llm.htmltext import Page, TreeSettings, extract_text
 from pagetide.llm.langid import identify_languages, train_language_model
 from pagetide.llm.ngrams import Grams
 from pagetide.llm.queries import QUERIES
-from pagetide.llm.toxicity import score_toxicity, train_toxicity_model
+from pagetide.llm.toxicity import ToxicitySettings, fit, score_toxicity, train_toxicity_model
 
 SMALL, MIDDLE = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 PAGES = "page_id bigint, url string, html string"
@@ -189,6 +190,22 @@ def test_toxicity_of_held_out_documents(spark):
     assert sum(caught) / len(caught) >= 0.7 and sum(blamed) / len(blamed) <= 0.01
 
 
+def test_rare_toxic_words_of_a_full_sample_have_features(spark):
+    """3,000 documents of each label; one toxic document in a hundred has words of its own and none of the common toxic ones."""
+    rng = random.Random(1)
+    plain = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(400)]
+
+    def text(words):
+        return " ".join([*rng.choices(plain, k=7), *words, *rng.choices(plain, k=23)])
+
+    rare, common = ["zyxwvu", "qrstuz"], ["klmnop", "mnoplk", "pponml"]
+    texts = [text(rare if k % 100 == 0 else common) for k in range(3000)] + [text([]) for _ in range(3000)]
+    model = fit(texts, [1] * 3000 + [0] * 3000, ToxicitySettings())
+    new = spark.createDataFrame([(k, text(rare if k % 2 else [])) for k in range(40)], "doc_id bigint, text string")
+    found = {row["doc_id"]: row["score"] for row in score_toxicity(new, model).collect()}
+    assert all((found[k] >= 0.7) == (k % 2 == 1) for k in found) and len(found) == 40
+
+
 def test_odd_texts_have_a_score(spark):
     docs = documents(spark)
     labels = spark.createDataFrame([(5, 0), (5, 1), (8, 0), (None, 1), (9, None), (10, 0), (77, 1)], "doc_id bigint, toxic int")
