@@ -47,6 +47,11 @@ DROPPED_NAMES = {
     "share", "sharing", "social", "comment", "comments", "commentlist", "respond", "reply", "replies", "disqus", "copyright", "legal",
     "toolbar", "skip", "alert", "paywall", "outbrain", "taboola",
 }
+# Words that may stand beside a name of a part without changing what it is: cookie-bar, sidebar-left, but not has-sidebar.
+BESIDE_NAMES = {
+    "left", "right", "top", "bottom", "site", "list", "area", "box", "bar", "container", "wrapper", "wrap", "inner", "outer", "section",
+    "block", "links", "buttons", "slot", "unit", "zone", "form", "primary", "secondary", "global",
+}
 MAIN = {"article", "main"}
 CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -74,6 +79,7 @@ class Node:
     parent: int
     key: str
     dropped: bool
+    named: bool  # by class or id a part that is not the article
     main: bool
     header: bool
     children: list[str] = field(default_factory=list)
@@ -91,7 +97,7 @@ class Page:
     """The element tree of one page, of block elements only, and the text that stands directly in each of them."""
 
     def __init__(self, source: str) -> None:
-        self.nodes = [Node("", -1, "", False, False, False)]
+        self.nodes = [Node("", -1, "", False, False, False, False)]
         self.at = 0
         self.blocks: list[tuple[int, str]] = []
         self.text: list[str] = []
@@ -151,13 +157,16 @@ class Page:
                     dropped |= name == "hidden" or value.lower() == "true"
                 else:
                     names += " " + value
-        words = {word.lower() for word in NAME.findall(names)}
-        if words & DROPPED_NAMES and tag not in ("html", "body", "main") and not (tag == "article" and not words & {"comment", "reply", "ad", "ads", "sponsored", "related", "promo"}):
-            dropped = True
+        words = set()
+        for name in names.split():
+            own = {word.lower() for word in NAME.findall(name)}
+            if own <= DROPPED_NAMES | BESIDE_NAMES:
+                words |= own & DROPPED_NAMES
+        named = bool(words) and tag not in ("html", "body", "main") and not (tag == "article" and not words & {"comment", "reply", "ad", "ads", "sponsored", "related", "promo"})
         parent = self.at
         key = f"{tag}.{' '.join(sorted(set(re.sub(r'[0-9]+', '', names).split())))}"
         self.nodes[parent].children.append(key)
-        self.nodes.append(Node(tag, parent, key, dropped, tag in MAIN and not dropped, tag == "header"))
+        self.nodes.append(Node(tag, parent, key, dropped, named, tag in MAIN and not dropped and not named, tag == "header"))
         self.at = len(self.nodes) - 1
 
     def _close(self, tag: str) -> None:
@@ -181,20 +190,31 @@ class Page:
                 while above > 0 and not nodes[above].holds_main:
                     nodes[above].holds_main = True
                     above = nodes[above].parent
+        chars = [0] * len(nodes)
+        for at, text in self.blocks:
+            chars[at] += len(text)
+        for k in range(len(nodes) - 1, 0, -1):
+            chars[nodes[k].parent] += 0 if nodes[k].dropped else chars[k]
         gone, inside, branches = [False], [False], [[]]
         paths = [""]
-        for node in nodes[1:]:
+        for k, node in enumerate(nodes[1:], 1):
             up = node.parent
-            # A page's wrapper may be named after a part it holds; what holds the article is not that part.
-            own = (node.dropped and not (node.holds_main and node.tag not in DROPPED)) or (
-                node.header and not inside[up] and not node.holds_main
+            # A page's wrapper may be named after a part it holds; what holds the article, or most of the text, is not that part.
+            own = (
+                (node.dropped and not (node.holds_main and node.tag not in DROPPED))
+                or (node.named and not node.holds_main and 2 * chars[k] <= chars[0])
+                or (node.header and not inside[up] and not node.holds_main)
             )
             gone.append(gone[up] or own)
             inside.append(inside[up] or (node.main and not gone[-1]))
             paths.append(f"{paths[up]}>{node.key}")
             outer = node.tag in ("html", "body", "article", "main")
             branches.append(branches[up] if outer else [*branches[up], len(paths) - 1])
-        only_main = any(inside)
+        sizes = [0, 0]
+        for at, text in self.blocks:
+            sizes[inside[at]] += 0 if gone[at] else len(text)
+        # Articles beside far more text that is no named part are teasers; <main> is what it says.
+        only_main = any(inside) and (sizes[0] <= 2 * sizes[1] or any(node.main and node.tag == "main" for node in nodes))
         hashed = [int.from_bytes(xxhash.xxh3_64_digest(path.encode()), "big", signed=True) for path in paths]
         kept = [
             ([hashed[b] for b in branches[at]], nodes[at].tag == "h1", text)

@@ -51,6 +51,20 @@ def test_parts_that_are_not_the_article():
     assert blocks(source) == ["Title & more", "One two threefour", "a", "b", "x < y z"]
 
 
+@pytest.mark.parametrize(
+    ("source", "wanted"),
+    [
+        ('<div id="content" class="has-sidebar"><p>All of it.<div class="sidebar-left">side</div></div>', ["All of it."]),
+        ('<div class="post no-comments"><p>All of it.</div>', ["All of it."]),
+        ('<article><p>One two three.<div class="related-work">Four.</div><p class="notice-period">Five.</article>', ["One two three.", "Four.", "Five."]),
+        ('<div class="legal"><p>The law in full.</div><div class="share">tweet</div>', ["The law in full."]),
+        ("<div><p>A long text of the page, in many words.</div><article>Teaser</article>", ["A long text of the page, in many words.", "Teaser"]),
+    ],
+)
+def test_text_under_names_of_parts(source, wanted):
+    assert blocks(source) == wanted
+
+
 @pytest.mark.parametrize(
     ("source", "wanted"),
     [
