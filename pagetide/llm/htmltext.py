@@ -4,11 +4,12 @@ A page is parsed once, in a task, into the blocks of its article: what stands in
 notices, adverts, forms or reader comments, by element, role or name, is left out at once. The blocks that are left carry the
 keys of the branches they stand in. All pages of a host then make one style tree, as aggregations by host and branch: a branch
 is important if its pages arrange it in many ways (presentation) and if its texts differ from page to page (content), both as
-entropies between 0 and 1. Blocks in branches of low importance are removed from every page of the host, unless they are most
-of the page's text, or its title. A host may hold any share of the pages: sums by branch combine before their shuffle.
+entropies between 0 and 1. Copies of a page count once, so that they do not pass for shared text. Blocks in branches of low
+importance are removed from every page of the host, however short its article, but for the title; a page that would lose all
+its text stays whole. A host may hold any share of the pages: sums by branch combine before their shuffle.
 
-Defined results: null and empty html give an empty text; pages without a host, and hosts with fewer than `least_pages` pages, have
-no style tree; repeated rows are pages of their own; an empty table gives an empty table; only page_id, url and html are read.
+Defined results: null and empty html give an empty text; pages without a host, and hosts with fewer than `least_pages` different
+pages, have no style tree; repeated rows are pages of their own; an empty table gives an empty table; only page_id, url and html are read.
 """
 
 from __future__ import annotations
@@ -257,21 +258,22 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 
 def low_branches(parsed: DataFrame, settings: TreeSettings) -> DataFrame:
     """(host, branch) of the style tree whose importance is below the least."""
-    sited = parsed.filter("host <> ''")
+    sited = parsed.filter("host <> ''").withColumn("body", F.xxhash64("blocks"))
     texts = F.array_distinct(F.flatten(F.transform("blocks", lambda b: F.transform(
         b["branches"], lambda branch: F.struct(branch.alias("branch"), F.xxhash64(b["text"]).alias("value"))
     ))))
-    pages = sited.select("host", F.explode(F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["branches"])))).alias("branch"))
-    pages = pages.groupBy("host", "branch").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= settings.least_pages)
+    pages = sited.select("host", "body", F.explode(F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["branches"])))).alias("branch"))
+    pages = pages.distinct().groupBy("host", "branch").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= settings.least_pages)
 
     def entropies(values: DataFrame) -> DataFrame:
-        counts = values.groupBy("host", "branch", "value").agg(F.count(F.lit(1)).alias("n"))
+        counts = values.distinct().groupBy("host", "branch", "value").agg(F.count(F.lit(1)).alias("n"))
         return counts.join(pages, ["host", "branch"])
 
-    content = entropies(sited.select("host", F.explode(texts).alias("x")).select("host", "x.branch", "x.value"))
+    content = entropies(sited.select("host", "body", F.explode(texts).alias("x")).select("host", "body", "x.branch", "x.value"))
     # A text on n of the branch's pages has the entropy log n in the base of its pages.
     content = content.groupBy("host", "branch").agg((1 - F.avg(F.log("n") / F.log("pages"))).alias("content"))
-    shapes = entropies(sited.select("host", F.explode("styles").alias("x")).select("host", "x.branch", F.col("x.style").alias("value")))
+    shapes = sited.select("host", "body", F.explode("styles").alias("x"))
+    shapes = entropies(shapes.select("host", "body", "x.branch", F.col("x.style").alias("value")))
     share = F.col("n") / F.col("pages")
     shapes = shapes.groupBy("host", "branch").agg(F.sum(-share * F.log(share) / F.log("pages")).alias("presentation"))
     weight = settings.presentation
@@ -285,9 +287,7 @@ def extract_text(pages: DataFrame, settings: TreeSettings = TreeSettings()) -> D
     parsed = materialise(parse_pages(pages).withColumn("host", host), "parsed-pages", keep=True)
     low = low_branches(parsed, settings).groupBy("host").agg(F.collect_set("branch").alias("low"))
     joined = lookup_join(parsed.select("page_id", "url", "host", "blocks"), materialise(low, "low-branches", keep=True), ["host"], "left")
-    noise = F.filter("blocks", lambda b: ~b["title"] & F.coalesce(F.arrays_overlap(b["branches"], "low"), F.lit(False)))
     left = F.filter("blocks", lambda b: b["title"] | ~F.coalesce(F.arrays_overlap(b["branches"], "low"), F.lit(False)))
-    chars = lambda blocks: F.aggregate(blocks, F.lit(0), lambda n, b: n + F.length(b["text"]))
-    kept = F.when(2 * chars(noise) > chars(F.col("blocks")), F.col("blocks")).otherwise(left)
+    kept = F.when(F.size(left) == 0, F.col("blocks")).otherwise(left)
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))

@@ -97,6 +97,16 @@ def test_copies_of_one_page_stay_whole(spark):
     assert {row["text"] for row in extract_text(spark.createDataFrame(found, PAGES)).collect()} == {"Title\nAll there is."}
 
 
+def test_thin_pages_lose_what_their_host_shares(spark):
+    def page(own):
+        return f"<div class=a><p>{own}</div><div class=b><p>{'The same long text on every page of this host. ' * 9}</div>"
+
+    own = [f"Short {k}." if k % 2 else f"Own text number {k}. " * 40 for k in range(8)]
+    found = [(k, "http://one.example/", page(own[min(k, 7)])) for k in range(40)]
+    text = {row["page_id"]: row["text"] for row in extract_text(spark.createDataFrame(found, PAGES)).collect()}
+    assert text == {k: own[min(k, 7)].strip() for k in range(40)}
+
+
 def test_odd_pages(spark):
     long = "<p>" + "word " * 200_000
     found = [(1, None, None), (2, "not a url", ""), (None, "http://x.example", "<p>a"), (4, "http://x.example", long), (4, "http://x.example", "<p>b")]
