@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pagetide.llm.ann import nearest_neighbours
 from pagetide.llm.common import table
+from pagetide.llm.decontam import find_contamination
 from pagetide.llm.htmltext import extract_text
 from pagetide.llm.langid import identify_languages, train_language_model
 from pagetide.llm.linedup import dedup_lines
@@ -19,6 +20,8 @@ from pagetide.llm.packing import pack, token_pieces
 from pagetide.llm.quality import quality_rules
 from pagetide.llm.sharding import kd_shards
 from pagetide.llm.toxicity import score_toxicity, train_toxicity_model
+from pagetide.llm.trie import prefix_trie, sequences, with_shared_heads
+from pagetide.llm.whitening import fit_whitening, identity_error, whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -93,3 +96,32 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@_query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = fit_whitening(vectors)
+    explained = F.array(*[F.lit(float(value) / model.trace) for value in model.eigenvalues]).cast("array<double>")
+    each = whiten(vectors, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return each.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("bigint").alias("n"), "deviation", "whitened",
+        explained[F.col("at")].alias("explained"), F.lit(identity_error(vectors, model)).alias("identity_error"),
+    )
+
+
+@_query
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rebuilt = with_shared_heads(sequences(table(spark, sf_dir, "conversations"), group=20))
+    return prefix_trie(rebuilt).drop("turn_id")
+
+
+@_query
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, span: n + span["past_word"] - span["first_word"])
+    names = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(names.cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
