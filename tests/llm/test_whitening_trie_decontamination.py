@@ -188,7 +188,7 @@ def test_odd_documents_and_items(spark, tmp_path):
 def test_several_automata(spark):
     docs, bench = odd_documents(spark), items(spark, odd_items())
     wanted = sorted(find_contamination(docs, bench).collect(), key=str)
-    assert sorted(find_contamination(docs, bench, window_bytes=100).collect(), key=str) == wanted
+    assert sorted(find_contamination(docs, bench, window_bytes=20_000).collect(), key=str) == wanted
 
 
 @pytest.mark.parametrize("docs, bench", [([], [(1, "one")]), (None, []), (None, [(1, None)])])
