@@ -46,6 +46,16 @@ def merge_runs(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
     return overwrite_by_key(existing, conform(incoming, RUNS, DEFAULTS["runs"]), KEYS["runs"])
 
 
+def add_to_runs(existing: DataFrame, parts: DataFrame) -> DataFrame:
+    """Runs of which one more part was loaded: counters add up, the rest is that of the latest part."""
+    counters = list(DEFAULTS["runs"])
+    before = existing.select("run_id", *(F.col(c).alias(f"_{c}") for c in counters))
+    sums = conform(parts, RUNS, DEFAULTS["runs"]).join(before, "run_id", "left").withColumns({
+        c: F.col(c) + F.coalesce(f"_{c}", F.lit(0)) for c in counters
+    })
+    return overwrite_by_key(existing, sums.select(*RUNS.names), KEYS["runs"])
+
+
 def seen_apps(reports: DataFrame, order: list[str], targets: DataFrame | None = None) -> DataFrame:
     """One row per app of the reports: names, flags and notes from the target list, else the page's app name.
 

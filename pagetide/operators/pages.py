@@ -99,12 +99,22 @@ def report_landed_pages(
 
     `pages` has run_id, app_id, app_name, page_number, status_code, attempt_count, fetched_at, raw_json_path, document.
     """
-    measured = materialise(measure_pages(pages), "pages")
-    ended = end_pages(
-        with_high_water(cursor_chain(measured, ["page_number"], hot_rows), state),
-        page_cap,
-        delta_applies(review_filter, disable_delta_stop),
-    )
+    chained = cursor_chain(materialise(measure_pages(pages), "pages"), ["page_number"], hot_rows)
+    return finish_reports(chained, state, base_url, review_filter, language, page_size, page_cap, disable_delta_stop)
+
+
+def finish_reports(
+    chained: DataFrame,
+    state: DataFrame,
+    base_url: str,
+    review_filter: str = "updated",
+    language: str = "english",
+    page_size: int = 100,
+    page_cap: int = 0,
+    disable_delta_stop: bool = False,
+) -> DataFrame:
+    """Page reports of measured pages that have their cursor."""
+    ended = end_pages(with_high_water(chained, state), page_cap, delta_applies(review_filter, disable_delta_stop))
     url = request_url(base_url, F.col("app_id"), F.col("cursor"), review_filter, language, page_size=page_size)
     message = F.when(
         F.col("raw_status") == "fetch_error",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,6 +73,9 @@ def load_pages(
     hot_rows: int | None = None,
     file_names: DataFrame | None = None,
     token: str | None = None,
+    computed_from: int | None = None,
+    also: dict[str, tuple[str, DataFrame]] | None = None,
+    fold_runs: Callable[[DataFrame, DataFrame], DataFrame] = merge_runs,
 ) -> DataFrame:
     """Load page reports and their documents (run_id, file_name, document), wherever they were landed.
 
@@ -80,16 +84,20 @@ def load_pages(
     `order` sorts the reports in load order and starts with the run. Several runs are folded in one job, in run-id order,
     with the same result as loading them one by one. In strict mode a report without its document, or with one that is no
     JSON, raises; `check` tests every constraint before anything becomes visible. If another load is published meanwhile, this one
-    is merged again, on top of it. A `token` names the load, see `Store.publish`.
+    is merged again, on top of it. A `token` names the load, see `Store.publish`. Reports that were made from the stored tables
+    name the last load that they know of (`computed_from`); then StaleRead is left to the caller. `also` are writes to other tables
+    that become visible with this load, and `fold_runs` puts the run rows into the stored ones.
     """
     while True:
         with scratch(store.spark):
             try:
                 return _load(
-                    store, reports, files, file_names, order, raw_dir, targets, targets_path, strict, check, hot_rows, token
+                    store, reports, files, file_names, order, raw_dir, targets, targets_path, strict, check, hot_rows, token,
+                    computed_from, also or {}, fold_runs,
                 )
             except StaleRead:
-                continue
+                if computed_from is not None:
+                    raise
 
 
 def _load(
@@ -105,10 +113,13 @@ def _load(
     check: bool,
     hot_rows: int | None,
     token: str | None,
+    computed_from: int | None,
+    also: dict[str, tuple[str, DataFrame]],
+    fold_runs: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> DataFrame:
     loaded_at = utc_now()
     reports = materialise(reports, "reports")
-    last = store.last_load()
+    last = store.last_load() if computed_from is None else computed_from
     stored = store.read_all(["runs", "apps", "pages", "reviews"])
     if strict:
         lost = reports_without_document(reports, files if file_names is None else file_names).select("raw_json_path").first()
@@ -134,11 +145,12 @@ def _load(
     )
     pages = incoming_pages(stored["pages"], page_rows(reports, order), order)
     writes = {
-        "runs": (FULL, merge_runs(stored["runs"], runs)),
+        "runs": (FULL, fold_runs(stored["runs"], runs)),
         "apps": (FULL, merge_apps(stored["apps"], seen_apps(reports, order, targets))),
         "pages": (CHANGES, pages),
         "reviews": (CHANGES, merge.changed),
         "review_changes": (CHANGES, merge.changes),
+        **also,
     }
     if check:
         writes = {name: (kind, materialise(df.select(*TABLES[name].names), name)) for name, (kind, df) in writes.items()}

@@ -68,6 +68,17 @@ SYNC_STATE = _table("""
     last_review_count bigint, updated_at string
 """)
 
+# What a stream carries from load to load: how far each app's pages have come in a run, and pages that came before their turn.
+PAGE_CHAINS = _table("""
+    run_id string, app_id string, last_page int, next_cursor string, end_page int, terminal_reason string,
+    max_seen bigint, min_seen bigint, page_count bigint, review_count bigint
+""")
+
+WAITING_PAGES = _table("""
+    run_id string, app_id string, page_number int, file_name string, app_name string, status_code int, attempt_count int,
+    fetched_at string, raw_json_path string, document string
+""")
+
 TABLES = {
     "runs": RUNS,
     "apps": APPS,
@@ -75,6 +86,8 @@ TABLES = {
     "reviews": REVIEWS,
     "review_changes": REVIEW_CHANGES,
     "sync_state": SYNC_STATE,
+    "page_chains": PAGE_CHAINS,
+    "waiting_pages": WAITING_PAGES,
 }
 
 KEYS = {
@@ -84,6 +97,8 @@ KEYS = {
     "reviews": ["recommendationid"],
     "review_changes": ["run_id", "recommendationid"],
     "sync_state": ["app_id"],
+    "page_chains": ["run_id", "app_id"],
+    "waiting_pages": ["run_id", "app_id", "page_number"],
 }
 
 NOT_NULL = {
@@ -126,6 +141,8 @@ DEFAULTS = {
     "sync_state": {
         "complete_through_timestamp_updated": 0, "backlogged": True, "last_page_count": 0, "last_review_count": 0,
     },
+    "page_chains": {"page_count": 0, "review_count": 0},
+    "waiting_pages": {},
 }
 
 # Column subsets of the older store, used by the snapshot import; the first column is the conflict key.

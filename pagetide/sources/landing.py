@@ -85,9 +85,15 @@ LANDED = T.StructType([
 ])
 
 
-def read_landed_pages(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Pages landed by `land_pages`: many documents per file, one folder per run, so a run filter prunes folders."""
-    return (spark.readStream if streaming else spark.read).schema(LANDED).parquet(path)
+def read_landed_pages(spark: SparkSession, path: str, streaming: bool = False, files_per_batch: int | None = None) -> DataFrame:
+    """Pages landed by `land_pages`: many documents per file, one folder per run, so a run filter prunes folders.
+
+    A stream takes all files that are there, or at most `files_per_batch` of them, into a micro-batch.
+    """
+    reader = (spark.readStream if streaming else spark.read).schema(LANDED)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
 def loadable(reports: DataFrame) -> DataFrame:

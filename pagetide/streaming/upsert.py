@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,13 +12,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pagetide.functions import page_status, raw_status
 from pagetide.operators.merges import merge_reviews
-from pagetide.operators.normalize import conform, explode_reviews, normalize_reviews, parse_payload
-from pagetide.operators.pages import report_landed_pages
+from pagetide.operators.normalize import explode_reviews, normalize_reviews, parse_payload
 from pagetide.plans.load import load_pages, utc_now
 from pagetide.plans.store import CHANGES, StaleRead, Store
-from pagetide.schemas import PAGE_REPORT
 from pagetide.session import materialise, scratch
 from pagetide.sources.landing import read_landed_pages
+from pagetide.streaming.chains import CARRIED, add_runs, advanced_state, page_reports, take_pages
 
 
 PAGE_ORDER = ["run_id", "page_number", "pos"]
@@ -78,24 +78,58 @@ def stream_reviews(
     return _start(reviews, store, checkpoint, merge_load(store, order, hot_rows))
 
 
+def page_load(
+    store: Store, base_url: str, raw_dir: str, closing: bool = False, review_filter: str = "updated", hot_rows: int | None = None,
+    **rules,
+) -> Callable[[DataFrame, str], None]:
+    """Loads a batch of landed pages into all tables, again if another load comes between."""
+
+    def load(staged: DataFrame, token: str) -> None:
+        name = F.coalesce("file_name", F.format_string("app_%s_page_%04d.json", "app_id", "page_number"))
+        named = staged.withColumn("file_name", name).withColumn("raw_json_path", F.coalesce("raw_json_path", name))
+        while True:
+            last = store.last_load()
+            stored = store.read_all(CARRIED)
+            taken = take_pages(named, stored, base_url, closing, hot_rows, review_filter=review_filter, **rules)
+            also = {
+                "page_chains": (CHANGES, taken.chains),
+                "waiting_pages": (CHANGES, taken.waiting),
+                "sync_state": (CHANGES, advanced_state(taken, stored, review_filter, utc_now())),
+            }
+            files = taken.documents.select("run_id", "file_name", "document")
+            try:
+                load_pages(
+                    store, page_reports(taken), files, ["run_id", "page_number"], raw_dir, hot_rows=hot_rows, token=token,
+                    computed_from=last, also=also, fold_runs=add_runs(taken),
+                )
+                return
+            except StaleRead:
+                continue
+
+    return load
+
+
 def stream_pages(
     pages: DataFrame, store: Store, checkpoint: str, base_url: str, raw_dir: str, disable_delta_stop: bool = False,
-    hot_rows: int | None = None,
+    hot_rows: int | None = None, **rules,
 ) -> StreamingQuery:
     """Load a stream of landed pages into all tables until the input present now is used up.
 
     Each micro-batch is one load: its page reports are made from the documents and cut at the stored high-water marks, and runs,
-    apps, pages, reviews and changes become visible together.
+    apps, pages, reviews, changes and the state of the apps become visible together. The pages of a run may be dealt over any
+    number of batches, in any order: cursors, ends and counters go on where the last batch left them. Pages that wait for
+    missing ones are taken by `close_runs`.
     """
+    load = page_load(store, base_url, raw_dir, hot_rows=hot_rows, disable_delta_stop=disable_delta_stop, **rules)
+    return _start(pages, store, checkpoint, load)
 
-    def load(staged: DataFrame, token: str) -> None:
-        name = F.coalesce("file_name", F.format_string("app_%s_page_%04d.json", "app_id", "page_number"))
-        named = staged.withColumn("file_name", name).withColumn("raw_json_path", F.coalesce("raw_json_path", name))
-        made = report_landed_pages(
-            named, store.read("sync_state"), base_url, disable_delta_stop=disable_delta_stop, hot_rows=hot_rows
-        )
-        reports = conform(made, PAGE_REPORT)
-        files = named.select("run_id", "file_name", "document")
-        load_pages(store, reports, files, ["run_id", "page_number"], raw_dir, hot_rows=hot_rows, token=token)
 
-    return _start(pages, store, checkpoint, load)
+def close_runs(store: Store, base_url: str, raw_dir: str, run_id: str | None = None, hot_rows: int | None = None, **rules) -> None:
+    """Take all pages (of one run) that still wait: those missing before them will not come."""
+    held = store.read("waiting_pages").filter("document is not null")
+    held = held if run_id is None else held.filter(F.col("run_id") == run_id)
+    if not held.isEmpty():
+        with scratch(store.spark):
+            load = page_load(store, base_url, raw_dir, closing=True, hot_rows=hot_rows, **rules)
+            load(materialise(held, "held"), uuid.uuid4().hex)
+        store.compact_pending()
