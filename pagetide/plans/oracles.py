@@ -567,3 +567,51 @@ UNION ALL SELECT 'pages without run_id', 0
 UNION ALL SELECT 'pages without app_id', 0
 UNION ALL SELECT 'reviews without run_id', 0
 UNION ALL SELECT 'reviews without app_id', 0"""
+
+# The reports of landed pages without the column that is not stored.
+ORACLES["stream_pages_split"] = (
+    "SELECT * EXCLUDE (retryable, review_count), CAST(review_count AS BIGINT) AS review_count FROM ("
+    + ORACLES["landed_page_reports"] + ")"
+)
+
+# Pages of marked apps end where they catch up; 1600016650 is the mark that the stream starts from.
+_STREAMED = PAYLOAD + """,
+landed AS (
+    SELECT run_id, app_id, page_number, page_number % 4 = 3 OR page_number % 10 = 9 AS failed, page_number % 10 = 9 AS limited,
+        count(*) AS reviews, max(1600000000 + doc_id * 37) FILTER (WHERE doc_id % 11 <> 0) AS newest,
+        min(1600000000 + doc_id * 37) FILTER (WHERE doc_id % 11 <> 0) AS oldest
+    FROM placed GROUP BY run_id, app_id, page_number
+),
+judged AS (
+    SELECT *, CASE WHEN failed THEN 'fetch_error'
+        WHEN app_id LIKE '%1' AND coalesce(newest, 0) <= 1600016650 THEN 'caught_up_to_existing_reviews' END AS reason
+    FROM landed
+),
+kept AS (
+    SELECT * FROM judged j WHERE NOT EXISTS (SELECT 1 FROM judged l WHERE l.run_id = j.run_id AND l.app_id = j.app_id
+        AND l.reason IS NOT NULL AND l.page_number < j.page_number)
+)"""
+
+ORACLES["stream_sync_state"] = _with(_STREAMED) + """,
+progress AS (
+    SELECT run_id, app_id, max(newest) AS newest, min(oldest) AS oldest, count(*) AS page_count, sum(reviews) AS reviews,
+        coalesce(max(reason), 'unknown') AS reason
+    FROM kept GROUP BY run_id, app_id
+),
+latest AS (SELECT * FROM progress QUALIFY row_number() OVER (PARTITION BY app_id ORDER BY run_id DESC) = 1),
+complete AS (
+    SELECT app_id, max(newest) AS mark, max(run_id) AS run_id FROM progress
+    WHERE reason = 'caught_up_to_existing_reviews' GROUP BY app_id
+)
+SELECT app_id, greatest(coalesce(c.mark, 0), CASE WHEN app_id LIKE '%1' THEN 1600016650 ELSE 0 END) AS complete_through_timestamp_updated,
+    reason <> 'caught_up_to_existing_reviews' AS backlogged, l.run_id AS last_run_id, c.run_id AS last_successful_run_id,
+    reason AS last_terminal_reason, newest AS last_seen_max_timestamp_updated, oldest AS last_seen_min_timestamp_updated,
+    CAST(page_count AS BIGINT) AS last_page_count, CAST(reviews AS BIGINT) AS last_review_count
+FROM latest l LEFT JOIN complete c USING (app_id)"""
+
+ORACLES["stream_run_counters"] = _with(_STREAMED) + """
+SELECT run_id, count(DISTINCT app_id) AS app_count, count(*) AS page_count,
+    CAST(coalesce(sum(reviews) FILTER (WHERE NOT failed), 0) AS BIGINT) AS review_count,
+    CAST(coalesce(sum(reviews) FILTER (WHERE NOT failed), 0) AS BIGINT) AS reviews_inserted, 0::BIGINT AS reviews_updated,
+    0::BIGINT AS duplicates_skipped, count(*) FILTER (WHERE failed) AS fetch_errors, count(*) FILTER (WHERE limited) AS rate_limited_pages
+FROM kept GROUP BY run_id"""

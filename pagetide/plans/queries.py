@@ -31,13 +31,13 @@ from pagetide.functions import (
 from pagetide.operators import merges, normalize, pages, quality, reports, sync
 from pagetide.operators.merges import merge_reviews
 from pagetide.plans.standins import SOURCES, Standins
-from pagetide.plans.store import Store
+from pagetide.plans.store import FULL, Store
 from pagetide.schemas import APPS, DEFAULTS, IMPORT_COLUMNS, KEYS, PAGES, RUNS, SYNC_STATE
 from pagetide.session import scratch_root
 from pagetide.sinks.files import land_pages, sanitize_documents
 from pagetide.sources.landing import LANDED, attach_documents, loadable, read_landed_pages
 from pagetide.sources.targets import active_targets, check_targets, valid_targets
-from pagetide.streaming.upsert import stream_pages, stream_reviews
+from pagetide.streaming.upsert import close_runs, stream_pages, stream_reviews
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -360,6 +360,7 @@ def stream_load_tables(s: Standins) -> DataFrame:
     store = Store(s.spark, f"{root}/store")
     landed = read_landed_pages(s.spark, f"{root}/landed", streaming=True)
     stream_pages(landed, store, f"{root}/checkpoint", BASE_URL, f"{root}/landed").awaitTermination()
+    close_runs(store, BASE_URL, f"{root}/landed")
     tables = store.read_all(["runs", "apps", "pages", "reviews", "review_changes"])
     parents = [("pages", "run_id", "runs"), ("pages", "app_id", "apps"), ("reviews", "run_id", "runs"), ("reviews", "app_id", "apps")]
     counts = [
@@ -373,6 +374,53 @@ def stream_load_tables(s: Standins) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+# A mark that the first two pages of an app do not pass.
+STREAM_MARK = 1_600_000_000 + 37 * 450
+
+
+def _dealt_stream(s: Standins, parts: int, state: DataFrame) -> Store:
+    """Page documents that land in several batches, later pages before earlier ones, streamed as they land; runs then closed."""
+    root = f"{scratch_root(s.spark)}/stream-{uuid.uuid4().hex}"
+    store, documents = Store(s.spark, f"{root}/store"), normalize.conform(s.payload_pages(), LANDED)
+    store.publish({"sync_state": (FULL, normalize.conform(state, SYNC_STATE, DEFAULTS["sync_state"]))})
+    for part in reversed(range(parts)):
+        land_pages(documents.filter(F.col("page_number") % parts == (part + 1) % parts), f"{root}/landed")
+        landed = read_landed_pages(s.spark, f"{root}/landed", streaming=True)
+        stream_pages(landed, store, f"{root}/checkpoint", BASE_URL, f"{root}/landed").awaitTermination()
+    close_runs(store, BASE_URL, f"{root}/landed")
+    return store
+
+
+def _marked_sources(s: Standins) -> DataFrame:
+    sources = s.table("documents").select(F.col("source").alias("app_id")).distinct().filter("app_id like '%1'")
+    return sources.withColumn("complete_through_timestamp_updated", F.lit(STREAM_MARK).cast("bigint"))
+
+
+@_query
+def stream_pages_split(s: Standins) -> DataFrame:
+    """The pages of all runs, dealt over three batches in mixed order: their reports are those of `landed_page_reports`."""
+    return _dealt_stream(s, 3, s.state()).read("pages").select(
+        "run_id", "app_id", "page_number", "cursor", "next_cursor", "status", "terminal_reason", "review_count",
+        "request_url", "error_message",
+    )
+
+
+@_query
+def stream_sync_state(s: Standins) -> DataFrame:
+    """The state of the apps after a stream of two batches, as one load of all pages would leave it."""
+    return _dealt_stream(s, 2, _marked_sources(s)).read("sync_state").select(
+        "app_id", "complete_through_timestamp_updated", "backlogged", "last_run_id", "last_successful_run_id",
+        "last_terminal_reason", "last_seen_max_timestamp_updated", "last_seen_min_timestamp_updated", "last_page_count",
+        "last_review_count",
+    )
+
+
+@_query
+def stream_run_counters(s: Standins) -> DataFrame:
+    """The run rows after a stream of two batches: their counters are those of a single load."""
+    return _dealt_stream(s, 2, _marked_sources(s)).read("runs").select("run_id", *DEFAULTS["runs"])
+
+
 class StreamedEvents(Standins):
     """The same views over a stream of events."""
 
