@@ -1,9 +1,9 @@
 """Near-duplicate groups: one-permutation hashing with optimal densification, banded buckets and star-shaped edges.
 
-A document is the set of its word shingles. Documents with equal sets are one class, represented by the smallest doc_id. Each
+A document is the set of its word shingles. Rows with equal sets are one class, a node, represented by its smallest doc_id. Each
 class gets a one-permutation sketch; an empty bin borrows from the first filled bin of its own random probe sequence. Bands of
-the sketch are buckets, and each bucket links its members to its smallest one, so a bucket of n members gives n - 1 candidates.
-Every candidate is confirmed on the full sets.
+the sketch are buckets; buckets of the same members are one. Each bucket links its members to its smallest one, so a bucket of n
+members gives n - 1 candidates. Every candidate is confirmed on the full sets.
 
 A star alone can miss a link between two members that are both unlike the centre. Buckets whose members are not yet in one
 component therefore go on: members with too many shingles of their own to have any link leave them, by an exact bound, and in
@@ -12,8 +12,8 @@ bucket and leaves it, so only members that were never a centre are left; the buc
 Real groups end after one star, and strays at the bound, so the rounds are few.
 
 Defined results: texts without words and null texts have an empty set and are linked with nothing; rows with a null doc_id are
-linked with nothing, have a null component and are kept; a repeated row belongs to the same class; an empty table gives an empty
-table; only `doc_id` and `text` are read.
+linked with nothing, have a null component and are kept; a repeated row belongs to the same class; rows that share a doc_id but not
+their set are judged each by its own set; an empty table gives an empty table; only `doc_id` and `text` are read.
 """
 
 from __future__ import annotations
@@ -139,7 +139,7 @@ class Sketcher:
 
 
 def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, size of the set, a 128-bit key of the whole set, and the band hashes (none for an empty set)."""
+    """doc_id, hash of the text, size of the set, a 128-bit key of the whole set, and the band hashes (none for an empty set)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, sketcher = Shingler(words), Sketcher(bands, rows)
@@ -155,33 +155,53 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
             offsets = np.cumsum([0, *counts]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
+                    batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(folded)),
                 ],
-                ["doc_id", "n_shingles", "set_key", "bands"],
+                ["doc_id", "text_key", "n_shingles", "set_key", "bands"],
             )
 
-    return docs.mapInArrow(sign, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>")
+    signed = "doc_id bigint, text_key string, n_shingles bigint, set_key binary, bands array<bigint>"
+    return docs.withColumn("text_key", text_key(F.col("text"))).mapInArrow(sign, signed)
+
+
+def text_key(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """(node, shingles) of rows that come with the key of the set that stands for the node; rows of another set are passed over."""
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            found = list(shingler.sets(batch.column("text").to_pylist()))
+            nodes, found = [], []
+            all_sets = shingler.sets(batch.column("text").to_pylist())
+            for node, key, hashes in zip(batch.column("node").to_pylist(), batch.column("set_key").to_pylist(), all_sets, strict=True):
+                if xxhash.xxh3_128_digest(hashes.tobytes()) == key:
+                    nodes.append(node)
+                    found.append(hashes)
             offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
             flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["node", "shingles"]
+                [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["node", "shingles"]
             )
 
-    return docs.mapInArrow(sets, "node bigint, shingles array<bigint>")
+    return docs.select("node", "set_key", "text").mapInArrow(sets, "node bigint, shingles array<bigint>")
+
 
+def distinct_buckets(members: DataFrame) -> DataFrame:
+    """The members of one of all buckets that have the same members. Near copies share most of their bands."""
+    hashes = [F.sum(F.xxhash64(F.lit(seed), "node").cast("decimal(38,0)")).alias(f"hash_{seed}") for seed in (1, 2)]
+    sums = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("low"), F.max("node").alias("high"), *hashes)
+    first = sums.groupBy("rows", "low", "high", "hash_1", "hash_2").agg(F.min("bucket").alias("bucket"))
+    return members.join(first.select("bucket"), "bucket", "left_semi")
 
-def few(df: DataFrame) -> tuple[DataFrame, int]:
-    """A written table, in one partition if it has few rows, and its number of rows."""
-    rows = df.count()
-    return (df.coalesce(1) if rows <= FEW_ROWS else df), rows
+
+def few(df: DataFrame, pairs: Column | None = None) -> tuple[DataFrame, int]:
+    """A written table, in one partition if it has few rows and these make few `pairs`, and its number of rows."""
+    rows, made = df.agg(F.count(F.lit(1)), F.lit(0) if pairs is None else F.coalesce(F.sum(pairs), F.lit(0))).first()
+    return (df.coalesce(1) if max(rows, made) <= FEW_ROWS else df), rows
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -242,7 +262,8 @@ def linkable(members: DataFrame, rows: int, sets: DataFrame, percent: int) -> Da
     A link shares at least percent / (100 + percent) of the two sizes together, and cannot share more than `common`. The bound
     is exact. The centres of the buckets count as holders.
     """
-    nodes = members.select(F.explode(F.array("node", "centre")).alias("node")).distinct()
+    centres = members.groupBy("bucket").agg(F.first("centre").alias("node")).select("node")
+    nodes = members.select("node").distinct().unionByName(centres).distinct()
     near = F.broadcast if rows <= FEW_ROWS else (lambda df: df)
     held = sets.join(near(nodes), "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
     holders = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("node").alias("node"))
@@ -254,7 +275,7 @@ def linkable(members: DataFrame, rows: int, sets: DataFrame, percent: int) -> Da
     return sized.join(least, "bucket").filter(fits).drop("least")
 
 
-def further_pairs(members: DataFrame, centres: int, percent: int) -> DataFrame:
+def further_pairs(members: DataFrame, rows: int, centres: int, percent: int) -> DataFrame:
     """Pairs of the first `centres` members of a bucket with later members of other components that may be linked.
 
     Two members share at most what the one with less of it shares with the bucket's centre, plus what the one with less of it
@@ -263,6 +284,9 @@ def further_pairs(members: DataFrame, centres: int, percent: int) -> DataFrame:
     lead = members.filter(F.col("place") < centres).select(
         "bucket", *[F.col(name).alias(f"{name}_a") for name in ["node", "n", "common", "of_centre", "place", "label"]]
     )
+    if rows <= FEW_ROWS:
+        # The centres go to the members, so that the pairs of a hot bucket are made wherever its members are.
+        lead = F.broadcast(lead)
     n, n_a = F.col("n"), F.col("n_a")
     outside = F.least(F.col("common") - F.col("of_centre"), F.col("common_a") - F.col("of_centre_a"))
     measured = F.col("of_centre").isNotNull() & F.col("of_centre_a").isNotNull()
@@ -286,19 +310,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
 
     At a similarity of exactly 0.8, 32 bands of 5 rows miss a pair with a probability of 3 in a million.
     """
+    found = near_duplicate_rows(docs, words, percent, bands, rows)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def near_duplicate_rows(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 32, rows: int = 5) -> DataFrame:
+    """The same with `text_key`, a hash of the text that the verdict is on: a doc_id may stand for several texts."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = materialise(signatures(docs, words, bands, rows), "signatures", keep=True)
     with scratch(spark):
         full = signed.filter("n_shingles > 0 and doc_id is not null")
-        classes = materialise(full.groupBy("set_key").agg(F.min("doc_id").alias("node")), "set-classes", keep=True)
-        alone = full.join(classes.select("set_key", F.col("node").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
-        members = alone.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+        classes = full.groupBy("set_key").agg(F.min("doc_id").alias("doc_id")).withColumn("node", F.monotonically_increasing_id())
+        classes = materialise(classes, "set-classes", keep=True)
+        alone = full.join(classes, ["set_key", "doc_id"])
+        members = alone.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
         buckets = members.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last"))
         shared = members.join(buckets.filter("centre <> last").select("bucket", "centre"), "bucket")
-        shared = materialise(shared.distinct(), "shared-buckets")
-        nodes = shared.select(F.col("node").alias("doc_id")).distinct()
-        sets = materialise(shingle_sets(docs.join(nodes, "doc_id", "left_semi"), words), "shingle-sets")
+        shared = materialise(distinct_buckets(materialise(shared.distinct(), "all-buckets")), "shared-buckets")
+        nodes = classes.join(shared.select("node").distinct(), "node", "left_semi")
+        sets = materialise(shingle_sets(docs.join(nodes, "doc_id"), words), "shingle-sets")
         sizes = shared.select(F.col("node").alias("a"), F.col("n").alias("n_a")).distinct()
         tried = shared.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b"), "n").distinct()
         tried = tried.join(sizes, "a").filter(close(F.col("n"), F.col("n_a"), percent)).select("a", "b")
@@ -317,20 +348,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
             if not rows:
                 break
             centres *= ROUND_GROWTH
-            ranked, _ = few(materialise(rank_in_cells(left, ["bucket"], ["node"], "place", rows), "open-ranked"))
-            pairs = further_pairs(ranked, centres, percent).join(tried, ["a", "b"], "left_anti")
+            ranked = materialise(rank_in_cells(left, ["bucket"], ["node"], "place", rows), "open-ranked")
+            ranked, _ = few(ranked, F.least(F.col("place"), F.lit(centres)))
+            pairs = further_pairs(ranked, rows, centres, percent).join(tried, ["a", "b"], "left_anti")
             pairs, rows = few(materialise(pairs, "further-pairs"))
             found = materialise(measure(pairs, rows, sets, percent), "measured")
             tried = tried.unionByName(pairs)
             links = links.unionByName(found.filter("linked").select("a", "b"))
             # Members that left can have no further link, a centre has met all others, and a bucket of one component stays one.
             labels, members = components(links), ranked.filter(F.col("place") >= centres).drop("label", "common", "place")
-    placed = signed.select("doc_id", "n_shingles", "set_key").join(
-        classes, (signed["set_key"] == classes["set_key"]) & (signed["n_shingles"] > 0) & signed["doc_id"].isNotNull(), "left"
-    ).select("doc_id", "n_shingles", "node")
-    placed = placed.join(labels, "node", "left")
-    component = F.coalesce("label", "node", "doc_id")
+    named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    named = named.join(smallest, "label").select("set_key", "component_id")
+    linked = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("set_key"))
+    placed = signed.select("doc_id", "text_key", "n_shingles", linked.alias("set_key")).join(named, "set_key", "left")
+    component = F.coalesce("component_id", "doc_id")
     return placed.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
+        "doc_id", "text_key", "n_shingles", component.alias("component_id"),
         (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"),
     )

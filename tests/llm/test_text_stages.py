@@ -3,11 +3,11 @@
 import duckdb
 import pytest
 from compare import compare, connect
-from odd import against_sql, documents, folder, rows
+from odd import against_sql, documents, folder, rows, words
 from pyspark.sql import functions as F
 
 from pagetide.llm.linedup import LineRuns, dedup_lines, line_keys
-from pagetide.llm.minhash import Shingler, Sketcher, near_duplicates
+from pagetide.llm.minhash import Shingler, Sketcher, near_duplicate_rows, near_duplicates, text_key
 from pagetide.llm.oracles import ORACLES
 from pagetide.llm.quality import quality_rules
 from pagetide.llm.queries import QUERIES
@@ -88,6 +88,18 @@ def test_null_ids_and_repeated_rows_of_near_duplicates(spark):
     assert all(row["kept"] for row in found if row["doc_id"] in (1, 2, 3))
 
 
+def test_texts_that_share_a_doc_id(spark):
+    one, other, third = (words(seed, 60) for seed in (21, 22, 23))
+    near = one.replace(one.split(" ")[30], "changed", 1)
+    found = [(5, one), (7, near), (7, other), (5, third), (9, other), (9, third)]
+    docs = spark.createDataFrame(found, "doc_id bigint, text string")
+    rows_ = near_duplicates(docs, words=2)
+    got = sorted((row["doc_id"], row["component_id"], row["kept"]) for row in rows_.collect())
+    assert got == [(5, 5, True), (5, 5, True), (7, 5, False), (7, 7, True), (9, 5, False), (9, 7, False)]
+    rows_ = near_duplicate_rows(docs, words=2).filter("kept").join(docs.withColumn("text_key", text_key(F.col("text"))), ["doc_id", "text_key"])
+    assert sorted(row["text"] for row in rows_.collect()) == sorted([one, other, third])
+
+
 def test_links_that_a_star_misses(spark):
     """A chain: each text is close to the next only, and the first is the centre of shared buckets."""
     words, found = [f"w{k}" for k in range(300)], []
