@@ -1,4 +1,9 @@
-"""The corpus pipeline: raw documents to packed training sequences."""
+"""The corpus pipeline: raw documents to packed training sequences.
+
+Defined results: a null or empty text fails the quality rules and goes; a null doc_id is a document like any other that is linked with
+nothing; repeated rows, and rows that share a doc_id, are judged each by their own text; texts are taken whole; an empty table gives
+an empty table; only the columns of `documents` are read, whatever others there are.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pagetide.llm.common import DOCUMENT_COLUMNS, table
 from pagetide.llm.linedup import dedup_lines
-from pagetide.llm.minhash import near_duplicates
+from pagetide.llm.minhash import near_duplicate_rows, text_key
 from pagetide.llm.mixing import mix_sources
 from pagetide.llm.packing import pack, token_pieces
 from pagetide.llm.quality import quality_rules
@@ -29,9 +34,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one with the smallest doc_id."""
-    gone = near_duplicates(docs).filter("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
+    """One document of each group of near-duplicates stays: the one with the smallest doc_id.
+
+    Texts go, not ids: of rows with one doc_id, those go whose own text is a near-duplicate.
+    """
+    gone = near_duplicate_rows(docs).filter("not kept").select("doc_id", "text_key").distinct()
+    keyed = docs.withColumn("text_key", text_key(F.col("text").cast("string")))
+    return keyed.join(gone, ["doc_id", "text_key"], "left_anti").select(*DOCUMENT_COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
