@@ -2,13 +2,14 @@
 
 A page is parsed once, in a task, into the blocks of its article: what stands inside menus, headers, footers, sidebars,
 notices, adverts, forms or reader comments, by element, role or name, is left out at once. The blocks that are left carry the
-keys of the branches they stand in. All pages of a host then make one style tree, as aggregations by host and branch: a branch
+keys of the branches they stand in, hashes of the path from the root. All pages of a host then make one style tree, as aggregations by host and branch: a branch
 is important if its pages arrange it in many ways (presentation) and if its texts differ from page to page (content), both as
 entropies between 0 and 1. Copies of a page count once, so that they do not pass for shared text. Blocks in branches of low
 importance are removed from every page of the host, however short its article, but for the title; a page that would lose all
 its text stays whole. A host may hold any share of the pages: sums by branch combine before their shuffle.
 
-Defined results: null and empty html give an empty text; pages without a host, and hosts with fewer than `least_pages` different
+Defined results: null and empty html give an empty text; a form is left out unless it holds the article or most of the text, its
+controls always; elements nested more than `DEEPEST` deep belong to the branch of the last one above that; pages without a host, and hosts with fewer than `least_pages` different
 pages, have no style tree; repeated rows are pages of their own; an empty table gives an empty table; only page_id, url and html are read.
 """
 
@@ -16,8 +17,9 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
@@ -36,9 +38,10 @@ INLINE = {
     "wbr", "img", "br", "nobr", "picture", "audio", "video",
 }
 DROPPED = {
-    "head", "title", "nav", "footer", "aside", "form", "button", "select", "option", "textarea", "input", "label", "fieldset",
-    "dialog", "menu", "datalist", "output", "progress", "meter", "frameset",
+    "head", "title", "nav", "footer", "aside", "button", "select", "option", "textarea", "input", "label", "dialog", "menu",
+    "datalist", "output", "progress", "meter", "frameset",
 }
+FORMS = {"form", "fieldset"}
 DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "menu", "menubar", "form"}
 DROPPED_NAMES = {
     "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "promo", "promotion",
@@ -65,7 +68,7 @@ TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|\Z)", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 PARSED = (
@@ -74,7 +77,14 @@ PARSED = (
 )
 
 
-@dataclass
+# What another element's start or end may close before its time.
+CLOSABLE = {"p"}.union(*CLOSED_BY.values())
+
+# How deep the branches of the style tree go.
+DEEPEST = 128
+
+
+@dataclass(slots=True)
 class Node:
     tag: str
     parent: int
@@ -83,10 +93,34 @@ class Node:
     named: bool  # by class or id a part that is not the article
     main: bool
     header: bool
-    children: list[str] = field(default_factory=list)
+    closable: int  # the nearest element that may be closed early, itself included, in its scope
+    children: list[str] | None = None
     holds_main: bool = False
 
 
+def judged(attrs: str) -> tuple[str, bool, set[str], bool]:
+    """Class and id of an element, whether it is left out for an attribute, the parts that its names say it is, and whether it has
+    no other names."""
+    names, dropped = "", False
+    for name, *values in ATTRIBUTE.findall(attrs):
+        name, value = name.lower(), "".join(values)
+        if name == "role":
+            dropped |= value.strip().lower() in DROPPED_ROLES
+        elif name == "hidden" or name == "aria-hidden":
+            dropped |= name == "hidden" or value.lower() == "true"
+        elif name == "class" or name == "id":
+            names += " " + value
+    words: set[str] = set()
+    only = True
+    for name in names.split():
+        own = {word.lower() for word in NAME.findall(name)}
+        if own <= DROPPED_NAMES | BESIDE_NAMES:
+            words |= own & DROPPED_NAMES
+        else:
+            only = False
+    return names, dropped, words, only
+
+
 @dataclass(frozen=True)
 class TreeSettings:
     least_pages: int = 5
@@ -98,8 +132,11 @@ class Page:
     """The element tree of one page, of block elements only, and the text that stands directly in each of them."""
 
     def __init__(self, source: str) -> None:
-        self.nodes = [Node("", -1, "", False, False, False, False)]
+        self.nodes = [Node("", -1, "", False, False, False, False, 0)]
         self.at = 0
+        self.opened: Counter[str] = Counter()
+        # An inline element that is left out: its tag, how many of that tag are open in it, and the element it stands in.
+        self.muted: tuple[str, int, int] | None = None
         self.blocks: list[tuple[int, str]] = []
         self.text: list[str] = []
         end = 0
@@ -108,7 +145,7 @@ class Page:
             if token.start() < skip:
                 continue
             start = max(end, skip)
-            if token.start() > start:
+            if token.start() > start and not self.muted:
                 self.text.append(source[start : token.start()])
             end = token.end()
             tag = (token["tag"] or token["tag2"] or "").lower()
@@ -123,7 +160,7 @@ class Page:
                 end = skip
             else:
                 self._open(tag, token["attrs"] or token["attrs2"] or "")
-        if max(end, skip) < len(source):
+        if max(end, skip) < len(source) and not self.muted:
             self.text.append(source[max(end, skip) :])
         self._flush()
 
@@ -136,51 +173,75 @@ class Page:
 
     def _open(self, tag: str, attrs: str) -> None:
         if tag in INLINE:
-            if tag == "br":
-                self.text.append("\n")
+            self._open_inline(tag, attrs)
             return
         self._flush()
         if tag in VOID:
             return
         closed = CLOSED_BY.get(tag, set()) | ({"p"} if tag not in ("li",) else set())
-        node = self.at
-        while node and self.nodes[node].tag not in SCOPES:
+        node = self.nodes[self.at].closable
+        while node:
             if self.nodes[node].tag in closed:
-                self.at = self.nodes[node].parent
-            node = self.nodes[node].parent
-        names, dropped = "", tag in DROPPED
-        if attrs:
-            for name, *values in ATTRIBUTE.findall(attrs):
-                name, value = name.lower(), "".join(values)
-                if name == "role":
-                    dropped |= value.strip().lower() in DROPPED_ROLES
-                elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-                    dropped |= name == "hidden" or value.lower() == "true"
-                else:
-                    names += " " + value
-        words = set()
-        for name in names.split():
-            own = {word.lower() for word in NAME.findall(name)}
-            if own <= DROPPED_NAMES | BESIDE_NAMES:
-                words |= own & DROPPED_NAMES
-        named = bool(words) and tag not in ("html", "body", "main") and not (tag == "article" and not words & {"comment", "reply", "ad", "ads", "sponsored", "related", "promo"})
+                self._leave(self.nodes[node].parent)
+            node = self.nodes[self.nodes[node].parent].closable
+        names, dropped, words, _ = judged(attrs) if attrs else ("", False, set(), True)
+        dropped |= tag in DROPPED
+        named = tag in FORMS or bool(words) and tag not in ("html", "body", "main") and not (
+            tag == "article" and not words & {"comment", "reply", "ad", "ads", "sponsored", "related", "promo"}
+        )
         parent = self.at
         key = f"{tag}.{' '.join(sorted(set(re.sub(r'[0-9]+', '', names).split())))}"
+        if self.nodes[parent].children is None:
+            self.nodes[parent].children = []
         self.nodes[parent].children.append(key)
-        self.nodes.append(Node(tag, parent, key, dropped, named, tag in MAIN and not dropped and not named, tag == "header"))
-        self.at = len(self.nodes) - 1
+        own = len(self.nodes)
+        closable = 0 if tag in SCOPES else own if tag in CLOSABLE else self.nodes[parent].closable
+        main = tag in MAIN and not dropped and not named
+        self.nodes.append(Node(tag, parent, key, dropped, named, main, tag == "header", closable))
+        self.opened[tag] += 1
+        self.at = own
+
+    def _open_inline(self, tag: str, attrs: str) -> None:
+        if tag == "br":
+            self.text.append("\n")
+        elif tag in VOID or attrs.rstrip().endswith("/"):
+            return
+        elif self.muted:
+            name, depth, node = self.muted
+            self.muted = (name, depth + (tag == name), node)
+        elif attrs:
+            # Words in a text may be marked by kind (a comment in code): an inline part has no other name.
+            _, dropped, words, only = judged(attrs)
+            if dropped or (words and only):
+                self.muted = (tag, 1, self.at)
+
+    def _leave(self, node: int) -> None:
+        """The elements up to `node` are closed."""
+        while self.at != node:
+            self.opened[self.nodes[self.at].tag] -= 1
+            self.at = self.nodes[self.at].parent
+        if self.muted and self.at < self.muted[2]:
+            self.muted = None
 
     def _close(self, tag: str) -> None:
         if tag in INLINE:
+            if self.muted and self.muted[0] == tag:
+                name, depth, node = self.muted
+                self.muted = (name, depth - 1, node) if depth > 1 else None
             return
         self._flush()
+        if not self.opened[tag]:
+            return
         node = self.at
-        while node and self.nodes[node].tag != tag:
-            if tag == "p" and self.nodes[node].tag in SCOPES:
-                return
-            node = self.nodes[node].parent
+        if tag == "p":
+            node = self.nodes[node].closable
+            while node and self.nodes[node].tag != "p":
+                node = self.nodes[self.nodes[node].parent].closable
+        else:
+            while node and self.nodes[node].tag != tag:
+                node = self.nodes[node].parent
         if node:
-            self.at = self.nodes[node].parent
+            self._leave(self.nodes[node].parent)
 
     def main_text(self) -> tuple[list[tuple[list[int], bool, str]], list[tuple[int, int]]]:
         """(branches, is a title, text) of the blocks of the article, and (branch, arrangement of its children)."""
@@ -196,8 +257,8 @@ class Page:
             chars[at] += len(text)
         for k in range(len(nodes) - 1, 0, -1):
             chars[nodes[k].parent] += 0 if nodes[k].dropped else chars[k]
-        gone, inside, branches = [False], [False], [[]]
-        paths = [""]
+        # A node's branch is itself, or the one above if it is an outer element or too deep.
+        gone, inside, branch, depth, hashed = [False], [False], [0], [0], [0]
         for k, node in enumerate(nodes[1:], 1):
             up = node.parent
             # A page's wrapper may be named after a part it holds; what holds the article, or most of the text, is not that part.
@@ -208,24 +269,33 @@ class Page:
             )
             gone.append(gone[up] or own)
             inside.append(inside[up] or (node.main and not gone[-1]))
-            paths.append(f"{paths[up]}>{node.key}")
-            outer = node.tag in ("html", "body", "article", "main")
-            branches.append(branches[up] if outer else [*branches[up], len(paths) - 1])
+            path = hashed[up].to_bytes(8, "big", signed=True) + node.key.encode("utf-8", "surrogatepass")
+            hashed.append(int.from_bytes(xxhash.xxh3_64_digest(path), "big", signed=True))
+            outer = node.tag in ("html", "body", "article", "main") or depth[branch[up]] >= DEEPEST
+            branch.append(branch[up] if outer else k)
+            depth.append(0 if outer else depth[branch[up]] + 1)
         sizes = [0, 0]
         for at, text in self.blocks:
             sizes[inside[at]] += 0 if gone[at] else len(text)
         # Articles beside far more text that is no named part are teasers; <main> is what it says.
         only_main = any(inside) and (sizes[0] <= 2 * sizes[1] or any(node.main and node.tag == "main" for node in nodes))
-        hashed = [int.from_bytes(xxhash.xxh3_64_digest(path.encode()), "big", signed=True) for path in paths]
+
+        def path_of(at: int) -> list[int]:
+            found, b = [], branch[at]
+            while b:
+                found.append(hashed[b])
+                b = branch[nodes[b].parent]
+            return found[::-1]
+
         kept = [
-            ([hashed[b] for b in branches[at]], nodes[at].tag == "h1", text)
+            (path_of(at), nodes[at].tag == "h1", text)
             for at, text in self.blocks
             if not gone[at] and (inside[at] or not only_main)
         ]
         styles = [
-            (hashed[k], int.from_bytes(xxhash.xxh3_64_digest(" ".join(node.children).encode()), "big", signed=True))
+            (hashed[k], int.from_bytes(xxhash.xxh3_64_digest(" ".join(node.children).encode("utf-8", "surrogatepass")), "big", signed=True))
             for k, node in enumerate(nodes)
-            if k and node.children and not gone[k] and branches[k] and branches[k][-1] == k
+            if k and node.children and not gone[k] and branch[k] == k
         ]
         return kept, styles
 
@@ -265,17 +335,22 @@ def low_branches(parsed: DataFrame, settings: TreeSettings) -> DataFrame:
     pages = sited.select("host", "body", F.explode(F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["branches"])))).alias("branch"))
     pages = pages.distinct().groupBy("host", "branch").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= settings.least_pages)
 
-    def entropies(values: DataFrame) -> DataFrame:
+    def sums(values: DataFrame) -> DataFrame:
+        """Per branch, before any join: how many values, on how many pages in all, and their sums of logarithms."""
         counts = values.distinct().groupBy("host", "branch", "value").agg(F.count(F.lit(1)).alias("n"))
-        return counts.join(pages, ["host", "branch"])
+        return counts.groupBy("host", "branch").agg(
+            F.count(F.lit(1)).alias("values"), F.sum("n").alias("total"), F.sum(F.log("n")).alias("logs"),
+            F.sum(F.col("n") * F.log("n")).alias("weighted"),
+        )
 
-    content = entropies(sited.select("host", "body", F.explode(texts).alias("x")).select("host", "body", "x.branch", "x.value"))
+    size = F.log("pages")
+    content = sums(sited.select("host", "body", F.explode(texts).alias("x")).select("host", "body", "x.branch", "x.value"))
     # A text on n of the branch's pages has the entropy log n in the base of its pages.
-    content = content.groupBy("host", "branch").agg((1 - F.avg(F.log("n") / F.log("pages"))).alias("content"))
-    shapes = sited.select("host", "body", F.explode("styles").alias("x"))
-    shapes = entropies(shapes.select("host", "body", "x.branch", F.col("x.style").alias("value")))
-    share = F.col("n") / F.col("pages")
-    shapes = shapes.groupBy("host", "branch").agg(F.sum(-share * F.log(share) / F.log("pages")).alias("presentation"))
+    content = content.join(pages, ["host", "branch"]).select("host", "branch", "pages", (1 - F.col("logs") / F.col("values") / size).alias("content"))
+    shapes = sums(sited.select("host", "body", F.explode("styles").alias("x")).select("host", "body", "x.branch", F.col("x.style").alias("value")))
+    # The sum of -n/pages * log(n/pages).
+    entropy = (F.col("total") * size - F.col("weighted")) / (F.col("pages") * size)
+    shapes = shapes.join(pages, ["host", "branch"]).select("host", "branch", entropy.alias("presentation"))
     weight = settings.presentation
     importance = weight * F.coalesce("presentation", F.lit(0.0)) + (1 - weight) * F.col("content")
     return content.join(shapes, ["host", "branch"], "left").filter(importance < settings.least_importance).select("host", "branch")

@@ -1,9 +1,13 @@
 """HTML extraction, nearest neighbours, language and toxicity against brute force and held-out rows."""
 
 import html
+import math
 import random
 import re
+import time
+import tracemalloc
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -11,7 +15,7 @@ from odd import clashing, documents, folder
 from pyspark.sql import functions as F
 
 from pagetide.llm.ann import ForestSettings, common_prefix, nearest_neighbours
-from pagetide.llm.htmltext import Page, TreeSettings, extract_text
+from pagetide.llm.htmltext import DEEPEST, Page, TreeSettings, extract_text, low_branches, parse_pages
 from pagetide.llm.langid import identify_languages, train_language_model
 from pagetide.llm.ngrams import Grams
 from pagetide.llm.queries import QUERIES
@@ -78,6 +82,66 @@ def test_broken_markup(source, wanted):
     assert blocks(source) == wanted
 
 
+@pytest.mark.parametrize(
+    ("source", "wanted"),
+    [
+        ('<div title="A hidden gem">Text.</div>', ["Text."]), ('<article aria-label="The hidden costs of war">Text.', ["Text."]),
+        ('<div data-id="sidebar"><p>Text.</div><div data-role="banner" data-class=ad>More.</div>', ["Text.", "More."]),
+        ("<form action=/ id=f><h1>T</h1><article><p>Text.<button>Go</button><input></article><select><option>1</select></form>", ["Text."]),
+        ("<body><form><fieldset><div>A whole page in one form.</div></fieldset></form>", ["A whole page in one form."]),
+        ("<p>One <span hidden>two</span><span class=advert>buy <span>now</span></span>three<a role=navigation>menu</a>.", ["One three."]),
+        ("<div><p>One <span hidden>two</div><div>three</div>", ["One", "three"]), ("<p>a<span class=ad/>b<i hidden>c<p>d", ["ab", "d"]),
+        ('<p>a <em class="my-comment">b</em> <img class=ad> <code class="token comment">c</code>', ["a b c"]),
+    ],
+)
+def test_attributes_by_name_forms_and_inline_parts(source, wanted):
+    assert blocks(source) == wanted
+
+
+@pytest.mark.parametrize("tag", ["div", "blockquote", "p><div", "td", "section"])
+def test_deep_pages_take_little_memory_and_time(tag):
+    source = f"<{tag}>" * 50_000 + "deep" + "".join(f"<{tag}>x</{tag.split('><')[0]}></q></em></li>" for _ in range(2_000))
+    tracemalloc.start()
+    began = time.process_time()
+    found = Page(source).main_text()[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [text for _, _, text in found] == ["deep"] + ["x"] * 2_000
+    assert max(len(path) for path, _, _ in found) <= DEEPEST + 1
+    assert peak < 100e6 and time.process_time() - began < 30
+
+
+def test_importance_is_that_of_a_plain_count(spark):
+    rng = random.Random(5)
+    found = []
+    for k in range(30):
+        shape = "<i>" + "".join(f"<{rng.choice(['p', 'ul'])}>{rng.choice(['a', 'b', 'c', str(k)])}" for _ in range(rng.randint(1, 3)))
+        found.append((k, "http://one.example/", f"<h1>{k}</h1><div class=x>{shape}</div><div class=y><p>same</p><p>{rng.choice('ab')}</p></div>"))
+    found += found[:4]
+    texts, styles, shown = defaultdict(lambda: defaultdict(set)), defaultdict(lambda: defaultdict(set)), defaultdict(set)
+    for _, _, source in found:
+        kept, arranged = Page(source).main_text()
+        body = tuple(map(str, kept))
+        for path, _, text in kept:
+            for branch in path:
+                shown[branch].add(body)
+                texts[branch][text].add(body)
+        for branch, style in arranged:
+            styles[branch][style].add(body)
+    importance = {}
+    for branch, pages in shown.items():
+        n = len(pages)
+        if n >= 5:
+            content = sum(1 - math.log(len(on)) / math.log(n) for on in texts[branch].values()) / len(texts[branch])
+            shape = sum(-len(on) / n * math.log(len(on) / n) / math.log(n) for on in styles[branch].values())
+            importance[branch] = 0.1 * shape + 0.9 * content
+    parsed = parse_pages(spark.createDataFrame(found, PAGES)).withColumn("host", F.lit("one.example"))
+    for least in (0.2, 0.5, 0.8):
+        low = {row["branch"] for row in low_branches(parsed, TreeSettings(least_importance=least)).collect()}
+        assert low == {branch for branch, value in importance.items() if value < least}
+    assert len(importance) > 4
+
+
 def test_style_tree_removes_what_all_pages_of_a_host_share(spark):
     def page(k):
         own = f"<div class=body><p>Paragraph {k} of its own.</p><p>More text {k * 7} that only this page has.</p></div>"
