@@ -28,7 +28,7 @@ each_line AS (
 counted AS (
   SELECT rid, line, length(line) AS chars,
          len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n_words,
-         len(regexp_extract_all(line, '[.!?:;…。！？]')) AS marks,
+         len(regexp_extract_all(line, '[.!?:;…。！？｡．।॥؟؛۔።፧፨။၊។៕།༎᠃։\x{0E01}-\x{0E2E}\x{0E81}-\x{0EAE}]')) AS marks,
          len(regexp_extract_all(line, '[!?]')) AS shouts,
          len(regexp_extract_all(line, '[|»›→•·]')) AS menus,
          len(regexp_extract_all(line, '[#*$%&<>{}=~^\\]')) AS symbols,

@@ -19,7 +19,9 @@ from pagetide.llm.common import WORD, bind
 # Characters and phrases that the line rules look for.
 SYMBOLS = r"[#*$%&|<>]"
 LINE_SYMBOLS = r"[#*$%&<>{}=~^\\]"
-SENTENCE_MARKS = r"[.!?:;…。！？]"
+# Marks that end or divide sentences, also of Indic, Arabic, Ethiopic, Burmese, Khmer, Tibetan, Mongolian and Armenian script; the
+# letters of Thai and Lao stand for one, as these scripts have none.
+SENTENCE_MARKS = r"[.!?:;…。！？｡．।॥؟؛۔።፧፨။၊។៕།༎᠃։\x{0E01}-\x{0E2E}\x{0E81}-\x{0EAE}]"
 SHOUTS = r"[!?]"
 MENU_MARKS = r"[|»›→•·]"
 BOILERPLATE = (

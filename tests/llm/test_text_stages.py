@@ -49,6 +49,19 @@ def test_rejected_and_cleaned_text(spark):
     assert not two["kept"] and not two["base_failed"]
 
 
+def test_clean_texts_of_other_scripts_stay(spark, tmp_path):
+    texts = [
+        "यह एक साफ और छोटा वाक्य है जो दो पंक्तियों में है।\nयहाँ दूसरी पंक्ति भी पूरी तरह साफ लिखी गई है।",
+        "هل هذا نص عربي نظيف من عدة كلمات طويلة جدا هنا؟\nنعم، هذا نص نظيف؛ وفيه أكثر من عشر كلمات",
+        "یہ اردو کا ایک صاف ستھرا جملہ ہے جو یہاں لکھا گیا ہے۔", "ይህ ንጹህ የአማርኛ ጽሑፍ ነው እና ከአስር በላይ ቃላት አሉት እዚህ ላይ።",
+        "นี่ คือ ข้อความ ภาษา ไทย ที่ สะอาด และ มี คำ มาก กว่า สิบ คำ", "ဒါ ဟာ သန့်ရှင်းတဲ့ စာသား တစ်ခု ဖြစ်ပြီး စကားလုံး ဆယ်လုံး ထက် ပို ပါ တယ် ။",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert all(row["kept"] and row["cleaned_text"] == texts[row["doc_id"]] for row in quality_rules(docs).collect())
+    root = folder(tmp_path / "t", documents=documents(spark, [(k, text, "xx", "a", 1) for k, text in enumerate(texts)]))
+    assert against_sql(spark, root, QUERIES["op8_quality_rules"], ORACLES["op8_quality_rules"]) is None
+
+
 def test_filter_on_the_verdict_stays_above(spark):
     plan = quality_rules(documents(spark)).filter("kept").select("doc_id")._jdf.queryExecution().optimizedPlan().toString()
     assert "LocalRelation" in plan or plan.index("Filter") < plan.index("Project", plan.index("Filter"))
