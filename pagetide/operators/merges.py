@@ -215,10 +215,13 @@ def merge_changes(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
     return overwrite_by_key(existing, incoming, KEYS["review_changes"])
 
 
-def import_snapshot(existing: DataFrame, snapshot: DataFrame, columns: list[str]) -> DataFrame:
-    """Overwrite only `columns`, matched by the first of them; other columns of stored rows survive."""
+def import_snapshot(existing: DataFrame, snapshot: DataFrame, columns: list[str], order: list[str] | None = None) -> DataFrame:
+    """Overwrite only `columns`, matched by the first of them; other columns of stored rows survive.
+
+    Of snapshot rows with one key the last by `order` counts, by all columns where there is none.
+    """
     key = columns[0]
-    listed = snapshot.select(*columns).withColumn("_listed", F.lit(True))
+    listed = last_per_key(snapshot, [key], order or columns, columns).withColumn("_listed", F.lit(True))
     old, new = existing.alias("old"), listed.alias("new")
     matched = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
     return matched.select(*(

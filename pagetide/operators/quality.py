@@ -56,6 +56,8 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
 
     for table, df in tables.items():
         add(f"unique {table}({', '.join(KEYS[table])})", duplicate_keys(df, KEYS[table]).agg(F.count("*").alias("n")))
+        if not NOT_NULL[table]:
+            continue
         nulls = not_null_violations(df, NOT_NULL[table])
         report = report.unionByName(nulls.select(
             F.concat(F.lit(f"not null {table}."), "column_name").alias("constraint"),

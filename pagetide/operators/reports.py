@@ -242,8 +242,10 @@ def validation_report(
     return figures.join(names, ["section", "name"], "left").select("section", "name", "label", "value")
 
 
-def load_summary(reports: DataFrame, outcomes: DataFrame, reviews_seen: DataFrame) -> DataFrame:
-    """Per run: apps, pages, reviews seen, and merge outcomes.
+def load_summary(
+    reports: DataFrame, outcomes: DataFrame, reviews_seen: DataFrame, run_ids: DataFrame | None = None
+) -> DataFrame:
+    """Per run: apps, pages, reviews seen, and merge outcomes. `run_ids` names runs that may have no pages.
 
     `outcomes` has (run_id, outcome, rows), `reviews_seen` has (run_id, reviews_seen), keyless reviews included.
     """
@@ -256,8 +258,8 @@ def load_summary(reports: DataFrame, outcomes: DataFrame, reviews_seen: DataFram
             ("inserted", "reviews_inserted"), ("updated", "reviews_updated"), ("unchanged", "duplicates_skipped")
         )
     ))
+    if run_ids is not None:
+        pages = pages.join(run_ids.select("run_id").distinct(), "run_id", "full_outer")
     joined = pages.join(reviews_seen, "run_id", "left").join(merged, "run_id", "left")
-    counts = ["reviews_seen", "reviews_inserted", "reviews_updated", "duplicates_skipped"]
-    return joined.select(
-        "run_id", "apps_upserted", "pages_upserted", *(F.coalesce(c, F.lit(0)).alias(c) for c in counts)
-    )
+    counts = ["apps_upserted", "pages_upserted", "reviews_seen", "reviews_inserted", "reviews_updated", "duplicates_skipped"]
+    return joined.select("run_id", *(F.coalesce(c, F.lit(0)).alias(c) for c in counts))

@@ -22,7 +22,7 @@ from pagetide.operators.sync import (
     sync_states,
 )
 from pagetide.plans.load import load_runs, utc_now
-from pagetide.plans.store import FULL, Store
+from pagetide.plans.store import CHANGES, StaleRead, Store
 from pagetide.session import materialise
 from pagetide.sinks.files import export_table, write_sections
 from pagetide.sources.landing import REPORT_ORDER, read_page_reports
@@ -45,15 +45,22 @@ def export(store: Store, path: str, output_format: str = "csv", run_id: str | No
 def advance(
     store: Store, reports: DataFrame, review_filter: str, started_at: str, completed_at: str
 ) -> SyncUpdate:
-    """Advance and publish the state for the reported runs; returns the stored update."""
-    update = advance_sync_state(
-        store.read("sync_state"), app_progress(reports, REPORT_ORDER), review_filter, started_at, completed_at, utc_now()
-    )
-    if update.skipped_reason:
-        return update
-    update = SyncUpdate(materialise(update.states, "states"), update.table)
-    store.publish({"sync_state": (FULL, update.table)})
-    return update
+    """Advance and publish the state for the reported runs; returns the stored update.
+
+    Only the apps concerned are written. If another load is published meanwhile, the state is advanced again from there.
+    """
+    progress = materialise(app_progress(reports, REPORT_ORDER), "progress")
+    while True:
+        last = store.last_load()
+        update = advance_sync_state(store.read("sync_state"), progress, review_filter, started_at, completed_at, utc_now())
+        if update.skipped_reason:
+            return update
+        update = SyncUpdate(materialise(update.states, "states"), update.table)
+        try:
+            store.publish({"sync_state": (CHANGES, update.states)}, computed_from=last)
+            return update
+        except StaleRead:
+            continue
 
 
 def run_daily(

@@ -25,6 +25,7 @@ from pagetide.sources.landing import (
     REPORT_ORDER,
     attach_documents,
     list_raw_pages,
+    list_runs,
     read_page_reports,
     read_raw_pages,
     reports_without_document,
@@ -57,7 +58,10 @@ def load_runs(
     names = list_raw_pages(spark, run_dirs)
     size = names.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     with sized_shuffle(spark, size):
-        return load_pages(store, reports, files, REPORT_ORDER, where, targets, targets_path, strict, check, hot_rows, names)
+        return load_pages(
+            store, reports, files, REPORT_ORDER, where, targets, targets_path, strict, check, hot_rows, names,
+            run_ids=list_runs(spark, run_dirs),
+        )
 
 
 def load_pages(
@@ -76,6 +80,7 @@ def load_pages(
     computed_from: int | None = None,
     also: dict[str, tuple[str, DataFrame]] | None = None,
     fold_runs: Callable[[DataFrame, DataFrame], DataFrame] = merge_runs,
+    run_ids: DataFrame | None = None,
 ) -> DataFrame:
     """Load page reports and their documents (run_id, file_name, document), wherever they were landed.
 
@@ -86,14 +91,15 @@ def load_pages(
     JSON, raises; `check` tests every constraint before anything becomes visible. If another load is published meanwhile, this one
     is merged again, on top of it. A `token` names the load, see `Store.publish`. Reports that were made from the stored tables
     name the last load that they know of (`computed_from`); then StaleRead is left to the caller. `also` are writes to other tables
-    that become visible with this load, and `fold_runs` puts the run rows into the stored ones.
+    that become visible with this load, and `fold_runs` puts the run rows into the stored ones. `run_ids` names the runs, which get
+    their row though they have no pages.
     """
     while True:
         with scratch(store.spark):
             try:
                 return _load(
                     store, reports, files, file_names, order, raw_dir, targets, targets_path, strict, check, hot_rows, token,
-                    computed_from, also or {}, fold_runs,
+                    computed_from, also or {}, fold_runs, run_ids,
                 )
             except StaleRead:
                 if computed_from is not None:
@@ -116,6 +122,7 @@ def _load(
     computed_from: int | None,
     also: dict[str, tuple[str, DataFrame]],
     fold_runs: Callable[[DataFrame, DataFrame], DataFrame],
+    run_ids: DataFrame | None,
 ) -> DataFrame:
     loaded_at = utc_now()
     reports = materialise(reports, "reports")
@@ -131,9 +138,9 @@ def _load(
     merge = merge_reviews(stored["reviews"], reviews, [*order, "pos"], loaded_at, hot_rows).stored_once()
 
     seen = reviews.groupBy("run_id").agg(F.count("*").alias("reviews_seen"))
-    summary = materialise(load_summary(reports, merge.outcomes, seen), "summary", keep=True)
+    summary = materialise(load_summary(reports, merge.outcomes, seen, run_ids), "summary", keep=True)
     counters = fetch_summary(reports, ["run_id"]).select("run_id", "fetch_errors", "rate_limited_pages")
-    runs = summary.join(counters, "run_id").select(
+    runs = summary.join(counters, "run_id", "left").select(
         "run_id",
         F.lit(raw_dir).alias("raw_dir"),
         F.lit(targets_path).cast("string").alias("targets_path"),

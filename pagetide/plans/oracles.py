@@ -615,3 +615,5 @@ SELECT run_id, count(DISTINCT app_id) AS app_count, count(*) AS page_count,
     CAST(coalesce(sum(reviews) FILTER (WHERE NOT failed), 0) AS BIGINT) AS reviews_inserted, 0::BIGINT AS reviews_updated,
     0::BIGINT AS duplicates_skipped, count(*) FILTER (WHERE failed) AS fetch_errors, count(*) FILTER (WHERE limited) AS rate_limited_pages
 FROM kept GROUP BY run_id"""
+
+ORACLES["snapshot_import_repeated"] = ORACLES["snapshot_import"]

@@ -486,6 +486,20 @@ def snapshot_import(s: Standins) -> DataFrame:
     return merges.import_snapshot(pages(rows.withColumn("page_key", other)), snapshot, IMPORT_COLUMNS["pages"])
 
 
+@_query
+def snapshot_import_repeated(s: Standins) -> DataFrame:
+    """The same with every key three times in the snapshot: the last row of a key counts."""
+    rows = s.pages()
+
+    def pages(df: DataFrame) -> DataFrame:
+        return merges.last_per_key(df, ["page_key"], ORDER, PAGES.names)
+
+    other = F.when(F.col("k") % 2 == 0, F.concat(F.lit("old:"), F.col("page_key"))).otherwise(F.col("page_key"))
+    numbered = pages(rows).withColumn("version", F.explode(F.array(F.lit(2), F.lit(3), F.lit(1))))
+    snapshot = numbered.withColumn("status", F.when(F.col("version") == 3, F.lit("imported")).otherwise(F.lit("older")))
+    return merges.import_snapshot(pages(rows.withColumn("page_key", other)), snapshot, IMPORT_COLUMNS["pages"], ["version"])
+
+
 @_query
 def load_summary(s: Standins) -> DataFrame:
     versions = s.versions()

@@ -108,6 +108,8 @@ NOT_NULL = {
     "reviews": ["recommendationid", "run_id", "app_id"],
     "review_changes": ["run_id", "recommendationid", "app_id", "change_type"],
     "sync_state": ["app_id"],
+    "page_chains": [],
+    "waiting_pages": [],
 }
 
 # (child table, child column, parent table, parent column)

@@ -71,6 +71,12 @@ def list_raw_pages(spark: SparkSession, run_dirs: str | list[str], pattern: str
     )
 
 
+def list_runs(spark: SparkSession, run_dirs: str | list[str]) -> DataFrame:
+    """The runs that have a page report file, an empty one too."""
+    files = spark.read.format("binaryFile").load([f"{d.rstrip('/')}/{REPORT_FILE}" for d in _as_list(run_dirs)])
+    return files.select(F.regexp_extract("path", rf"([^/]+)/{REPORT_FILE}(?:/[^/]*)?$", 1).alias("run_id")).distinct()
+
+
 LANDED = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("file_name", T.StringType()),

@@ -239,3 +239,46 @@ def test_snapshot_import_keeps_unlisted_columns(spark, store, tmp_path):
     assert rows["other"]["max_timestamp_updated"] is None
     load_runs(spark, store, run)
     assert store.read("pages").filter("page_number = 1").first()["status"] == "fetched"
+
+
+def test_a_run_without_pages_has_a_row_of_zeros(spark, store, tmp_path):
+    empty = land(tmp_path, "run-0", [])
+    full = land(tmp_path, "run-1", [(report("run-1"), [review()])])
+    for runs in ([empty], [empty, full]):
+        rows = {row["run_id"]: row for row in load_runs(spark, store, runs).collect()}
+        assert set(rows["run-0"].asDict().values()) == {"run-0", 0}
+    assert rows["run-1"]["reviews_inserted"] == 1
+    stored = {row["run_id"]: row for row in store.read("runs").collect()}
+    assert stored["run-0"]["page_count"] == stored["run-0"]["fetch_errors"] == 0 and stored["run-1"]["page_count"] == 1
+
+
+def test_last_row_of_a_key_in_a_snapshot_counts(spark, store, tmp_path):
+    for part, rows in enumerate(([("1", "first"), ("2", "only")], [("1", "second"), ("1", "last")])):
+        df = spark.createDataFrame(rows, "app_id string, app_name string").coalesce(1)
+        df.write.parquet(str(tmp_path / "old" / "apps" / f"part={part}"))
+    assert import_tables(store, str(tmp_path / "old"))["apps"] == 4
+    names = sorted((row["app_id"], row["app_name"]) for row in store.read("apps").collect())
+    assert [app for app, _ in names] == ["1", "2"] and names[0][1] in ("last", "first") and names[1][1] == "only"
+    whole = spark.createDataFrame([("3", "a"), ("3", "b"), ("3", "c")], "app_id string, app_name string").coalesce(1)
+    whole.write.parquet(str(tmp_path / "new" / "apps"))
+    import_tables(store, str(tmp_path / "new"))
+    assert store.read("apps").filter("app_id = '3'").first()["app_name"] == "c"
+
+
+def test_racing_advances_both_count(spark, store, tmp_path, monkeypatch):
+    reports = {}
+    for app in ("1", "2"):
+        land(tmp_path, f"run-{app}", [(report(f"run-{app}", app, max_timestamp_updated=9, terminal_reason="empty_page"), [review(app)])])
+        reports[app] = read_page_reports(spark, str(tmp_path / "raw" / f"run-{app}"))
+    other, before, raced = Store(spark, store.root), store._commit, []
+
+    def late(load, lines):
+        if not raced:
+            raced.append(True)
+            advance(other, reports["2"], "updated", "start", "end")
+        return before(load, lines)
+
+    monkeypatch.setattr(store, "_commit", late)
+    advance(store, reports["1"], "updated", "start", "end")
+    marks = {row["app_id"]: row["complete_through_timestamp_updated"] for row in store.read("sync_state").collect()}
+    assert marks == {"1": 9, "2": 9}
