@@ -16,6 +16,9 @@ from pagetide.session import hot_rows_limit, materialise
 
 CHUNK = "_chunk"
 
+# Hash cells that are counted before keys are. A task sends a row for each at most.
+CELLS = 16_384
+
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -35,16 +38,23 @@ class Split:
 def split_hot_groups(df: DataFrame, keys: list[str], order: list[str], hot_rows: int | None = None) -> Split:
     """Separate the groups too large for one task and cut them into ordered chunks.
 
-    Finding them costs one pass over the key columns. Without hot groups the input comes back as it is.
+    Finding them costs one pass over the key columns that counts hash cells, a bounded number of rows a task. Only the rows of
+    cells with too many rows are counted by key, exactly. Without hot groups the input comes back as it is.
     """
-    limit = hot_rows_limit(df.sparkSession, hot_rows)
-    counts = df.groupBy(F.xxhash64(*keys).alias("_group")).count().filter(F.col("count") > limit)
-    hot = materialise(counts, "hot-groups", keep=True)
+    spark = df.sparkSession
+    limit = hot_rows_limit(spark, hot_rows)
+    marked = df.withColumn("_group", F.xxhash64(*keys)).withColumn("_cell", F.pmod("_group", F.lit(CELLS)))
+    cells = marked.groupBy("_cell").count().filter(F.col("count") > limit).select("_cell").collect()
+    if not cells:
+        return Split(df, None)
+    crowded = F.broadcast(spark.createDataFrame([(row["_cell"],) for row in cells], "_cell long"))
+    counts = marked.join(crowded, "_cell", "left_semi").groupBy("_group").count().filter(F.col("count") > limit)
+    hot = materialise(counts, "hot-groups")
     total = hot.agg(F.sum("count")).first()[0]
     if total is None:
         return Split(df, None)
     # There is a hot group for every `limit` rows at most, so this side of the joins stays far smaller than the input.
-    marked, names = df.withColumn("_group", F.xxhash64(*keys)), hot.select("_group")
+    marked, names = marked.drop("_cell"), hot.select("_group")
     near = F.broadcast(names) if is_small(names) else names
     ranged = marked.join(near, "_group", "left_semi").drop("_group")
     ranged = ranged.repartitionByRange(max(2, -(-total // limit)), *keys, *order)
