@@ -276,13 +276,18 @@ def linkable(members: DataFrame, rows: int, sets: DataFrame, percent: int) -> Da
 
 
 def further_pairs(members: DataFrame, rows: int, centres: int, percent: int) -> DataFrame:
-    """Pairs of the first `centres` members of a bucket with later members of other components that may be linked.
+    """Pairs of the first `centres` members of a bucket with members of other components that may be linked.
 
+    Two nodes meet in many buckets; a pair is made in the first of those in which its centre is one.
     Two members share at most what the one with less of it shares with the bucket's centre, plus what the one with less of it
     shares with other members outside the centre. Sizes and this bound leave out pairs exactly.
     """
-    lead = members.filter(F.col("place") < centres).select(
-        "bucket", *[F.col(name).alias(f"{name}_a") for name in ["node", "n", "common", "of_centre", "place", "label"]]
+    of_node = members.groupBy("node").agg(F.array_sort(F.collect_set("bucket")).alias("buckets"))
+    of_centre = members.filter(F.col("place") < centres).groupBy("node").agg(F.array_sort(F.collect_set("bucket")).alias("leads"))
+    # At most one entry a band in either list.
+    members = members.join(of_node, "node")
+    lead = members.filter(F.col("place") < centres).drop("buckets").join(of_centre, "node").select(
+        "bucket", *[F.col(name).alias(f"{name}_a") for name in ["node", "n", "common", "of_centre", "label"]], "leads"
     )
     if rows <= FEW_ROWS:
         # The centres go to the members, so that the pairs of a hot bucket are made wherever its members are.
@@ -292,12 +297,17 @@ def further_pairs(members: DataFrame, rows: int, centres: int, percent: int) ->
     measured = F.col("of_centre").isNotNull() & F.col("of_centre_a").isNotNull()
     most = F.when(measured, F.least("of_centre", "of_centre_a") + outside).otherwise(F.least("common", "common_a"))
     pairs = lead.join(members, "bucket").filter(
-        (F.col("place") > F.col("place_a"))
-        & (F.col("label") != F.col("label_a"))
+        (F.col("label") != F.col("label_a"))
+        & ((F.col("place") >= centres) | (F.col("node") > F.col("node_a")))
         & close(n, n_a, percent)
         & ((100 + percent) * most >= percent * (n + n_a))
+        & (F.array_min(F.array_intersect("leads", "buckets")) == F.col("bucket"))
     )
-    return pairs.select(F.col("node_a").alias("a"), F.col("node").alias("b")).distinct()
+    return in_order(pairs.select(F.col("node_a").alias("a"), F.col("node").alias("b"))).distinct()
+
+
+def in_order(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def close(n: Column, other: Column, percent: int) -> Column:
@@ -324,9 +334,12 @@ def near_duplicate_rows(docs: DataFrame, words: int = 5, percent: int = 80, band
         classes = full.groupBy("set_key").agg(F.min("doc_id").alias("doc_id")).withColumn("node", F.monotonically_increasing_id())
         classes = materialise(classes, "set-classes", keep=True)
         alone = full.join(classes, ["set_key", "doc_id"])
-        members = alone.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-        buckets = members.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last"))
-        shared = members.join(buckets.filter("centre <> last").select("bucket", "centre"), "bucket")
+        members = alone.select("node", "doc_id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+        # The oldest document of a bucket is its centre: the likeliest to be what the others were copied from.
+        buckets = members.groupBy("bucket").agg(
+            F.min(F.struct("doc_id", "node"))["node"].alias("centre"), F.min("node").alias("low"), F.max("node").alias("high")
+        )
+        shared = members.drop("doc_id").join(buckets.filter("low <> high").select("bucket", "centre"), "bucket")
         shared = materialise(distinct_buckets(materialise(shared.distinct(), "all-buckets")), "shared-buckets")
         nodes = classes.join(shared.select("node").distinct(), "node", "left_semi")
         sets = materialise(shingle_sets(docs.join(nodes, "doc_id"), words), "shingle-sets")
@@ -340,7 +353,7 @@ def near_duplicate_rows(docs: DataFrame, words: int = 5, percent: int = 80, band
         links = first.filter("linked").select("a", "b")
         of_centre = first.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.col("shared").alias("of_centre"))
         members = shared.filter("node <> centre").join(of_centre, ["centre", "node"], "left")
-        labels, centres = components(links), 1
+        labels, centres, tried = components(links), 1, in_order(tried)
         while True:
             labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
             left, rows = few(materialise(open_members(materialise(labelled, "labelled")), "open-members"))
@@ -348,8 +361,11 @@ def near_duplicate_rows(docs: DataFrame, words: int = 5, percent: int = 80, band
             if not rows:
                 break
             centres *= ROUND_GROWTH
-            ranked = materialise(rank_in_cells(left, ["bucket"], ["node"], "place", rows), "open-ranked")
-            ranked, _ = few(ranked, F.least(F.col("place"), F.lit(centres)))
+            # Members of small components come first: once they have met their bucket, the rest of it is one component.
+            sizes = left.groupBy("label").agg(F.count(F.lit(1)).alias("label_rows"))
+            sized = left.join(F.broadcast(sizes) if rows <= FEW_ROWS else sizes, "label")
+            ranked = rank_in_cells(sized, ["bucket"], ["label_rows", "node"], "place", rows).drop("label_rows")
+            ranked, _ = few(materialise(ranked, "open-ranked"), F.least(F.col("place"), F.lit(centres)))
             pairs = further_pairs(ranked, rows, centres, percent).join(tried, ["a", "b"], "left_anti")
             pairs, rows = few(materialise(pairs, "further-pairs"))
             found = materialise(measure(pairs, rows, sets, percent), "measured")
