@@ -30,13 +30,14 @@ def _parser() -> argparse.ArgumentParser:
     targets = ("--targets", {})
     run_id = ("--run-id", {})
     review_filter = ("--review-filter", {"default": "updated", "choices": ["all", "recent", "updated"]})
-    command("load", run_dir, targets)
+    quarantine = ("--quarantine", {"help": "folder for page reports that cannot be stored; without it they stop the load"})
+    command("load", run_dir, targets, quarantine, ("--no-check", {"action": "store_true"}))
     command("advance", run_dir, review_filter, ("--started-at", {}), ("--completed-at", {}))
     command("validate", run_id, ("--output", {}))
     command("export", run_id, ("--output", {"required": True}), ("--format", {"default": "csv", "choices": ["csv", "jsonl"]}))
     command("import", ("--snapshot", {"required": True}))
     command("daily", run_dir, ("--targets", {"required": True}), ("--reports", {"required": True}), review_filter,
-            ("--disable-delta-stop", {"action": "store_true"}))
+            ("--disable-delta-stop", {"action": "store_true"}), quarantine)
     return parser
 
 
@@ -50,7 +51,9 @@ def _execute(spark: SparkSession, args: argparse.Namespace) -> None:
     store = Store(spark, args.store)
     if args.command == "load":
         targets = load_targets(spark, args.targets) if args.targets else None
-        show(load_runs(spark, store, args.run_dir, targets, args.targets))
+        show(load_runs(
+            spark, store, args.run_dir, targets, args.targets, check=not args.no_check, quarantine=args.quarantine
+        ))
     elif args.command == "advance":
         now = utc_now()
         advance(store, read_page_reports(spark, args.run_dir), args.review_filter, args.started_at or now, args.completed_at or now)
@@ -66,7 +69,9 @@ def _execute(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         for run_dir in args.run_dir:
             report_path = f"{args.reports.rstrip('/')}/{run_dir.rstrip('/').rsplit('/', 1)[-1]}"
-            run_daily(spark, store, run_dir, args.targets, report_path, args.review_filter, args.disable_delta_stop)
+            run_daily(
+                spark, store, run_dir, args.targets, report_path, args.review_filter, args.disable_delta_stop, args.quarantine
+            )
 
 
 def main(argv: list[str] | None = None) -> None:

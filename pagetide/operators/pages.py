@@ -79,6 +79,20 @@ def stop_at_first_end(pages: DataFrame) -> DataFrame:
     return kept.filter(F.col("_end").isNull() | (F.col("page_number") <= F.col("_end"))).drop("_end")
 
 
+def cut_at_marks(reports: DataFrame, marks: DataFrame) -> DataFrame:
+    """Page reports up to the first page of an app that lies at or below its mark, which is what ends the app.
+
+    `marks` has app_id and high_water. Reports of other apps, and end reasons that come first, stay as they are.
+    """
+    marked = lookup_join(reports, marks.select("app_id", "high_water"), "app_id", "left")
+    reached = (F.col("status") == "fetched") & caught_up(F.col("high_water"), F.col("review_count"), F.col("max_timestamp_updated"))
+    ends = F.when(F.coalesce(reached, F.lit(False)), F.lit("caught_up_to_existing_reviews"))
+    ended = marked.withColumn("terminal_reason", F.coalesce(ends, F.col("terminal_reason")))
+    stops = marked.withColumn("_reached", ends.isNotNull()).filter("_reached").groupBy(*CHAIN).agg(F.min("page_number").alias("_end"))
+    kept = lookup_join(ended, stops, CHAIN, "left", derived=True)
+    return kept.filter(F.col("_end").isNull() | (F.col("page_number") <= F.col("_end"))).select(*reports.columns)
+
+
 def delta_applies(review_filter: str, disabled: bool = False) -> bool:
     """Only pages ordered by update time may stop at the high-water mark."""
     return review_filter == "updated" and not disabled

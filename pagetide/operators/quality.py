@@ -73,15 +73,77 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
     return report
 
 
+def incoming_report(written: dict[str, DataFrame], stored: dict[str, DataFrame]) -> DataFrame:
+    """The constraints that the rows of one load can break, with the number of offending rows or keys.
+
+    Only the rows of the load are looked at. A reference is looked up in the load first and, for the few keys that are left, among
+    the stored rows of `stored`; keys are combined before each lookup. Primary keys hold by the merges, page keys are checked.
+    """
+    spark = next(iter(written.values())).sparkSession
+    report = spark.createDataFrame([], "constraint string, violations long")
+
+    def add(name: str, counted: DataFrame) -> None:
+        nonlocal report
+        report = report.unionByName(counted.select(F.lit(name).alias("constraint"), F.col("n").cast("long").alias("violations")))
+
+    for table, df in written.items():
+        if NOT_NULL[table]:
+            nulls = not_null_violations(df, NOT_NULL[table])
+            report = report.unionByName(nulls.select(
+                F.concat(F.lit(f"not null {table}."), "column_name").alias("constraint"), F.col("null_rows").alias("violations")
+            ))
+    for (table, column), allowed in ENUMS.items():
+        if table in written:
+            add(f"check {table}.{column}", check_violations(written[table], column, allowed).agg(F.count("*").alias("n")))
+    for child, column, parent, parent_column in FOREIGN_KEYS:
+        if child in written and (parent in written or parent in stored):
+            open_keys = written[child].filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows"))
+            for parents in (written.get(parent), stored.get(parent)):
+                if parents is not None:
+                    open_keys = open_keys.join(_parent_keys(column, parents, parent_column), column, "left_anti")
+            add(f"reference {child}.{column}", open_keys.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")))
+    if "pages" in written:
+        own = written["pages"].select("page_key", F.struct(*KEYS["pages"]).alias("page"))
+        # A key is taken by another page of the load, or by a stored page that is not the same one.
+        pages = own.groupBy("page_key").agg(F.count("*").alias("rows"), F.min("page").alias("page"))
+        twice = pages.filter("rows > 1").select("page_key")
+        if "pages" in stored:
+            others = stored["pages"].select("page_key", F.struct(*KEYS["pages"]).alias("other"))
+            taken = others.join(pages, "page_key").filter(F.col("other") != F.col("page")).select("page_key")
+            twice = twice.unionByName(taken).distinct()
+        add("unique pages(page_key)", twice.agg(F.count("*").alias("n")))
+    return report
+
+
 def enforce(tables: dict[str, DataFrame]) -> None:
-    """Strict mode: raise before anything is published."""
-    broken = constraint_report(tables).filter("violations > 0").orderBy("constraint").collect()
+    """Raise if whole tables break a constraint."""
+    refuse(constraint_report(tables))
+
+
+def refuse(report: DataFrame) -> None:
+    """Raise if a report has violations."""
+    broken = report.filter("violations > 0").orderBy("constraint").collect()
     if broken:
         raise ValueError("; ".join(f"{row['constraint']}: {row['violations']}" for row in broken))
 
 
+# What a page report must have for its rows to be stored.
+REQUIRED = ["run_id", "app_id", "page_number", "status"]
+
+
+def split_reports(reports: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Reports to load, and those to set aside with the columns they lack (`missing`). One pass, no join."""
+    lacking = F.filter(
+        F.array(*(F.when(F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == "", F.lit(c)) for c in REQUIRED)),
+        lambda name: name.isNotNull(),
+    )
+    marked = reports.withColumn("missing", F.array_join(lacking, ", "))
+    return marked.filter("missing = ''").drop("missing"), marked.filter("missing <> ''")
+
+
 def quarantine(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> tuple[DataFrame, DataFrame]:
     """Rows to keep (reference found or null) and rows to set aside."""
-    aside = fk_violations(df, column, parent, parent_column)
-    kept = fk_valid(df, column, parent, parent_column).unionByName(df.filter(F.col(column).isNull()))
-    return kept, aside
+    found = parent.select(F.col(parent_column).alias(column)).filter(F.col(column).isNotNull()).distinct().withColumn("_found", F.lit(True))
+    marked = lookup_join(df, found, column, "left", derived=True)
+    valid = F.col("_found").isNotNull() | F.col(column).isNull()
+    return marked.filter(valid).select(*df.columns), marked.filter(~valid).select(*df.columns)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetide.functions import mask_url
+from pagetide.operators.pages import cut_at_marks
 from pagetide.operators.reports import (
     capped_apps,
     fetch_summary,
@@ -71,18 +72,24 @@ def run_daily(
     report_path: str,
     review_filter: str = "updated",
     disable_delta_stop: bool = False,
+    quarantine: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Load a landed run and write the validation and daily reports as sections under `report_path`."""
+    """Load a landed run and write the validation and daily reports as sections under `report_path`.
+
+    With `review_filter` "updated" an app's pages behind the one that reaches its stored mark are left out, unless the stop is disabled.
+    """
     started_at = utc_now()
     targets = load_targets(spark, targets_path)
     active = active_targets(targets)
     state = materialise(store.read("sync_state"), "state")
     before = sync_states(state, active)
     uses_marks = review_filter == "updated" and not disable_delta_stop
-    marks = high_water_marks(state, active if uses_marks else active.limit(0))
+    marks = materialise(high_water_marks(state, active if uses_marks else active.limit(0)), "marks")
 
-    loaded = load_runs(spark, store, run_dir, targets, targets_path)
+    cut = (lambda reports: cut_at_marks(reports, marks)) if uses_marks else None
+    loaded = load_runs(spark, store, run_dir, targets, targets_path, quarantine=quarantine, cut=cut)
     reports = read_page_reports(spark, run_dir)
+    reports = materialise(cut(reports) if cut else reports, "reports")
     update = advance(store, reports, review_filter, started_at, utc_now())
 
     validation = validate(store)

@@ -16,10 +16,9 @@ from pagetide.operators.merges import (
     seen_apps,
 )
 from pagetide.operators.normalize import explode_reviews, normalize_reviews, page_rows, parse_payload
-from pagetide.operators.quality import enforce
+from pagetide.operators.quality import incoming_report, refuse, split_reports
 from pagetide.operators.reports import fetch_summary, load_summary
 from pagetide.plans.store import CHANGES, FULL, StaleRead, Store
-from pagetide.schemas import KEYS, TABLES
 from pagetide.session import materialise, scratch, sized_shuffle
 from pagetide.sources.landing import (
     REPORT_ORDER,
@@ -49,18 +48,25 @@ def load_runs(
     targets: DataFrame | None = None,
     targets_path: str | None = None,
     strict: bool = True,
-    check: bool = False,
+    check: bool = True,
     hot_rows: int | None = None,
+    quarantine: str | None = None,
+    cut: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Load one or more run directories (a page report file and one file per page) and return one summary row per run."""
+    """Load one or more run directories (a page report file and one file per page) and return one summary row per run.
+
+    `cut` may leave out reports. Reports that lack what a stored row must have are written to the folder `quarantine`; without one
+    they stop the load.
+    """
     where = (run_dirs if isinstance(run_dirs, str) else ",".join(run_dirs)).rstrip("/")
     reports, files = read_page_reports(spark, run_dirs), read_raw_pages(spark, run_dirs)
+    reports = cut(reports) if cut else reports
     names = list_raw_pages(spark, run_dirs)
     size = names.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     with sized_shuffle(spark, size):
         return load_pages(
             store, reports, files, REPORT_ORDER, where, targets, targets_path, strict, check, hot_rows, names,
-            run_ids=list_runs(spark, run_dirs),
+            run_ids=list_runs(spark, run_dirs), quarantine=quarantine,
         )
 
 
@@ -73,7 +79,7 @@ def load_pages(
     targets: DataFrame | None = None,
     targets_path: str | None = None,
     strict: bool = True,
-    check: bool = False,
+    check: bool = True,
     hot_rows: int | None = None,
     file_names: DataFrame | None = None,
     token: str | None = None,
@@ -81,6 +87,7 @@ def load_pages(
     also: dict[str, tuple[str, DataFrame]] | None = None,
     fold_runs: Callable[[DataFrame, DataFrame], DataFrame] = merge_runs,
     run_ids: DataFrame | None = None,
+    quarantine: str | None = None,
 ) -> DataFrame:
     """Load page reports and their documents (run_id, file_name, document), wherever they were landed.
 
@@ -88,12 +95,15 @@ def load_pages(
 
     `order` sorts the reports in load order and starts with the run. Several runs are folded in one job, in run-id order,
     with the same result as loading them one by one. In strict mode a report without its document, or with one that is no
-    JSON, raises; `check` tests every constraint before anything becomes visible. If another load is published meanwhile, this one
+    JSON, raises; `check` tests every constraint on the rows of the load before anything becomes visible. If another load is published meanwhile, this one
     is merged again, on top of it. A `token` names the load, see `Store.publish`. Reports that were made from the stored tables
     name the last load that they know of (`computed_from`); then StaleRead is left to the caller. `also` are writes to other tables
     that become visible with this load, and `fold_runs` puts the run rows into the stored ones. `run_ids` names the runs, which get
     their row though they have no pages.
     """
+    if quarantine:
+        reports, aside = split_reports(materialise(reports, "all-reports", keep=True))
+        aside.write.mode("append").json(quarantine)
     while True:
         with scratch(store.spark):
             try:
@@ -159,21 +169,10 @@ def _load(
         "review_changes": (CHANGES, merge.changes),
         **also,
     }
-    if check:
-        writes = {name: (kind, materialise(df.select(*TABLES[name].names), name)) for name, (kind, df) in writes.items()}
-        enforce(_after(store, writes))
-    store.publish(writes, token, computed_from=last)
+    def verify(written: dict[str, DataFrame]) -> None:
+        refuse(incoming_report(written, {name: stored[name] for name in ("pages", "reviews")}))
+
+    store.publish(writes, token, computed_from=last, verify=verify if check else None)
     store.compact_pending()
     return summary
 
-
-def _after(store: Store, writes: dict[str, tuple[str, DataFrame]]) -> dict[str, DataFrame]:
-    """The tables as they will be: incoming rows for the child checks, all parents they may refer to."""
-    tables = {}
-    for name, (kind, rows) in writes.items():
-        if kind == FULL:
-            tables[name] = rows
-        else:
-            untouched = store.read(name).join(rows.select(*KEYS[name]), KEYS[name], "left_anti")
-            tables[name] = untouched.select(*rows.columns).unionByName(rows)
-    return tables

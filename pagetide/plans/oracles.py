@@ -617,3 +617,23 @@ SELECT run_id, count(DISTINCT app_id) AS app_count, count(*) AS page_count,
 FROM kept GROUP BY run_id"""
 
 ORACLES["snapshot_import_repeated"] = ORACLES["snapshot_import"]
+
+ORACLES["load_quarantine"] = _with(PAGES) + """,
+faulty AS (
+    SELECT event_id, run_id, CASE WHEN k % 13 = 0 THEN ' ' WHEN k % 17 <> 0 THEN app_id END AS app_id,
+        CASE WHEN k % 19 <> 0 THEN page_number END AS page_number, CASE WHEN k % 23 <> 0 THEN status END AS status
+    FROM report
+)
+SELECT *, concat_ws(', ', CASE WHEN coalesce(trim(app_id), '') = '' THEN 'app_id' END, CASE WHEN page_number IS NULL THEN 'page_number' END,
+    CASE WHEN status IS NULL THEN 'status' END) AS missing
+FROM faulty WHERE coalesce(trim(app_id), '') = '' OR page_number IS NULL OR status IS NULL"""
+
+ORACLES["daily_cut"] = _with(PAGES, STATE) + """,
+judged AS (
+    SELECT r.*, r.status = 'fetched' AND s.complete_through_timestamp_updated > 0 AND r.review_count > 0
+        AND coalesce(r.max_timestamp_updated, 0) <= s.complete_through_timestamp_updated AS reached
+    FROM report r LEFT JOIN state s USING (app_id)
+),
+ends AS (SELECT run_id, app_id, min(page_number) AS page_number FROM judged WHERE reached GROUP BY run_id, app_id)
+SELECT event_id, run_id, app_id, j.page_number, CASE WHEN reached THEN 'caught_up_to_existing_reviews' ELSE terminal_reason END AS terminal_reason
+FROM judged j LEFT JOIN ends e USING (run_id, app_id) WHERE e.page_number IS NULL OR j.page_number <= e.page_number"""

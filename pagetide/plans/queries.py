@@ -33,7 +33,7 @@ from pagetide.operators.merges import merge_reviews
 from pagetide.plans.standins import SOURCES, Standins
 from pagetide.plans.store import FULL, Store
 from pagetide.schemas import APPS, DEFAULTS, IMPORT_COLUMNS, KEYS, PAGES, RUNS, SYNC_STATE
-from pagetide.session import scratch_root
+from pagetide.session import materialise, scratch_root
 from pagetide.sinks.files import land_pages, sanitize_documents
 from pagetide.sources.landing import LANDED, attach_documents, loadable, read_landed_pages
 from pagetide.sources.targets import active_targets, check_targets, valid_targets
@@ -317,10 +317,30 @@ def upsert_reviews_two_loads(s: Standins) -> DataFrame:
     """The same versions in two loads: the first half of the month is stored, then the second half merged."""
     versions = s.versions()
     early = F.col("run_id") < "20240116"
-    stored = merge_reviews(None, versions.filter(early), ORDER).table
+    stored = materialise(merge_reviews(None, versions.filter(early), ORDER).table, "stored-reviews", keep=True)
     return merge_reviews(stored, versions.filter(~early), ORDER).table.select(*VERSION_COLUMNS)
 
 
+@_query
+def load_quarantine(s: Standins) -> DataFrame:
+    """Page reports that lack what a stored row must have, with the columns they lack."""
+    k = F.col("k")
+    faulty = s.page_reports().withColumns({
+        "app_id": F.when(k % 13 == 0, F.lit(" ")).when(k % 17 != 0, F.col("app_id")),
+        "page_number": F.when(k % 19 != 0, F.col("page_number")),
+        "status": F.when(k % 23 != 0, F.col("status")),
+    })
+    return quality.split_reports(faulty)[1].select("event_id", "run_id", "app_id", "page_number", "status", "missing")
+
+
+@_query
+def daily_cut(s: Standins) -> DataFrame:
+    """The page reports that a daily run keeps: up to the page that reaches the app's mark."""
+    marks = s.state().select("app_id", F.col("complete_through_timestamp_updated").alias("high_water"))
+    kept = pages.cut_at_marks(s.page_reports(), marks)
+    return kept.select("event_id", "run_id", "app_id", "page_number", "terminal_reason")
+
+
 @_query
 def upsert_outcomes(s: Standins) -> DataFrame:
     return merge_reviews(None, s.versions(), ORDER).outcomes

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -94,12 +95,17 @@ class Store:
         return rows.withColumn("load", F.create_map(*numbers)[F.col("part")]).drop("part")
 
     def publish(
-        self, tables: dict[str, tuple[str, DataFrame]], token: str | None = None, computed_from: int | None = None
+        self,
+        tables: dict[str, tuple[str, DataFrame]],
+        token: str | None = None,
+        computed_from: int | None = None,
+        verify: Callable[[dict[str, DataFrame]], None] | None = None,
     ) -> int:
         """Write the frames of one load (kind, rows) and then make them visible together.
 
         A token names the load: publishing it a second time, as a restarted stream does, changes nothing. `computed_from` is the
-        last load that the frames know of; if there is a newer one, StaleRead is raised and nothing becomes visible.
+        last load that the frames know of; if there is a newer one, StaleRead is raised and nothing becomes visible. `verify` sees
+        the written rows of each table; if it raises, they are deleted.
         """
         token = token or uuid.uuid4().hex
         if self.has(token):
@@ -109,6 +115,15 @@ class Store:
             part = uuid.uuid4().hex
             rows.select(*TABLES[table].names).write.parquet(f"{self.root}/{table}/part={part}")
             lines.append({"table_name": table, "kind": kind, "token": token, "part": part})
+        if verify:
+            try:
+                verify({
+                    line["table_name"]: self.spark.read.schema(TABLES[line["table_name"]]).parquet(self._part(line)) for line in lines
+                })
+            except Exception:
+                for line in lines:
+                    self._delete(self._part(line))
+                raise
         while True:
             log = self._log()
             done = [row["load"] for row in log if row["token"] == token]
@@ -120,6 +135,13 @@ class Store:
             if self._commit(last + 1, lines):
                 return last + 1
 
+    def _part(self, line: dict) -> str:
+        return f"{self.root}/{line['table_name']}/part={line['part']}"
+
+    def _delete(self, folder: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def _commit(self, load: int, lines: list[dict]) -> bool:
         """Put the load's file into the log; False if its number is taken."""
         fs_package, conf = self.spark._jvm.org.apache.hadoop.fs, self.spark._jsc.hadoopConfiguration()
@@ -165,8 +187,7 @@ class Store:
             start = max((row["load"] for row in entries if row["kind"] == FULL), default=0)
             for row in entries:
                 if row["load"] < start:
-                    path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/part={row['part']}")
-                    gone += path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+                    gone += self._delete(self._part(row.asDict()))
         return gone
 
     def pending_changes(self) -> dict[str, int]:

@@ -10,6 +10,7 @@ from pagetide.plans.daily import advance, export, run_daily, validate
 from pagetide.plans.load import load_runs
 from pagetide.plans.snapshot import import_tables
 from pagetide.plans.store import Store
+from pagetide.operators.quality import incoming_report
 from pagetide.operators.sync import high_water_marks, sync_states
 from pagetide.sources.landing import read_page_reports
 from pagetide.sources.targets import load_targets
@@ -282,3 +283,39 @@ def test_racing_advances_both_count(spark, store, tmp_path, monkeypatch):
     advance(store, reports["1"], "updated", "start", "end")
     marks = {row["app_id"]: row["complete_through_timestamp_updated"] for row in store.read("sync_state").collect()}
     assert marks == {"1": 9, "2": 9}
+
+
+def test_faulty_reports_stop_a_load_or_are_set_aside(spark, store, tmp_path):
+    rows = [(report("run-1"), [review("1")]), (report("run-1", " ", 2), [review("2")]), (report("run-1", SHOP, 3, status="") | {"page_number": None}, None)]
+    folder = land(tmp_path, "run-1", rows)
+    with pytest.raises(ValueError, match="not null pages.app_id: 1"):
+        load_runs(spark, store, folder)
+    assert store.last_load() == 0 and not list((tmp_path / "store" / "pages").glob("part=*"))
+    assert counts(load_runs(spark, store, folder, quarantine=str(tmp_path / "aside"))) == (1, 1, 0, 0)
+    aside = spark.read.json(str(tmp_path / "aside")).orderBy("missing").collect()
+    assert [row["missing"] for row in aside] == ["app_id", "page_number, status"]
+    assert [row["recommendationid"] for row in store.read("reviews").collect()] == ["1"]
+
+
+def test_a_page_key_belongs_to_one_page(spark):
+    columns = "run_id string, app_id string, page_number int, status string, page_key string"
+    pages = [("r", "1", 1, "fetched", "a"), ("r", "2", 1, "fetched", "a"), ("r", "3", 1, "fetched", "b"), ("r", "4", 1, "fetched", "c")]
+    stored = [("r", "3", 1, "fetched", "b"), ("old", "4", 1, "fetched", "c"), ("old", "5", 1, "fetched", "d")]
+    report = incoming_report({"pages": spark.createDataFrame(pages, columns)}, {"pages": spark.createDataFrame(stored, columns)})
+    found = {row["constraint"]: row["violations"] for row in report.filter("violations > 0").collect()}
+    assert found == {"unique pages(page_key)": 2}
+
+
+def test_daily_run_stops_at_the_mark(spark, store, tmp_path):
+    targets = write_targets(tmp_path)
+    first = land(tmp_path, "run-1", [(report("run-1", max_timestamp_updated=5, terminal_reason="empty_page"), [review("1", updated=5)])])
+    run_daily(spark, store, first, targets, str(tmp_path / "r1"))
+    pages = [
+        (report("run-2", SHOP, page, max_timestamp_updated=top, terminal_reason=None), [review(str(page), updated=top)])
+        for page, top in ((1, 9), (2, 4), (3, 3))
+    ]
+    second = land(tmp_path, "run-2", pages)
+    run_daily(spark, store, second, targets, str(tmp_path / "r2"))
+    assert sorted(row["page_number"] for row in store.read("pages").filter("run_id = 'run-2'").collect()) == [1, 2]
+    state = store.read("sync_state").first()
+    assert (state["complete_through_timestamp_updated"], state["backlogged"], state["last_page_count"]) == (9, False, 2)
