@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagetide.llm.common import rank_in_cells
@@ -250,10 +250,26 @@ def measure(pairs: DataFrame, rows: int, sets: DataFrame, percent: int) -> DataF
     return counted.select("a", "b", "shared", linked.alias("linked"))
 
 
+def by_node(members: DataFrame, *columns: str) -> DataFrame:
+    """One row a node, with its memberships in the list `met`: one for each of its bands at most."""
+    return members.groupBy("node").agg(
+        *(F.first(c).alias(c) for c in columns), F.collect_list(F.struct("bucket", "centre", "of_centre", "least")).alias("met")
+    )
+
+
+def by_bucket(nodes: DataFrame) -> DataFrame:
+    others = [c for c in nodes.columns if c != "met"]
+    return nodes.select(*others, F.explode("met").alias("m")).select(*others, "m.*")
+
+
 def open_members(members: DataFrame) -> DataFrame:
-    """The members of those buckets that hold more than one component. All are still to be centres: those that were have left."""
-    mixed = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-    return members.join(mixed.select("bucket"), "bucket", "left_semi")
+    """The members of those buckets that hold more than one component, with the least size in the bucket.
+
+    All are still to be centres: those that were have left.
+    """
+    spans = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("smallest"))
+    spans = spans.filter("low <> high").select("bucket", "smallest")
+    return members.join(spans, "bucket").withColumn("least", F.col("smallest")).drop("smallest")
 
 
 def linkable(members: DataFrame, rows: int, sets: DataFrame, percent: int) -> DataFrame:
@@ -268,11 +284,16 @@ def linkable(members: DataFrame, rows: int, sets: DataFrame, percent: int) -> Da
     held = sets.join(near(nodes), "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
     holders = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("node").alias("node"))
     own = holders.filter("holders = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    sized = members.join(own, "node", "left").withColumn("common", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
-    least = members.groupBy("bucket").agg(F.min("n").alias("least"))
+    sized = by_node(members, "n", "label").join(own, "node", "left")
+    sized = sized.withColumn("common", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
     partner = F.greatest(F.col("least"), F.ceil(percent * F.col("n") / 100))
-    fits = (100 + percent) * F.col("common") >= percent * (F.col("n") + partner)
-    return sized.join(least, "bucket").filter(fits).drop("least")
+    return by_bucket(sized).filter((100 + percent) * F.col("common") >= percent * (F.col("n") + partner))
+
+
+def still_open(members: DataFrame) -> DataFrame:
+    """Those in buckets that hold more than one component still."""
+    mixed = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    return members.join(mixed.select("bucket"), "bucket", "left_semi")
 
 
 def further_pairs(members: DataFrame, rows: int, centres: int, percent: int) -> DataFrame:
@@ -282,14 +303,14 @@ def further_pairs(members: DataFrame, rows: int, centres: int, percent: int) ->
     Two members share at most what the one with less of it shares with the bucket's centre, plus what the one with less of it
     shares with other members outside the centre. Sizes and this bound leave out pairs exactly.
     """
-    of_node = members.groupBy("node").agg(F.array_sort(F.collect_set("bucket")).alias("buckets"))
-    of_centre = members.filter(F.col("place") < centres).groupBy("node").agg(F.array_sort(F.collect_set("bucket")).alias("leads"))
-    # At most one entry a band in either list.
-    members = members.join(of_node, "node")
-    lead = members.filter(F.col("place") < centres).drop("buckets").join(of_centre, "node").select(
-        "bucket", *[F.col(name).alias(f"{name}_a") for name in ["node", "n", "common", "of_centre", "label"]], "leads"
+    # A node's buckets, one entry a band at most, and those of them that it is a centre of.
+    met = F.collect_list(F.struct("bucket", "place")).over(Window.partitionBy("node"))
+    members = members.withColumn("met", met).withColumn("buckets", F.transform("met", lambda x: x["bucket"]))
+    leads = F.transform(F.filter("met", lambda x: x["place"] < centres), lambda x: x["bucket"])
+    lead = members.filter(F.col("place") < centres).select(
+        "bucket", *[F.col(name).alias(f"{name}_a") for name in ["node", "n", "common", "of_centre", "label"]], leads.alias("leads")
     )
-    if rows <= FEW_ROWS:
+    if rows <= FEW_ROWS // 8:
         # The centres go to the members, so that the pairs of a hot bucket are made wherever its members are.
         lead = F.broadcast(lead)
     n, n_a = F.col("n"), F.col("n_a")
@@ -353,11 +374,12 @@ def near_duplicate_rows(docs: DataFrame, words: int = 5, percent: int = 80, band
         links = first.filter("linked").select("a", "b")
         of_centre = first.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.col("shared").alias("of_centre"))
         members = shared.filter("node <> centre").join(of_centre, ["centre", "node"], "left")
+        members = materialise(by_node(members.withColumn("least", F.col("n")), "n"), "memberships")
         labels, centres, tried = components(links), 1, in_order(tried)
         while True:
             labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            left, rows = few(materialise(open_members(materialise(labelled, "labelled")), "open-members"))
-            left, rows = few(materialise(open_members(linkable(left, rows, sets, percent)), "open-members"))
+            left, rows = few(materialise(open_members(by_bucket(materialise(labelled, "labelled"))), "open-members"))
+            left, rows = few(materialise(still_open(linkable(left, rows, sets, percent)), "open-members"))
             if not rows:
                 break
             centres *= ROUND_GROWTH
@@ -372,7 +394,7 @@ def near_duplicate_rows(docs: DataFrame, words: int = 5, percent: int = 80, band
             tried = tried.unionByName(pairs)
             links = links.unionByName(found.filter("linked").select("a", "b"))
             # Members that left can have no further link, a centre has met all others, and a bucket of one component stays one.
-            labels, members = components(links), ranked.filter(F.col("place") >= centres).drop("label", "common", "place")
+            labels, members = components(links), by_node(ranked.filter(F.col("place") >= centres), "n")
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = named.join(smallest, "label").select("set_key", "component_id")
