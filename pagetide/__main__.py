@@ -6,11 +6,11 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagetide.plans.daily import advance, export, run_daily, validate
+from pagetide.plans.daily import VALIDATED, advance, export, run_daily, validate
 from pagetide.plans.load import load_runs, utc_now
 from pagetide.plans.snapshot import import_tables
 from pagetide.plans.store import Store
-from pagetide.session import build_session
+from pagetide.session import build_session, sized_shuffle
 from pagetide.sinks.files import write_sections
 from pagetide.sources.landing import read_page_reports
 from pagetide.sources.targets import load_targets
@@ -59,9 +59,10 @@ def _execute(spark: SparkSession, args: argparse.Namespace) -> None:
         advance(store, read_page_reports(spark, args.run_dir), args.review_filter, args.started_at or now, args.completed_at or now)
     elif args.command == "validate":
         sections = validate(store, args.run_id)
-        if args.output:
-            write_sections(sections, args.output)
-        show(sections["metrics"])
+        with sized_shuffle(spark, store.size(*VALIDATED)):
+            if args.output:
+                write_sections(sections, args.output)
+            show(sections["metrics"])
     elif args.command == "export":
         print(export(store, args.output, args.format, args.run_id))
     elif args.command == "import":

@@ -24,15 +24,18 @@ from pagetide.operators.sync import (
 )
 from pagetide.plans.load import load_runs, utc_now
 from pagetide.plans.store import CHANGES, StaleRead, Store
-from pagetide.session import materialise
+from pagetide.session import materialise, sized_shuffle
 from pagetide.sinks.files import export_table, write_sections
 from pagetide.sources.landing import REPORT_ORDER, read_page_reports
 from pagetide.sources.targets import active_targets, load_targets
 
 
+VALIDATED = ["reviews", "apps", "pages", "review_changes", "sync_state"]
+
+
 def validate(store: Store, run_id: str | None = None) -> dict[str, DataFrame]:
-    """The validation report: long-form metrics and the list of app states."""
-    tables = store.read_all(["reviews", "apps", "pages", "review_changes", "sync_state"])
+    """The validation report: long-form metrics and the list of app states. It runs when it is read, best with `sized_shuffle`."""
+    tables = store.read_all(VALIDATED)
     metrics = validation_report(
         tables["reviews"], tables["apps"], tables["pages"], tables["review_changes"], tables["sync_state"], run_id
     )
@@ -40,7 +43,8 @@ def validate(store: Store, run_id: str | None = None) -> dict[str, DataFrame]:
 
 
 def export(store: Store, path: str, output_format: str = "csv", run_id: str | None = None) -> dict:
-    return export_table(store.read("reviews"), store.read("apps"), path, output_format, run_id)
+    with sized_shuffle(store.spark, store.size("reviews", "apps")):
+        return export_table(store.read("reviews"), store.read("apps"), path, output_format, run_id)
 
 
 def advance(
@@ -113,6 +117,7 @@ def run_daily(
         "capped_apps": capped_apps(reports),
         "load_summary": loaded,
     }
-    write_sections(validation, f"{report_path.rstrip('/')}/validation_report")
+    with sized_shuffle(spark, store.size(*VALIDATED)):
+        write_sections(validation, f"{report_path.rstrip('/')}/validation_report")
     write_sections(sections, f"{report_path.rstrip('/')}/daily_report")
     return {**sections, **validation}

@@ -12,6 +12,7 @@ from pagetide.operators.merges import import_snapshot
 from pagetide.operators.normalize import conform
 from pagetide.plans.store import FULL, StaleRead, Store
 from pagetide.schemas import IMPORT_COLUMNS, TABLES
+from pagetide.session import folder_bytes, sized_shuffle
 from pagetide.sources.lines import LINE_ORDER, with_line_order
 
 
@@ -38,6 +39,7 @@ def import_tables(store: Store, source: str | Callable[[str], DataFrame | None])
     Of rows with one key the last in file order counts. If another load is published meanwhile, the import starts again on top of it.
     """
     read = parquet_tables(store, source) if isinstance(source, str) else source
+    size = folder_bytes(store.spark, [source]) if isinstance(source, str) else 0
     while True:
         counts, writes, last = {}, {}, store.last_load()
         for table, columns in IMPORT_COLUMNS.items():
@@ -52,7 +54,8 @@ def import_tables(store: Store, source: str | Callable[[str], DataFrame | None])
         if not writes:
             return counts
         try:
-            store.publish(writes, computed_from=last)
+            with sized_shuffle(store.spark, size + store.size(*writes)):
+                store.publish(writes, computed_from=last)
             return counts
         except StaleRead:
             continue

@@ -25,6 +25,7 @@ from pagetide.operators.merges import last_per_key
 from pagetide.operators.normalize import conform
 from pagetide.operators.skew import lookup_join
 from pagetide.schemas import DEFAULTS, KEYS, TABLES
+from pagetide.session import folder_bytes, sized_shuffle
 
 FULL, CHANGES = "full", "changes"
 _LOG = "load bigint, table_name string, kind string, token string, part string"
@@ -85,6 +86,15 @@ class Store:
             rows = self.spark.createDataFrame([], schema)
         return conform(rows, schema, DEFAULTS[table])
 
+    def size(self, *tables: str) -> int:
+        """Bytes of the files that reading the tables takes."""
+        log, folders = self._log(), []
+        for table in tables:
+            entries = [row for row in log if row["table_name"] == table]
+            start = max((row["load"] for row in entries if row["kind"] == FULL), default=0)
+            folders += [self._part(row.asDict()) for row in entries if row["load"] >= start]
+        return folder_bytes(self.spark, folders)
+
     def _folders(self, table: str, entries: list) -> DataFrame | None:
         if not entries:
             return None
@@ -169,7 +179,8 @@ class Store:
         while True:
             last = self.last_load()
             try:
-                return self.publish({table: (FULL, self.read(table))}, computed_from=last)
+                with sized_shuffle(self.spark, self.size(table)):
+                    return self.publish({table: (FULL, self.read(table))}, computed_from=last)
             except StaleRead:
                 continue
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +55,16 @@ def sized_shuffle(spark: SparkSession, input_bytes: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def folder_bytes(spark: SparkSession, folders: Iterable[str]) -> int:
+    """Bytes of the files under some folders; 0 for one that does not exist."""
+    total = 0
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        total += fs.getContentSummary(path).getLength() if fs.exists(path) else 0
+    return total
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach. Only a single-machine session may go without naming one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)

@@ -15,7 +15,7 @@ from pagetide.operators.merges import merge_reviews
 from pagetide.operators.normalize import explode_reviews, normalize_reviews, parse_payload
 from pagetide.plans.load import load_pages, utc_now
 from pagetide.plans.store import CHANGES, StaleRead, Store
-from pagetide.session import materialise, scratch
+from pagetide.session import folder_bytes, materialise, scratch, sized_shuffle
 from pagetide.sources.landing import read_landed_pages
 from pagetide.streaming.chains import CARRIED, add_runs, advanced_state, page_reports, take_pages
 
@@ -43,7 +43,10 @@ def once(store: Store, checkpoint: str, load: Callable[[DataFrame, str], None])
         token = f"{stream_id(store.spark, checkpoint)}-{batch_id}"
         if not store.has(token):
             with scratch(store.spark):
-                load(materialise(batch, "batch"), token)
+                staged = materialise(batch, "batch")
+                folders = {file.rsplit("/", 1)[0] for file in staged.inputFiles()}
+                with sized_shuffle(store.spark, folder_bytes(store.spark, folders)):
+                    load(staged, token)
             store.compact_pending()
 
     return batch_load
