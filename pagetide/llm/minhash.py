@@ -190,12 +190,20 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("node", "set_key", "text").mapInArrow(sets, "node bigint, shingles array<bigint>")
 
 
-def distinct_buckets(members: DataFrame) -> DataFrame:
-    """The members of one of all buckets that have the same members. Near copies share most of their bands."""
+def shared_buckets(members: DataFrame) -> DataFrame:
+    """(bucket, node, n, centre) of the buckets with more than one member; of buckets with the same members only one.
+
+    Near copies share most of their bands. The oldest document is the centre: the likeliest to be what the others were copied from.
+    """
     hashes = [F.sum(F.xxhash64(F.lit(seed), "node").cast("decimal(38,0)")).alias(f"hash_{seed}") for seed in (1, 2)]
-    sums = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("low"), F.max("node").alias("high"), *hashes)
-    first = sums.groupBy("rows", "low", "high", "hash_1", "hash_2").agg(F.min("bucket").alias("bucket"))
-    return members.join(first.select("bucket"), "bucket", "left_semi")
+    buckets = members.groupBy("bucket").agg(
+        F.min(F.struct("doc_id", "node"))["node"].alias("centre"), F.count(F.lit(1)).alias("rows"), F.min("node").alias("low"),
+        F.max("node").alias("high"), *hashes,
+    )
+    buckets = buckets.filter("low <> high").groupBy("rows", "low", "high", "hash_1", "hash_2").agg(
+        F.min(F.struct("bucket", "centre")).alias("first")
+    )
+    return members.drop("doc_id").join(buckets.select("first.*"), "bucket").distinct()
 
 
 def few(df: DataFrame, pairs: Column | None = None) -> tuple[DataFrame, int]:
@@ -208,8 +216,12 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of the edges (a, b): the smallest node reachable.
 
     Alternates the two star operations until nothing changes: neighbours above a node move to its smallest neighbour, then
-    those below do. All of it are joins and minima by node, which combine before their shuffle.
+    those below do. All of it are joins and minima by node, which combine before their shuffle. Few edges, as counted, are worked
+    on in one task.
     """
+    near, rows = few(edges)
+    if rows <= FEW_ROWS:
+        return materialise(near.select("a", "b").mapInArrow(components_of_few, "node bigint, label bigint"), "components", keep=True)
     with scratch(edges.sparkSession):
         stars = edges.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("label"))
         stars, before = materialise(stars.filter("node <> label").distinct(), "stars"), None
@@ -234,6 +246,24 @@ def components(edges: DataFrame) -> DataFrame:
         return materialise(stars.unionByName(roots), "components", keep=True)
 
 
+def components_of_few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same for the edges of one task: the smaller root of two that are linked stands for both."""
+    above: dict[int, int] = {}
+
+    def root(node: int) -> int:
+        while above.setdefault(node, node) != node:
+            above[node] = above[above[node]]
+            node = above[node]
+        return node
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            low, high = sorted((root(a), root(b)))
+            above[high] = low
+    nodes = list(above)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(list(map(root, nodes)), pa.int64())], ["node", "label"])
+
+
 def measure(pairs: DataFrame, rows: int, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with `shared`, how many shingles the full sets share, and whether that makes them `linked`.
 
@@ -356,12 +386,7 @@ def near_duplicate_rows(docs: DataFrame, words: int = 5, percent: int = 80, band
         classes = materialise(classes, "set-classes", keep=True)
         alone = full.join(classes, ["set_key", "doc_id"])
         members = alone.select("node", "doc_id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-        # The oldest document of a bucket is its centre: the likeliest to be what the others were copied from.
-        buckets = members.groupBy("bucket").agg(
-            F.min(F.struct("doc_id", "node"))["node"].alias("centre"), F.min("node").alias("low"), F.max("node").alias("high")
-        )
-        shared = members.drop("doc_id").join(buckets.filter("low <> high").select("bucket", "centre"), "bucket")
-        shared = materialise(distinct_buckets(materialise(shared.distinct(), "all-buckets")), "shared-buckets")
+        shared = materialise(shared_buckets(members), "shared-buckets")
         nodes = classes.join(shared.select("node").distinct(), "node", "left_semi")
         sets = materialise(shingle_sets(docs.join(nodes, "doc_id"), words), "shingle-sets")
         sizes = shared.select(F.col("node").alias("a"), F.col("n").alias("n_a")).distinct()

@@ -1,5 +1,7 @@
 """Quality rules, line dedup and near-duplicates against their DuckDB statements."""
 
+import random
+
 import duckdb
 import pytest
 from compare import compare, connect
@@ -7,7 +9,7 @@ from odd import against_sql, documents, folder, rows, words
 from pyspark.sql import functions as F
 
 from pagetide.llm.linedup import LineRuns, dedup_lines, line_keys
-from pagetide.llm.minhash import Shingler, Sketcher, near_duplicate_rows, near_duplicates, text_key
+from pagetide.llm.minhash import Shingler, Sketcher, components, near_duplicate_rows, near_duplicates, text_key
 from pagetide.llm.oracles import ORACLES
 from pagetide.llm.quality import quality_rules
 from pagetide.llm.queries import QUERIES
@@ -158,6 +160,20 @@ def test_members_that_outlast_their_bucket_are_measured(spark):
     assert {row["doc_id"]: row["component_id"] for row in rows_} == {k: k for k in sets} | {b: a for a, b in linked}
 
 
+@pytest.mark.parametrize("few_rows", [0, 1000])
+def test_components_in_one_task_and_over_many(spark, monkeypatch, few_rows):
+    monkeypatch.setattr("pagetide.llm.minhash.FEW_ROWS", few_rows)
+    rng = random.Random(8)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(500 + k, 501 + k) for k in range(30)]
+    edges = [(a, b) for a, b in edges if a != b]
+    label = {node: node for edge in edges for node in edge}
+    for _ in label:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    found = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert sorted((row["node"], row["label"]) for row in found) == sorted(label.items())
+
+
 def test_shingles_and_sketches():
     shingler = Shingler(2)
     one, other, none, single, spaced = shingler.sets(["a b c a b", "A  B\tc\na b", None, "word", " x\x0by "])
