@@ -637,3 +637,20 @@ judged AS (
 ends AS (SELECT run_id, app_id, min(page_number) AS page_number FROM judged WHERE reached GROUP BY run_id, app_id)
 SELECT event_id, run_id, app_id, j.page_number, CASE WHEN reached THEN 'caught_up_to_existing_reviews' ELSE terminal_reason END AS terminal_reason
 FROM judged j LEFT JOIN ends e USING (run_id, app_id) WHERE e.page_number IS NULL OR j.page_number <= e.page_number"""
+
+# What is read back from a file, with the number of rows that the writer counted.
+ORACLES["export_jsonl_file"] = f"SELECT *, count(*) OVER () AS review_count FROM ({ORACLES['export_reviews']})"
+ORACLES["export_csv_file"] = (
+    f"SELECT * REPLACE (nullif(review, '') AS review), count(*) OVER () AS review_count FROM ({ORACLES['export_reviews']})"
+)
+
+ORACLES["page_reports_file"] = _with(PAGES) + """
+SELECT 'run-all' AS run_id, app_id, app_name, page_number, CAST(NULL AS VARCHAR) AS request_url, CAST(NULL AS VARCHAR) AS cursor,
+    next_cursor, status, status_code, fetched_at, raw_json_path, response_bytes, review_count, total_reviews,
+    CAST(NULL AS BIGINT) AS total_positive, CAST(NULL AS BIGINT) AS total_negative, max_timestamp_updated, min_timestamp_updated,
+    attempt_count, CASE WHEN event_type = 'error' THEN '  failed ' || chr(9) || ' again ' END AS error_message, terminal_reason
+FROM report"""
+
+ORACLES["sync_state_skipped"] = _with(STATE) + """
+SELECT app_id, coalesce(complete_through_timestamp_updated, 0) AS complete_through_timestamp_updated, backlogged,
+    'filter=all is not chronological' AS skipped_reason FROM state"""

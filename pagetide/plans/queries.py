@@ -32,10 +32,10 @@ from pagetide.operators import merges, normalize, pages, quality, reports, sync
 from pagetide.operators.merges import merge_reviews
 from pagetide.plans.standins import SOURCES, Standins
 from pagetide.plans.store import FULL, Store
-from pagetide.schemas import APPS, DEFAULTS, IMPORT_COLUMNS, KEYS, PAGES, RUNS, SYNC_STATE
+from pagetide.schemas import APPS, DEFAULTS, IMPORT_COLUMNS, KEYS, PAGE_REPORT, PAGES, RUNS, SYNC_STATE
 from pagetide.session import materialise, scratch_root
-from pagetide.sinks.files import land_pages, sanitize_documents
-from pagetide.sources.landing import LANDED, attach_documents, loadable, read_landed_pages
+from pagetide.sinks.files import export_table, land_pages, sanitize_documents, write_page_reports
+from pagetide.sources.landing import LANDED, attach_documents, loadable, read_landed_pages, read_page_reports
 from pagetide.sources.targets import active_targets, check_targets, valid_targets
 from pagetide.streaming.upsert import close_runs, stream_pages, stream_reviews
 
@@ -112,6 +112,36 @@ def export_reviews(s: Standins) -> DataFrame:
     return reports.export_reviews(s.reviews(), s.apps())
 
 
+def _exported(s: Standins, output_format: str) -> tuple[str, dict]:
+    path = f"{scratch_root(s.spark)}/export-{uuid.uuid4().hex}"
+    return path, export_table(s.reviews(), s.apps(), path, output_format)
+
+
+@_query
+def export_jsonl_file(s: Standins) -> DataFrame:
+    """The JSON lines of an export, read back, with the number of rows counted while writing."""
+    path, done = _exported(s, "jsonl")
+    schema = reports.export_reviews(s.reviews(), s.apps()).schema
+    return s.spark.read.schema(schema).json(path).withColumn("review_count", F.lit(done["review_count"]).cast("bigint"))
+
+
+@_query
+def export_csv_file(s: Standins) -> DataFrame:
+    """The CSV of an export, read back. Empty texts and nulls are the same there."""
+    path, done = _exported(s, "csv")
+    schema = reports.export_reviews(s.reviews(), s.apps()).schema
+    rows = s.spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"')
+    return rows.withColumn("review_count", F.lit(done["review_count"]).cast("bigint"))
+
+
+@_query
+def page_reports_file(s: Standins) -> DataFrame:
+    """All page reports written as the report file of one run and read back: the run is named by its folder."""
+    folder = f"{scratch_root(s.spark)}/reports-{uuid.uuid4().hex}/run-all"
+    write_page_reports(s.page_reports(), folder, ORDER)
+    return read_page_reports(s.spark, folder).select(*PAGE_REPORT.names)
+
+
 @_query
 def reviews_join_pages(s: Standins) -> DataFrame:
     """Pages are mapped to the seven runs of the reviews."""
@@ -729,3 +759,12 @@ def mask_url_(s: Standins) -> DataFrame:
 @_query
 def request_url_(s: Standins) -> DataFrame:
     return s.table("pages").select("page_id", request_url(BASE_URL, F.col("page_id").cast("string"), F.col("url")).alias("request_url"))
+
+
+@_query
+def sync_state_skipped(s: Standins) -> DataFrame:
+    """Pages that are not ordered by time leave the state as it is."""
+    progress = sync.app_progress(s.page_reports(), ORDER)
+    update = sync.advance_sync_state(s.state(), progress, "all")
+    rows = update.table.unionByName(update.states)
+    return rows.select("app_id", "complete_through_timestamp_updated", "backlogged", F.lit(update.skipped_reason).alias("skipped_reason"))
