@@ -21,7 +21,8 @@ SYMBOLS = r"[#*$%&|<>]"
 LINE_SYMBOLS = r"[#*$%&<>{}=~^\\]"
 # Marks that end or divide sentences, also of Indic, Arabic, Ethiopic, Burmese, Khmer, Tibetan, Mongolian and Armenian script; the
 # letters of Thai and Lao stand for one, as these scripts have none.
-SENTENCE_MARKS = r"[.!?:;…。！？｡．।॥؟؛۔።፧፨။၊។៕།༎᠃։\x{0E01}-\x{0E2E}\x{0E81}-\x{0EAE}]"
+ASCII_MARKS = r"[.!?:;]"
+OTHER_MARKS = r"[…。！？｡．।॥؟؛۔።፧፨။၊។៕།༎᠃։\x{0E01}-\x{0E2E}\x{0E81}-\x{0EAE}]"
 SHOUTS = r"[!?]"
 MENU_MARKS = r"[|»›→•·]"
 BOILERPLATE = (
@@ -82,7 +83,8 @@ def repeated_words(words: Column, n_words: Column) -> Column:
 def line_passes(line: Column, rules: LineRules) -> Column:
     """Punctuation, navigation and boilerplate rules on a line that has a word."""
     n_words = F.regexp_count(line, F.lit(WORD))
-    punctuation = (F.regexp_count(line, F.lit(SENTENCE_MARKS)) > 0) & (
+    # Found at the first mark; the wide class, costly for each character, sees only lines without an ASCII one.
+    punctuation = (line.rlike(ASCII_MARKS) | line.rlike(OTHER_MARKS)) & (
         100 * F.regexp_count(line, F.lit(SHOUTS)) <= rules.shouts_percent * n_words
     )
     navigation = 100 * F.regexp_count(line, F.lit(MENU_MARKS)) <= rules.menu_percent * n_words

@@ -95,4 +95,4 @@ def test_odd_documents_pass_through(spark, tmp_path):
 
 def test_operators_are_registered_by_number():
     numbers = sorted(int(name[2:].split("_")[0]) for name in driver.queries() if name.startswith("op") and name[2].isdigit())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
