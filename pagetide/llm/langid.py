@@ -3,7 +3,8 @@
 A text is the mean of the embeddings of its character n-grams. Embeddings and softmax are trained by stochastic gradient
 descent in numpy, on a bounded sample of labelled documents. The softmax is linear, so for prediction both fold into one row
 of class scores per bucket, and every whole text is scored in its task. A temperature fitted on documents kept out of
-the descent calibrates the scores; below the calibrated `reject` score a prediction is marked as rejected.
+the descent calibrates the scores; below the calibrated `reject` score a prediction is marked as rejected. It is the least score
+at or above which the wanted share of those documents is right; if there is none, every prediction is rejected.
 
 Defined results: a text without letters, or null, is `und` with score 0; so is every text if there is nothing to learn from;
 rows are judged one by one, so repeated rows get equal results; an empty table gives an empty table; only `doc_id`, `text`
@@ -52,6 +53,16 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
     return raised / raised.sum(axis=-1, keepdims=True)
 
 
+def reject_below(scores: np.ndarray, right: np.ndarray, precision: float) -> float:
+    """The least score at or above which the wanted share of predictions is right; infinite, which accepts none, if there is none."""
+    order = np.argsort(-scores, kind="stable")
+    ranked, shares = scores[order], np.cumsum(right[order]) / np.arange(1, len(scores) + 1)
+    # Equal scores are accepted together, so only the last of them counts.
+    last = np.append(ranked[1:] < ranked[:-1], True)[:len(ranked)]
+    enough = np.flatnonzero(last & (shares >= precision))
+    return float(ranked[enough[-1]]) if len(enough) else float("inf")
+
+
 def fit(texts: list[str], langs: list[str], settings: LanguageSettings) -> LanguageModel | None:
     """Every fifth document calibrates; the others train."""
     languages = sorted(set(langs))
@@ -90,12 +101,8 @@ def fit(texts: list[str], langs: list[str], settings: LanguageSettings) -> Langu
     temperature = float(temperatures[int(np.argmin(losses))])
     chances = _softmax(scores / temperature)
     top, right = chances.max(axis=1), chances.argmax(axis=1) == truth
-    reject = 0.0
-    for at in np.sort(top):
-        if right[top >= at].mean() >= settings.precision:
-            reject = float(at)
-            break
-    return LanguageModel(settings, languages, (embeddings @ weights).astype(np.float32), bias, temperature, min(reject, 0.5))
+    reject = reject_below(top, right, settings.precision)
+    return LanguageModel(settings, languages, (embeddings @ weights).astype(np.float32), bias, temperature, reject)
 
 
 def train_language_model(docs: DataFrame, settings: LanguageSettings = LanguageSettings(), folds: int = 5) -> LanguageModel | None:

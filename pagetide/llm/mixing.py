@@ -16,6 +16,8 @@ their own; documents without words keep one copy and take nothing; an empty tabl
 
 from __future__ import annotations
 
+from itertools import count
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +26,10 @@ from pagetide.llm.common import WORD, rank_in_cells
 from pagetide.session import materialise, scratch
 
 # Relative distance to the target at which Newton stops, far below what rounding to whole documents adds.
-TOLERANCE, MOST_STEPS = 1e-7, 100
+TOLERANCE = 1e-7
+
+# Steps after which the bracket around a multiplier is only halved, until the target is met or doubles have no number in between.
+NEWTON_STEPS = 100
 
 
 def order_rank(df: DataFrame, order: list, name: str) -> DataFrame:
@@ -69,7 +74,7 @@ def multipliers(cells: DataFrame, sources: DataFrame, cap: int) -> DataFrame:
         "key", "target", "mean", F.lit(0.0).alias("at"), F.lit(float("-inf")).alias("low"), F.lit(float("inf")).alias("high")
     )
     state = materialise(state, "multipliers")
-    for _ in range(MOST_STEPS):
+    for step_number in count():
         scaled = F.col("size") / F.col("mean")
         power = F.col("at") * scaled
         words = F.col("n") * F.col("size")
@@ -82,7 +87,6 @@ def multipliers(cells: DataFrame, sources: DataFrame, cap: int) -> DataFrame:
                 F.sum(F.when(power < limit, words * scaled * F.col("rate")).otherwise(0.0)).alias("slope"),
             )
         )
-        done = F.abs("miss") <= TOLERANCE * F.col("target")
         low = F.when(F.col("miss") < 0, F.col("at")).otherwise(F.col("low"))
         high = F.when(F.col("miss") > 0, F.col("at")).otherwise(F.col("high"))
         newton = F.col("at") - F.col("miss") / F.col("slope")
@@ -92,7 +96,9 @@ def multipliers(cells: DataFrame, sources: DataFrame, cap: int) -> DataFrame:
             .when(high == float("inf"), 2 * F.greatest(low, F.lit(0.0)) + 1)
             .otherwise((low + high) / 2)
         )
+        done = (F.abs("miss") <= TOLERANCE * F.col("target")) | (middle == low) | (middle == high)
         inside = (F.col("slope") > 0) & (newton > low) & (newton < high) & (F.abs(newton - F.col("at")) < 8)
+        inside = inside & F.lit(step_number < NEWTON_STEPS)
         step = F.when(done, F.col("at")).when(inside, newton).otherwise(middle)
         after = moved.select("key", "target", "mean", step.alias("at"), low.alias("low"), high.alias("high"), done.alias("done"))
         after = materialise(after, "multipliers")

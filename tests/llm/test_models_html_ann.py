@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from pagetide.llm.ann import ForestSettings, common_prefix, nearest_neighbours
 from pagetide.llm.htmltext import DEEPEST, Page, TreeSettings, extract_text, low_branches, parse_pages
-from pagetide.llm.langid import identify_languages, train_language_model
+from pagetide.llm.langid import identify_languages, reject_below, train_language_model
 from pagetide.llm.ngrams import Grams
 from pagetide.llm.queries import QUERIES
 from pagetide.llm.toxicity import ToxicitySettings, fit, score_toxicity, train_toxicity_model
@@ -257,6 +257,17 @@ def test_languages_of_held_out_documents(spark):
     assert all(row["held_out"] == (zlib.crc32(str(row["doc_id"]).encode()) % 5 == 0) and 0 <= row["score"] <= 1 for row in found)
     held = [row["lang_pred"] == lang[row["doc_id"]] for row in found if row["held_out"]]
     assert sum(held) / len(held) >= 0.99
+    accepted = [row["lang_pred"] == lang[row["doc_id"]] for row in found if row["held_out"] and not row["rejected"]]
+    assert sum(accepted) / len(accepted) >= 0.99 and len(accepted) >= 0.9 * len(held)
+
+
+def test_rejection_is_the_least_score_of_the_wanted_precision():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        scores = rng.integers(1, 12, rng.integers(0, 30)) / 12
+        right = rng.random(len(scores)) < scores
+        reaching = [at for at in scores if right[scores >= at].mean() >= 0.9]
+        assert reject_below(scores, right, 0.9) == (min(reaching) if reaching else math.inf)
 
 
 def test_odd_texts_have_a_language(spark):

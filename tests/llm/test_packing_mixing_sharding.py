@@ -1,5 +1,6 @@
 """Packing, mixing and sharding against plain versions."""
 
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -10,7 +11,7 @@ import pytest
 from odd import documents, folder, rows
 from tokenizers import Tokenizer
 
-from pagetide.llm.mixing import mix_sources
+from pagetide.llm.mixing import mix_sources, multipliers
 from pagetide.llm.packing import load_encoding, pack, plan, sequences, token_pieces
 from pagetide.llm.queries import QUERIES
 from pagetide.llm.sharding import kd_shards
@@ -151,6 +152,34 @@ def test_rates_are_tilted_exponentially(spark):
     assert sum(long) / len(long) > sum(short) / len(short) >= 1
 
 
+def plain_multiplier(cells, target, cap):
+    """The root of words taken less target, by halving."""
+    mean = sum(size * n for size, n in cells) / sum(n for _, n in cells)
+    low, high = -1000.0, 1000.0
+    for _ in range(200):
+        at = (low + high) / 2
+        words = sum(n * size * math.exp(min(at * size / mean, math.log(cap))) for size, n in cells)
+        low, high = (at, high) if words < target else (low, at)
+    return at
+
+
+@pytest.mark.parametrize("newton_steps", [100, 0])
+def test_multipliers_solve_the_dual(spark, monkeypatch, newton_steps):
+    monkeypatch.setattr("pagetide.llm.mixing.NEWTON_STEPS", newton_steps)
+    cells = {"more": [(1, 50), (7, 20), (400, 2)], "less": [(3, 9), (90, 5)], "nearly all": [(2, 5), (1000, 1)]}
+    targets = {"more": 2500.0, "less": 100.0, "nearly all": 3029.0}
+    table = spark.createDataFrame([(k, *cell) for k, own in cells.items() for cell in own], "key string, size bigint, n bigint")
+    words = {k: sum(size * n for size, n in own) for k, own in cells.items()}
+    sources = spark.createDataFrame(
+        [(k, words[k], words[k] / sum(n for _, n in cells[k]), targets[k]) for k in cells],
+        "key string, source_size bigint, mean double, target double",
+    )
+    found = {row["key"]: row["multiplier"] for row in multipliers(table, sources, 3).collect()}
+    assert set(found) == set(cells)
+    for key, at in found.items():
+        assert at == pytest.approx(plain_multiplier(cells[key], targets[key], 3), rel=1e-4)
+
+
 @pytest.mark.parametrize("shards", [1, 3, 8])
 def test_shards_are_even_and_gapless(spark, shards):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
