@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagetide.plans.daily import VALIDATED, advance, export, run_daily, validate
+from pagetide.plans.daily import VALIDATED, advance, export, rebuild_figures, run_daily, validate
 from pagetide.plans.load import load_runs, utc_now
 from pagetide.plans.snapshot import import_tables
 from pagetide.plans.store import Store
@@ -33,7 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     quarantine = ("--quarantine", {"help": "folder for page reports that cannot be stored; without it they stop the load"})
     command("load", run_dir, targets, quarantine, ("--no-check", {"action": "store_true"}))
     command("advance", run_dir, review_filter, ("--started-at", {}), ("--completed-at", {}))
-    command("validate", run_id, ("--output", {}))
+    command("validate", run_id, ("--output", {}), ("--recount", {"action": "store_true"}))
     command("export", run_id, ("--output", {"required": True}), ("--format", {"default": "csv", "choices": ["csv", "jsonl"]}))
     command("import", ("--snapshot", {"required": True}))
     command("daily", run_dir, ("--targets", {"required": True}), ("--reports", {"required": True}), review_filter,
@@ -58,7 +58,7 @@ def _execute(spark: SparkSession, args: argparse.Namespace) -> None:
         now = utc_now()
         advance(store, read_page_reports(spark, args.run_dir), args.review_filter, args.started_at or now, args.completed_at or now)
     elif args.command == "validate":
-        sections = validate(store, args.run_id)
+        sections = validate(store, args.run_id, args.recount)
         with sized_shuffle(spark, store.size(*VALIDATED)):
             if args.output:
                 write_sections(sections, args.output)
@@ -67,6 +67,7 @@ def _execute(spark: SparkSession, args: argparse.Namespace) -> None:
         print(export(store, args.output, args.format, args.run_id))
     elif args.command == "import":
         print(import_tables(store, args.snapshot))
+        rebuild_figures(store)
     else:
         for run_dir in args.run_dir:
             report_path = f"{args.reports.rstrip('/')}/{run_dir.rstrip('/').rsplit('/', 1)[-1]}"

@@ -169,6 +169,12 @@ class ReviewMerge:
         """The new current version of every key that changed."""
         return last_per_key(self.accepted, KEYS["reviews"], self.order, REVIEWS.names)
 
+    @property
+    def current(self) -> DataFrame:
+        """`changed` in the columns that figures are counted by."""
+        narrow = [c for c in REVIEWS.names if c in ("recommendationid", "run_id", "app_id", "voted_up", "language", "review")]
+        return last_per_key(self.accepted, KEYS["reviews"], self.order, narrow)
+
     @property
     def table(self) -> DataFrame:
         if self.existing is None:

@@ -46,10 +46,13 @@ def app_review_counts(reviews: DataFrame, apps: DataFrame, run_id: str | None =
     )
 
 
+def recommendation() -> Column:
+    return F.when(F.col("voted_up"), F.lit("recommended")).otherwise(F.lit("not_recommended"))
+
+
 def recommendation_distribution(reviews: DataFrame, run_id: str | None = None) -> DataFrame:
-    label = F.when(F.col("voted_up"), F.lit("recommended")).otherwise(F.lit("not_recommended"))
     return (
-        run_scope(reviews, run_id).groupBy(label.alias("recommendation")).agg(F.count("*").alias("review_count"))
+        run_scope(reviews, run_id).groupBy(recommendation().alias("recommendation")).agg(F.count("*").alias("review_count"))
         .orderBy(F.desc("recommendation"))
     )
 
@@ -193,11 +196,28 @@ def validation_report(
     duplicate check reads the reviews a second time, and only their keys.
     """
     scoped = run_scope(reviews, run_id)
-    flag = F.when(F.col("voted_up"), F.lit("recommended")).otherwise(F.lit("not_recommended"))
-    n = F.col("n")
-    per_app_and_flag = scoped.groupBy("app_id", flag.alias("flag")).agg(
-        F.count("*").alias("n"), _missing_text().alias("no_text"), _missing_language().alias("no_language")
+    return report_of(
+        scoped.groupBy("app_id", recommendation().alias("flag")).agg(
+            F.count("*").alias("n"), _missing_text().alias("no_text"), _missing_language().alias("no_language")
+        ),
+        duplicate_keys(scoped, ["recommendationid"]).agg(F.count("*").alias("n")),
+        run_scope(pages, run_id).groupBy("status").agg(F.count("*").alias("n")),
+        run_scope(changes, run_id).groupBy("change_type").agg(F.count("*").alias("n")),
+        apps,
+        state,
     )
+
+
+def report_of(
+    per_app_and_flag: DataFrame,
+    duplicates: DataFrame,
+    per_status: DataFrame,
+    per_change: DataFrame,
+    apps: DataFrame,
+    state: DataFrame,
+) -> DataFrame:
+    """The report from its counts `n`: reviews per app and flag (with `no_text` and `no_language`), repeated keys, pages, changes."""
+    n = F.col("n")
     parts = [
         _entries(
             per_app_and_flag,
@@ -207,18 +227,15 @@ def validation_report(
             _entry("recommendation_distribution", F.col("flag"), n),
             _entry("app_review_counts", F.col("app_id"), n),
         ),
-        _entries(
-            duplicate_keys(scoped, ["recommendationid"]).agg(F.count("*").alias("n")),
-            _entry("quality", "duplicate_recommendationids", n),
-        ),
+        _entries(duplicates, _entry("quality", "duplicate_recommendationids", n)),
         _entries(apps.agg(F.count("*").alias("n")), _entry("counts", "apps", n)),
         _entries(
-            run_scope(pages, run_id).groupBy("status").agg(F.count("*").alias("n")),
+            per_status,
             _entry("counts", "review_pages", n),
             _entry("page_status_counts", F.col("status"), n),
         ),
         _entries(
-            run_scope(changes, run_id).groupBy("change_type").agg(F.count("*").alias("n")),
+            per_change,
             _entry("counts", "review_changes", n),
             _entry("change_counts", F.col("change_type"), n),
         ),
@@ -228,7 +245,7 @@ def validation_report(
             *(_entry("sync_state", name, F.col(name)) for name in ("state_count", "backlogged_count", "complete_count")),
         ),
         _entries(
-            reviews.sparkSession.range(1),
+            apps.sparkSession.range(1),
             *(_entry(section, name, F.lit(0)) for section, name in ALWAYS_REPORTED),
         ),
     ]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetide.functions import mask_url
+from pagetide.operators.figures import FIGURED, all_figures, report_of_figures
 from pagetide.operators.pages import cut_at_marks
 from pagetide.operators.reports import (
     capped_apps,
@@ -23,7 +24,7 @@ from pagetide.operators.sync import (
     sync_states,
 )
 from pagetide.plans.load import load_runs, utc_now
-from pagetide.plans.store import CHANGES, StaleRead, Store
+from pagetide.plans.store import CHANGES, FULL, StaleRead, Store
 from pagetide.session import materialise, sized_shuffle
 from pagetide.sinks.files import export_table, write_sections
 from pagetide.sources.landing import REPORT_ORDER, read_page_reports
@@ -33,15 +34,34 @@ from pagetide.sources.targets import active_targets, load_targets
 VALIDATED = ["reviews", "apps", "pages", "review_changes", "sync_state"]
 
 
-def validate(store: Store, run_id: str | None = None) -> dict[str, DataFrame]:
-    """The validation report: long-form metrics and the list of app states. It runs when it is read, best with `sized_shuffle`."""
-    tables = store.read_all(VALIDATED)
+def validate(store: Store, run_id: str | None = None, recount: bool = False) -> dict[str, DataFrame]:
+    """The validation report: long-form metrics and the list of app states. It runs when it is read, best with `sized_shuffle`.
+
+    It is put together from the figures that the loads keep. With `recount`, or if something was written past them, as by an
+    import, the tables are counted; `rebuild_figures` brings the figures in step again.
+    """
+    tables = store.read_all([*VALIDATED, "figures"])
+    if not recount and store.in_step("figures", list(FIGURED)):
+        metrics = report_of_figures(tables["figures"], tables["apps"], tables["sync_state"], run_id)
+        return {"metrics": metrics, "sync_states": sync_state_list(tables["sync_state"])}
     metrics = validation_report(
         tables["reviews"], tables["apps"], tables["pages"], tables["review_changes"], tables["sync_state"], run_id
     )
     return {"metrics": metrics, "sync_states": sync_state_list(tables["sync_state"])}
 
 
+def rebuild_figures(store: Store) -> None:
+    """Count the figures of the validation report anew."""
+    while True:
+        last = store.last_load()
+        try:
+            with sized_shuffle(store.spark, store.size(*FIGURED)):
+                store.publish({"figures": (FULL, all_figures(store.read_all(list(FIGURED))))}, computed_from=last)
+            return
+        except StaleRead:
+            continue
+
+
 def export(store: Store, path: str, output_format: str = "csv", run_id: str | None = None) -> dict:
     with sized_shuffle(store.spark, store.size("reviews", "apps")):
         return export_table(store.read("reviews"), store.read("apps"), path, output_format, run_id)

@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagetide.operators.figures import FIGURED, changed_figures
 from pagetide.operators.merges import (
     incoming_pages,
     merge_apps,
@@ -137,7 +138,7 @@ def _load(
     loaded_at = utc_now()
     reports = materialise(reports, "reports")
     last = store.last_load() if computed_from is None else computed_from
-    stored = store.read_all(["runs", "apps", "pages", "reviews"])
+    stored = store.read_all(["runs", "apps", "figures", *FIGURED])
     if strict:
         lost = reports_without_document(reports, files if file_names is None else file_names).select("raw_json_path").first()
         if lost is not None:
@@ -160,13 +161,15 @@ def _load(
         F.col("reviews_seen").alias("review_count"),
         "reviews_inserted", "reviews_updated", "duplicates_skipped", "fetch_errors", "rate_limited_pages",
     )
-    pages = incoming_pages(stored["pages"], page_rows(reports, order), order)
+    pages = materialise(incoming_pages(stored["pages"], page_rows(reports, order), order), "pages")
+    written = {"reviews": merge.current, "pages": pages, "review_changes": merge.changes}
     writes = {
         "runs": (FULL, fold_runs(stored["runs"], runs)),
         "apps": (FULL, merge_apps(stored["apps"], seen_apps(reports, order, targets))),
         "pages": (CHANGES, pages),
         "reviews": (CHANGES, merge.changed),
         "review_changes": (CHANGES, merge.changes),
+        "figures": (CHANGES, changed_figures(stored["figures"], stored, written)),
         **also,
     }
     def verify(written: dict[str, DataFrame]) -> None:

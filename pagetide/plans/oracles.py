@@ -294,6 +294,26 @@ UNION ALL SELECT 'sync_state', 'state_count', NULL, count(*) FROM state
 UNION ALL SELECT 'sync_state', 'backlogged_count', NULL, count(*) FROM state WHERE backlogged
 UNION ALL SELECT 'sync_state', 'complete_count', NULL, count(*) FROM state WHERE NOT backlogged"""
 
+# Pages came in two loads, those of odd events last.
+ORACLES["validation_report_incremental"] = _with(VERSIONS, STATE, recursive=True) + """,
+page AS (SELECT * FROM report
+    QUALIFY row_number() OVER (PARTITION BY run_id, app_id, page_number ORDER BY event_id % 2 DESC, event_id DESC) = 1)
+SELECT 'counts' AS section, 'apps' AS name, CAST(NULL AS VARCHAR) AS label, count(DISTINCT app_id) AS value FROM report
+UNION ALL SELECT 'counts', 'review_pages', NULL, count(*) FROM page
+UNION ALL SELECT 'counts', 'reviews', NULL, count(*) FROM current_reviews
+UNION ALL SELECT 'counts', 'review_changes', NULL, count(*) FROM changes
+UNION ALL SELECT 'counts', 'sync_states', NULL, count(*) FROM state
+UNION ALL SELECT 'quality', 'missing_review_text', NULL, count(*) FROM current_reviews WHERE review IS NULL OR review = ''
+UNION ALL SELECT 'quality', 'missing_language', NULL, count(*) FROM current_reviews
+UNION ALL SELECT 'quality', 'duplicate_recommendationids', NULL, 0
+UNION ALL SELECT 'recommendation_distribution', 'not_recommended', NULL, count(*) FROM current_reviews HAVING count(*) > 0
+UNION ALL SELECT 'app_review_counts', app_id, 'App ' || app_id, count(*) FROM current_reviews GROUP BY app_id
+UNION ALL SELECT 'page_status_counts', status, NULL, count(*) FROM page GROUP BY status
+UNION ALL SELECT 'change_counts', change_type, NULL, count(*) FROM changes GROUP BY change_type
+UNION ALL SELECT 'sync_state', 'state_count', NULL, count(*) FROM state
+UNION ALL SELECT 'sync_state', 'backlogged_count', NULL, count(*) FROM state WHERE backlogged
+UNION ALL SELECT 'sync_state', 'complete_count', NULL, count(*) FROM state WHERE NOT backlogged"""
+
 ORACLES["page_status_counts"] = _with(PAGES) + "SELECT status, count(*) AS page_count FROM report GROUP BY status"
 
 ORACLES["fetch_summary"] = _with(PAGES) + f"SELECT {_FETCH} FROM report"

@@ -28,6 +28,10 @@ from pagetide.schemas import DEFAULTS, KEYS, TABLES
 from pagetide.session import folder_bytes, sized_shuffle
 
 FULL, CHANGES = "full", "changes"
+
+# The tokens of loads that change no row begin with this.
+COMPACTION = "compact-"
+
 _LOG = "load bigint, table_name string, kind string, token string, part string"
 
 # Loads since the last full write after which a table is written anew.
@@ -86,6 +90,13 @@ class Store:
             rows = self.spark.createDataFrame([], schema)
         return conform(rows, schema, DEFAULTS[table])
 
+    def in_step(self, table: str, others: list[str]) -> bool:
+        """True if every load that wrote to one of the others wrote to `table` too, or came before a full write of it."""
+        log = [row for row in self._log() if not row["token"].startswith(COMPACTION)]
+        own = {row["load"] for row in log if row["table_name"] == table}
+        start = max((row["load"] for row in log if row["table_name"] == table and row["kind"] == FULL), default=0)
+        return own.issuperset(row["load"] for row in log if row["table_name"] in others and row["load"] > start)
+
     def size(self, *tables: str) -> int:
         """Bytes of the files that reading the tables takes."""
         log, folders = self._log(), []
@@ -180,7 +191,9 @@ class Store:
             last = self.last_load()
             try:
                 with sized_shuffle(self.spark, self.size(table)):
-                    return self.publish({table: (FULL, self.read(table))}, computed_from=last)
+                    return self.publish(
+                        {table: (FULL, self.read(table))}, f"{COMPACTION}{uuid.uuid4().hex}", computed_from=last
+                    )
             except StaleRead:
                 continue
 

@@ -79,6 +79,11 @@ WAITING_PAGES = _table("""
     fetched_at string, raw_json_path string, document string
 """)
 
+# Counts that the validation report is made of, by kind, run, app and label; `figure` names them in one column.
+FIGURES = _table("""
+    figure string, kind string, run_id string, app_id string, label string, n bigint, no_text bigint, no_language bigint
+""")
+
 TABLES = {
     "runs": RUNS,
     "apps": APPS,
@@ -88,6 +93,7 @@ TABLES = {
     "sync_state": SYNC_STATE,
     "page_chains": PAGE_CHAINS,
     "waiting_pages": WAITING_PAGES,
+    "figures": FIGURES,
 }
 
 KEYS = {
@@ -99,6 +105,7 @@ KEYS = {
     "sync_state": ["app_id"],
     "page_chains": ["run_id", "app_id"],
     "waiting_pages": ["run_id", "app_id", "page_number"],
+    "figures": ["figure"],
 }
 
 NOT_NULL = {
@@ -110,6 +117,7 @@ NOT_NULL = {
     "sync_state": ["app_id"],
     "page_chains": [],
     "waiting_pages": [],
+    "figures": [],
 }
 
 # (child table, child column, parent table, parent column)
@@ -145,6 +153,7 @@ DEFAULTS = {
     },
     "page_chains": {"page_count": 0, "review_count": 0},
     "waiting_pages": {},
+    "figures": {},
 }
 
 # Column subsets of the older store, used by the snapshot import; the first column is the conflict key.

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pagetide.functions import page_status, raw_status
+from pagetide.operators.figures import changed_figures
 from pagetide.operators.merges import merge_reviews
 from pagetide.operators.normalize import explode_reviews, normalize_reviews, parse_payload
 from pagetide.plans.load import load_pages, utc_now
@@ -63,8 +64,14 @@ def merge_load(store: Store, order: list[str], hot_rows: int | None = None) -> C
     def load(staged: DataFrame, token: str) -> None:
         while True:
             last = store.last_load()
-            merged = merge_reviews(store.read("reviews"), staged, order, utc_now(), hot_rows).stored_once()
-            writes = {"reviews": (CHANGES, merged.changed), "review_changes": (CHANGES, merged.changes)}
+            stored = store.read_all(["reviews", "review_changes", "figures"])
+            merged = merge_reviews(stored["reviews"], staged, order, utc_now(), hot_rows).stored_once()
+            written = {"reviews": merged.current, "review_changes": merged.changes}
+            writes = {
+                "reviews": (CHANGES, merged.changed),
+                "review_changes": (CHANGES, merged.changes),
+                "figures": (CHANGES, changed_figures(stored["figures"], stored, written)),
+            }
             try:
                 store.publish(writes, token, computed_from=last)
                 return
