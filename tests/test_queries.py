@@ -1,5 +1,6 @@
 """Every registered query against its DuckDB statement on the smallest tables."""
 
+import duckdb
 import pytest
 
 import __spark_entry__ as driver
@@ -27,3 +28,13 @@ def test_query(spark, connection, name):
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_times_of_large_order_keys(spark, tmp_path):
+    """The keys of large tables give years of five digits; sf0.1 at 60 times its size ends at 9,000,000."""
+    keys = [1, 1999, 2000, 2_054_540, 2_054_541, 2_054_542, 2_100_000, 9_000_000, 54_000_000]
+    rows = [(key, line) for key in keys for line in range(1, 8)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int").write.parquet(str(tmp_path / "lineitem.parquet"))
+    large = duckdb.connect()
+    large.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    assert compare(spark, large, str(tmp_path), QUERIES["timestamp_iso"], ORACLES["timestamp_iso"]) is None
