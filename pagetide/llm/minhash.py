@@ -5,11 +5,12 @@ class gets a one-permutation sketch; an empty bin borrows from the first filled
 the sketch are buckets; buckets of the same members are one. Each bucket links its members to its smallest one, so a bucket of n
 members gives n - 1 candidates. Every candidate is confirmed on the full sets.
 
-A star alone can miss a link between two members that are both unlike the centre. Buckets whose members are not yet in one
-component therefore go on: members with too many shingles of their own to have any link leave them, by an exact bound, and in
-each further round more of the rest become centres (16, 256 ...) for the members of other components. A centre has met its whole
-bucket and leaves it, so only members that were never a centre are left; the bucket goes on until these are of one component.
-Real groups end after one star, and strays at the bound, so the rounds are few.
+A star alone can miss a link between two members that are both unlike the centre. All buckets of one centre are one star from then
+on, in which a member is one row, however many buckets it shares with the centre; near copies share most of their bands. Stars whose
+members are not yet in one component go on: members with too many shingles of their own to have any link leave them, by an exact
+bound, and in each further round more of the rest become leads (16, 256 ...) for those members of other components that they share
+a bucket with. A lead has met its whole star and leaves it, so only members that were never a lead are left; the star goes on until
+these are of one component. Real groups end after one round, and strays at the bound, so the rounds are few.
 
 Defined results: texts without words and null texts have an empty set and are linked with nothing; rows with a null doc_id are
 linked with nothing, have a null component and are kept; a repeated row belongs to the same class; rows that share a doc_id but not
@@ -34,7 +35,7 @@ CHUNK_BYTES = 1 << 20
 # A table of at most so many short rows, as counted, is worked on in one task and broadcast; results are the same either way.
 FEW_ROWS = 200_000
 
-# A further round has so many times the centres of the one before.
+# A further round has so many times the leads of the one before.
 ROUND_GROWTH = 16
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -281,78 +282,78 @@ def measure(pairs: DataFrame, rows: int, sets: DataFrame, percent: int) -> DataF
 
 
 def by_node(members: DataFrame, *columns: str) -> DataFrame:
-    """One row a node, with its memberships in the list `met`: one for each of its bands at most."""
+    """One row a node, with its stars in the list `met`: one for each of its bands at most."""
     return members.groupBy("node").agg(
-        *(F.first(c).alias(c) for c in columns), F.collect_list(F.struct("bucket", "centre", "of_centre", "least")).alias("met")
+        *(F.first(c).alias(c) for c in columns), F.collect_list(F.struct("centre", "of_centre", "least")).alias("met")
     )
 
 
-def by_bucket(nodes: DataFrame) -> DataFrame:
+def by_star(nodes: DataFrame) -> DataFrame:
     others = [c for c in nodes.columns if c != "met"]
     return nodes.select(*others, F.explode("met").alias("m")).select(*others, "m.*")
 
 
 def open_members(members: DataFrame) -> DataFrame:
-    """The members of those buckets that hold more than one component, with the least size in the bucket.
+    """The members of those stars that hold more than one component, with the least size in the star.
 
-    All are still to be centres: those that were have left.
+    All are still to be leads: those that were have left.
     """
-    spans = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("smallest"))
-    spans = spans.filter("low <> high").select("bucket", "smallest")
-    return members.join(spans, "bucket").withColumn("least", F.col("smallest")).drop("smallest")
+    spans = members.groupBy("centre").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("smallest"))
+    spans = spans.filter("low <> high").select("centre", "smallest")
+    return members.join(spans, "centre").withColumn("least", F.col("smallest")).drop("smallest")
 
 
 def linkable(members: DataFrame, rows: int, sets: DataFrame, percent: int) -> DataFrame:
     """Those members that can have a link to another one, with `common`: how many of their shingles any other member holds.
 
     A link shares at least percent / (100 + percent) of the two sizes together, and cannot share more than `common`. The bound
-    is exact. The centres of the buckets count as holders.
+    is exact. The centres count as holders.
     """
-    centres = members.groupBy("bucket").agg(F.first("centre").alias("node")).select("node")
-    nodes = members.select("node").distinct().unionByName(centres).distinct()
+    nodes = members.select("node").unionByName(members.select(F.col("centre").alias("node"))).distinct()
     near = F.broadcast if rows <= FEW_ROWS else (lambda df: df)
     held = sets.join(near(nodes), "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
     holders = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("node").alias("node"))
     own = holders.filter("holders = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    sized = by_node(members, "n", "label").join(own, "node", "left")
+    sized = by_node(members, "n", "label", "bands").join(own, "node", "left")
     sized = sized.withColumn("common", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
     partner = F.greatest(F.col("least"), F.ceil(percent * F.col("n") / 100))
-    return by_bucket(sized).filter((100 + percent) * F.col("common") >= percent * (F.col("n") + partner))
+    return by_star(sized).filter((100 + percent) * F.col("common") >= percent * (F.col("n") + partner))
 
 
 def still_open(members: DataFrame) -> DataFrame:
-    """Those in buckets that hold more than one component still."""
-    mixed = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-    return members.join(mixed.select("bucket"), "bucket", "left_semi")
+    """Those in stars that hold more than one component still."""
+    mixed = members.groupBy("centre").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    return members.join(mixed.select("centre"), "centre", "left_semi")
 
 
-def further_pairs(members: DataFrame, rows: int, centres: int, percent: int) -> DataFrame:
-    """Pairs of the first `centres` members of a bucket with members of other components that may be linked.
+def further_pairs(members: DataFrame, rows: int, leads: int, percent: int) -> DataFrame:
+    """Pairs of the first `leads` members of a star with members of other components that share a bucket and may be linked.
 
-    Two nodes meet in many buckets; a pair is made in the first of those in which its centre is one.
-    Two members share at most what the one with less of it shares with the bucket's centre, plus what the one with less of it
+    Two nodes meet in many stars; a pair is made in the first of those in which its lead is one.
+    Two members share at most what the one with less of it shares with the centre, plus what the one with less of it
     shares with other members outside the centre. Sizes and this bound leave out pairs exactly.
     """
-    # A node's buckets, one entry a band at most, and those of them that it is a centre of.
-    met = F.collect_list(F.struct("bucket", "place")).over(Window.partitionBy("node"))
-    members = members.withColumn("met", met).withColumn("buckets", F.transform("met", lambda x: x["bucket"]))
-    leads = F.transform(F.filter("met", lambda x: x["place"] < centres), lambda x: x["bucket"])
-    lead = members.filter(F.col("place") < centres).select(
-        "bucket", *[F.col(name).alias(f"{name}_a") for name in ["node", "n", "common", "of_centre", "label"]], leads.alias("leads")
+    # A node's stars, one entry a band at most, and those of them that it is a lead of.
+    met = F.collect_list(F.struct("centre", "place")).over(Window.partitionBy("node"))
+    members = members.withColumn("met", met).withColumn("stars", F.transform("met", lambda x: x["centre"]))
+    led = F.transform(F.filter("met", lambda x: x["place"] < leads), lambda x: x["centre"])
+    lead = members.filter(F.col("place") < leads).select(
+        "centre", *[F.col(name).alias(f"{name}_a") for name in ["node", "n", "common", "of_centre", "label", "bands"]], led.alias("led")
     )
     if rows <= FEW_ROWS // 8:
-        # The centres go to the members, so that the pairs of a hot bucket are made wherever its members are.
+        # The leads go to the members, so that the pairs of a hot star are made wherever its members are.
         lead = F.broadcast(lead)
     n, n_a = F.col("n"), F.col("n_a")
     outside = F.least(F.col("common") - F.col("of_centre"), F.col("common_a") - F.col("of_centre_a"))
     measured = F.col("of_centre").isNotNull() & F.col("of_centre_a").isNotNull()
     most = F.when(measured, F.least("of_centre", "of_centre_a") + outside).otherwise(F.least("common", "common_a"))
-    pairs = lead.join(members, "bucket").filter(
+    pairs = lead.join(members, "centre").filter(
         (F.col("label") != F.col("label_a"))
-        & ((F.col("place") >= centres) | (F.col("node") > F.col("node_a")))
+        & ((F.col("place") >= leads) | (F.col("node") > F.col("node_a")))
         & close(n, n_a, percent)
         & ((100 + percent) * most >= percent * (n + n_a))
-        & (F.array_min(F.array_intersect("leads", "buckets")) == F.col("bucket"))
+        & (F.array_min(F.array_intersect("led", "stars")) == F.col("centre"))
+        & F.arrays_overlap("bands", "bands_a")
     )
     return in_order(pairs.select(F.col("node_a").alias("a"), F.col("node").alias("b"))).distinct()
 
@@ -398,28 +399,30 @@ def near_duplicate_rows(docs: DataFrame, words: int = 5, percent: int = 80, band
         ), "measured")
         links = first.filter("linked").select("a", "b")
         of_centre = first.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.col("shared").alias("of_centre"))
-        members = shared.filter("node <> centre").join(of_centre, ["centre", "node"], "left")
-        members = materialise(by_node(members.withColumn("least", F.col("n")), "n"), "memberships")
-        labels, centres, tried = components(links), 1, in_order(tried)
+        others = shared.filter("node <> centre")
+        members = others.select("centre", "node", "n").distinct().join(of_centre, ["centre", "node"], "left")
+        shares = others.groupBy("node").agg(F.collect_list("bucket").alias("bands"))
+        members = materialise(by_node(members.withColumn("least", F.col("n")), "n").join(shares, "node"), "memberships")
+        labels, leads, tried = components(links), 1, in_order(tried)
         while True:
             labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            left, rows = few(materialise(open_members(by_bucket(materialise(labelled, "labelled"))), "open-members"))
+            left, rows = few(materialise(open_members(by_star(materialise(labelled, "labelled"))), "open-members"))
             left, rows = few(materialise(still_open(linkable(left, rows, sets, percent)), "open-members"))
             if not rows:
                 break
-            centres *= ROUND_GROWTH
-            # Members of small components come first: once they have met their bucket, the rest of it is one component.
+            leads *= ROUND_GROWTH
+            # Members of small components come first: once they have met their star, the rest of it is one component.
             sizes = left.groupBy("label").agg(F.count(F.lit(1)).alias("label_rows"))
             sized = left.join(F.broadcast(sizes) if rows <= FEW_ROWS else sizes, "label")
-            ranked = rank_in_cells(sized, ["bucket"], ["label_rows", "node"], "place", rows).drop("label_rows")
-            ranked, _ = few(materialise(ranked, "open-ranked"), F.least(F.col("place"), F.lit(centres)))
-            pairs = further_pairs(ranked, rows, centres, percent).join(tried, ["a", "b"], "left_anti")
+            ranked = rank_in_cells(sized, ["centre"], ["label_rows", "node"], "place", rows).drop("label_rows")
+            ranked, _ = few(materialise(ranked, "open-ranked"), F.least(F.col("place"), F.lit(leads)))
+            pairs = further_pairs(ranked, rows, leads, percent).join(tried, ["a", "b"], "left_anti")
             pairs, rows = few(materialise(pairs, "further-pairs"))
             found = materialise(measure(pairs, rows, sets, percent), "measured")
             tried = tried.unionByName(pairs)
             links = links.unionByName(found.filter("linked").select("a", "b"))
-            # Members that left can have no further link, a centre has met all others, and a bucket of one component stays one.
-            labels, members = components(links), by_node(ranked.filter(F.col("place") >= centres), "n")
+            # Members that left can have no further link, a lead has met all others, and a star of one component stays one.
+            labels, members = components(links), by_node(ranked.filter(F.col("place") >= leads), "n", "bands")
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = named.join(smallest, "label").select("set_key", "component_id")

@@ -8,6 +8,7 @@ from compare import compare, connect
 from odd import against_sql, documents, folder, rows, words
 from pyspark.sql import functions as F
 
+from pagetide.llm import minhash
 from pagetide.llm.linedup import LineRuns, dedup_lines, line_keys
 from pagetide.llm.minhash import Shingler, Sketcher, components, near_duplicate_rows, near_duplicates, text_key
 from pagetide.llm.oracles import ORACLES
@@ -160,6 +161,30 @@ def test_members_that_outlast_their_bucket_are_measured(spark):
     assert {row["doc_id"]: row["component_id"] for row in rows_} == {k: k for k in sets} | {b: a for a, b in linked}
 
 
+def test_a_member_is_one_row_a_star(spark, monkeypatch):
+    """Near copies share most of their 32 buckets with their centre; rounds carry them once a star, not once a bucket."""
+    base = [f"w{k}" for k in range(200)]
+    texts = [(k, " ".join(f"own{k}x{at}" if at % 40 == k % 40 or k % 3 == 0 and at % 9 == 4 else w for at, w in enumerate(base))) for k in range(80)]
+    carried, write = [], minhash.materialise
+
+    def counted(df, name, **options):
+        written = write(df, name, **options)
+        if name == "open-members":
+            carried.append(written.count())
+        return written
+
+    monkeypatch.setattr(minhash, "materialise", counted)
+    rows_ = near_duplicates(spark.createDataFrame(texts, "doc_id bigint, text string"), words=1).collect()
+    assert 0 < max(carried) <= 6 * len(texts)
+    sets = {k: set(text.split()) for k, text in texts}
+    edges = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    label = {k: k for k in sets}
+    for _ in label:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    assert {row["doc_id"]: row["component_id"] for row in rows_} == label
+
+
 @pytest.mark.parametrize("few_rows", [0, 1000])
 def test_components_in_one_task_and_over_many(spark, monkeypatch, few_rows):
     monkeypatch.setattr("pagetide.llm.minhash.FEW_ROWS", few_rows)
