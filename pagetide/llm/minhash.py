@@ -35,6 +35,9 @@ CHUNK_BYTES = 1 << 20
 # A table of at most so many short rows, as counted, is worked on in one task and broadcast; results are the same either way.
 FEW_ROWS = 200_000
 
+# Cells that the shingles of a set are counted by, to bound what two sets share.
+CELLS = 128
+
 # A further round has so many times the leads of the one before.
 ROUND_GROWTH = 16
 _SPACE = np.zeros(256, bool)
@@ -171,24 +174,34 @@ def text_key(text: Column) -> Column:
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of rows that come with the key of the set that stands for the node; rows of another set are passed over."""
+    """(node, shingles, cells) of rows that come with the key of the set that stands for the node; rows of another set are passed over.
+
+    `cells` counts the shingles by their last bits.
+    """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            nodes, found = [], []
+            nodes, found, cells = [], [], []
             all_sets = shingler.sets(batch.column("text").to_pylist())
             for node, key, hashes in zip(batch.column("node").to_pylist(), batch.column("set_key").to_pylist(), all_sets, strict=True):
                 if xxhash.xxh3_128_digest(hashes.tobytes()) == key:
                     nodes.append(node)
                     found.append(hashes)
+                    cells.append(np.bincount((hashes % np.uint64(CELLS)).astype(np.int64), minlength=CELLS))
             offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
             flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+            counts = np.concatenate(cells).astype(np.int32) if cells else np.zeros(0, np.int32)
+            ends = np.arange(len(found) + 1, dtype=np.int32) * np.int32(CELLS)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["node", "shingles"]
+                [
+                    pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(counts)),
+                ],
+                ["node", "shingles", "cells"],
             )
 
-    return docs.select("node", "set_key", "text").mapInArrow(sets, "node bigint, shingles array<bigint>")
+    return docs.select("node", "set_key", "text").mapInArrow(sets, "node bigint, shingles array<bigint>, cells array<int>")
 
 
 def shared_buckets(members: DataFrame) -> DataFrame:
@@ -314,7 +327,7 @@ def linkable(members: DataFrame, rows: int, sets: DataFrame, percent: int) -> Da
     held = sets.join(near(nodes), "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
     holders = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("node").alias("node"))
     own = holders.filter("holders = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    sized = by_node(members, "n", "label", "bands").join(own, "node", "left")
+    sized = by_node(members, "n", "label", "bands", "cells").join(own, "node", "left")
     sized = sized.withColumn("common", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
     partner = F.greatest(F.col("least"), F.ceil(percent * F.col("n") / 100))
     return by_star(sized).filter((100 + percent) * F.col("common") >= percent * (F.col("n") + partner))
@@ -331,14 +344,15 @@ def further_pairs(members: DataFrame, rows: int, leads: int, percent: int) -> Da
 
     Two nodes meet in many stars; a pair is made in the first of those in which its lead is one.
     Two members share at most what the one with less of it shares with the centre, plus what the one with less of it
-    shares with other members outside the centre. Sizes and this bound leave out pairs exactly.
+    shares with other members outside the centre. They share no more in a cell than the one with fewer shingles there has. Sizes and
+    these bounds leave out pairs exactly.
     """
     # A node's stars, one entry a band at most, and those of them that it is a lead of.
     met = F.collect_list(F.struct("centre", "place")).over(Window.partitionBy("node"))
     members = members.withColumn("met", met).withColumn("stars", F.transform("met", lambda x: x["centre"]))
     led = F.transform(F.filter("met", lambda x: x["place"] < leads), lambda x: x["centre"])
     lead = members.filter(F.col("place") < leads).select(
-        "centre", *[F.col(name).alias(f"{name}_a") for name in ["node", "n", "common", "of_centre", "label", "bands"]], led.alias("led")
+        "centre", *[F.col(name).alias(f"{name}_a") for name in ["node", "n", "common", "of_centre", "label", "bands", "cells"]], led.alias("led")
     )
     if rows <= FEW_ROWS // 8:
         # The leads go to the members, so that the pairs of a hot star are made wherever its members are.
@@ -347,6 +361,7 @@ def further_pairs(members: DataFrame, rows: int, leads: int, percent: int) -> Da
     outside = F.least(F.col("common") - F.col("of_centre"), F.col("common_a") - F.col("of_centre_a"))
     measured = F.col("of_centre").isNotNull() & F.col("of_centre_a").isNotNull()
     most = F.when(measured, F.least("of_centre", "of_centre_a") + outside).otherwise(F.least("common", "common_a"))
+    in_cells = F.aggregate(F.zip_with("cells", "cells_a", lambda x, y: F.least(x, y)), F.lit(0), lambda total, shared: total + shared)
     pairs = lead.join(members, "centre").filter(
         (F.col("label") != F.col("label_a"))
         & ((F.col("place") >= leads) | (F.col("node") > F.col("node_a")))
@@ -354,6 +369,7 @@ def further_pairs(members: DataFrame, rows: int, leads: int, percent: int) -> Da
         & ((100 + percent) * most >= percent * (n + n_a))
         & (F.array_min(F.array_intersect("led", "stars")) == F.col("centre"))
         & F.arrays_overlap("bands", "bands_a")
+        & ((100 + percent) * in_cells >= percent * (n + n_a))
     )
     return in_order(pairs.select(F.col("node_a").alias("a"), F.col("node").alias("b"))).distinct()
 
@@ -402,7 +418,8 @@ def near_duplicate_rows(docs: DataFrame, words: int = 5, percent: int = 80, band
         others = shared.filter("node <> centre")
         members = others.select("centre", "node", "n").distinct().join(of_centre, ["centre", "node"], "left")
         shares = others.groupBy("node").agg(F.collect_list("bucket").alias("bands"))
-        members = materialise(by_node(members.withColumn("least", F.col("n")), "n").join(shares, "node"), "memberships")
+        members = by_node(members.withColumn("least", F.col("n")), "n").join(shares, "node").join(sets.select("node", "cells"), "node")
+        members = materialise(members, "memberships")
         labels, leads, tried = components(links), 1, in_order(tried)
         while True:
             labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -422,7 +439,7 @@ def near_duplicate_rows(docs: DataFrame, words: int = 5, percent: int = 80, band
             tried = tried.unionByName(pairs)
             links = links.unionByName(found.filter("linked").select("a", "b"))
             # Members that left can have no further link, a lead has met all others, and a star of one component stays one.
-            labels, members = components(links), by_node(ranked.filter(F.col("place") >= leads), "n", "bands")
+            labels, members = components(links), by_node(ranked.filter(F.col("place") >= leads), "n", "bands", "cells")
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = named.join(smallest, "label").select("set_key", "component_id")
