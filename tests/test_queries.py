@@ -4,8 +4,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from pagetide.operators import normalize
 from pagetide.plans.oracles import ORACLES
 from pagetide.plans.queries import QUERIES
+from pagetide.plans.standins import Standins
 from compare import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -38,3 +40,30 @@ def test_times_of_large_order_keys(spark, tmp_path):
     large = duckdb.connect()
     large.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
     assert compare(spark, large, str(tmp_path), QUERIES["timestamp_iso"], ORACLES["timestamp_iso"]) is None
+
+
+@pytest.fixture
+def large_keys(spark, tmp_path):
+    """Documents of pages around the 10,000th, and updated around the end of year 9999."""
+    keys = [0, 199, 1_999_799, 1_999_800, 1_999_801, 2_000_001, 10_000_001, 10_000_201, 6_805_467_589, 6_805_467_590, 10_000_000_001]
+    rows = [(key, f"text {key}", "en", "src1", 9) for key in keys]
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "documents.parquet"))
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["normalize_reviews", "raw_path_join"])
+def test_landed_documents_of_large_keys(spark, large_keys, name):
+    large = duckdb.connect()
+    large.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{large_keys}/documents.parquet/*.parquet')")
+    assert compare(spark, large, large_keys, QUERIES[name], ORACLES[name]) is None
+
+
+def test_rows_of_large_keys_are_stored_whole(spark, large_keys):
+    """What a load stores names the whole page number, and no year beyond 9999, whatever the statements do."""
+    exploded = normalize.explode_reviews(normalize.parse_payload(Standins(spark, large_keys).payload_pages()))
+    rows = {r["recommendationid"]: r for r in normalize.normalize_reviews(exploded).collect()}
+    assert rows["1999799"]["source_page_key"].endswith(":src1:9999")
+    assert rows["10000201"]["source_page_key"].endswith(":src1:50002")
+    assert rows["6805467589"]["updated_at_iso"].startswith("9999-12-31T23:59")
+    assert rows["6805467590"]["timestamp_updated"] > 0 and rows["6805467590"]["updated_at_iso"] is None
